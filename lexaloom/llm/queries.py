@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexaloom.llm import lookalike, sentences, spans, splitting, tokens
+from lexaloom.llm import leaks, lookalike, sentences, spans, splitting, tokens
 from lexaloom.sources.tables import latest, table
 
 
@@ -59,9 +59,11 @@ def p5_titles(spark: SparkSession, d: str) -> DataFrame:
 
 def _oversized(spark: SparkSession, d: str, once: bool) -> DataFrame:
     out = []
+    limits = {r.item_table: r for r in table(spark, d, "split_limits").collect()}  # a row a table: two
     for name, key in (("extracted", "section_id"), ("chunks", "chunk_id")):
-        limits = F.broadcast(table(spark, d, "split_limits").groupBy("item_table").agg(F.min("max_chars").alias("max_chars"), F.min("overlap_chars").alias("overlap_chars")))  # a row a table
-        rows = table(spark, d, name).select(F.col(key).alias("record_id"), "content", F.lit(name).alias("item_table")).join(limits, "item_table").where(F.length("content") > F.col("max_chars"))
+        if name not in limits:
+            continue
+        rows = table(spark, d, name).select(F.col(key).alias("record_id"), "content", F.lit(limits[name].max_chars).alias("max_chars"), F.lit(limits[name].overlap_chars).alias("overlap_chars"))
         if once:
             rows = rows.dropDuplicates(["record_id"])
         out.append(splitting.split_oversized(rows, "record_id", "content", "max_chars", "overlap_chars").withColumn("tbl", F.lit(name)))
@@ -78,13 +80,23 @@ def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return _oversized(spark, d, once=True).select("tbl", "record_id", "piece", "start_char", "end_char", "content", "token_count")
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and the items they have a run of words or characters in common with."""
+    return leaks.leaked_runs(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
+
+
+def p7_near(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with passages near an item's, paraphrases included."""
+    return leaks.leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence units of all documents."""
     return sentences.sentence_units(table(spark, d, "documents"), "doc_id", "text", "lang")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_shared, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p9_found)
+    f.__name__: f for f in (p1_found, p1_shared, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p9_found)
 }
 
 SQL = {
