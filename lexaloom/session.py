@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,14 +29,37 @@ def session(app: str = "lexaloom", cores: str = "*", **conf: str) -> SparkSessio
     return spark
 
 
+def _shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share; one of our own only where none is named (tests, single machines)."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
+    if spark not in _OWN:
+        _OWN[spark] = tempfile.mkdtemp(prefix="lexaloom-")
+        atexit.register(shutil.rmtree, _OWN[spark], ignore_errors=True)
+    return _OWN[spark]
+
+
+_OWN: dict[SparkSession, str] = {}
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` written to the shared checkpoint folder, its lineage cut.
+    """``df`` written once as a compressed table in the shared checkpoint folder and read from there.
 
-    The cluster names the folder in ``spark.checkpoint.dir``; a folder of our
-    own is set only where none is named (tests and single-machine runs).
+    This cuts its lineage: a later stage that loses an executor reads the table
+    again instead of computing it anew. Tables stay as long as the application
+    runs and are removed when it ends.
     """
-    sc = df.sparkSession.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lexaloom-"))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{_shared_folder(spark).rstrip('/')}/lexaloom-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    atexit.register(_remove, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    try:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    except Exception:  # noqa: BLE001 - the session has ended already
+        return
