@@ -168,7 +168,7 @@ def _cut_documents(shared):
                     for x in a[(counted[np.maximum(e, a)] - counted[a]) >= kind.run - kind.gram + 1]:
                         rows.append((k, kind.name, joined[x : min(x + kind.width, b + len(s))].tolist(), None, None))
             seen = np.flatnonzero(frequency)
-            rows += [(None, None, None, int(f), int(frequency[f])) for f in seen]
+            rows += [(None, None, None, f, frequency[f]) for f in seen]
             yield pd.DataFrame(rows, columns=["doc", "kind", "units", "term", "n"])
 
     return part
@@ -199,7 +199,17 @@ def _times(vectors: tuple, n: int, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def _sketch(shared, kinds: dict[str, Kind], rank: int, seed: int):
+def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sums the vectors of each term of a part."""
+    total: dict[int, np.ndarray] = {}
+    for pdf in batches:
+        for t, v in zip(pdf["term"], pdf["v"], strict=True):
+            x = np.frombuffer(v, dtype=np.float32)
+            total[t] = total[t] + x if t in total else x
+    yield pd.DataFrame({"term": list(total), "v": [x.tobytes() for x in total.values()]})
+
+
+def _sketch(shared, kinds: dict[str, Kind], rank: int):
     """Partial sums of A'(A R) over the passages of a part: a row a term."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,9 +221,8 @@ def _sketch(shared, kinds: dict[str, Kind], rank: int, seed: int):
             y = _times(v, len(p), basis)
             np.add.at(total, term, y[row] * w[:, None].astype(np.float32))
         used = np.flatnonzero(np.abs(total).sum(axis=1))
-        yield pd.DataFrame({"term": used, "v": list(total[used].astype(float))})
+        yield pd.DataFrame({"term": used, "v": [x.tobytes() for x in total[used]]})
 
-    del seed
     return part
 
 
@@ -244,7 +253,7 @@ def common_subsequence(a: str, b: str) -> int:
     return len(b) - v.bit_count()
 
 
-def leaks(docs: DataFrame, items: DataFrame, rank: int = 256, cosine: float = 0.35, rounds: int = 1) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, rank: int = 128, cosine: float = 0.35, rounds: int = 1) -> DataFrame:
     """(doc_id, item_id, passages, run, lcs_share): documents with passages near an item's in the latent space.
 
     docs: doc_id, text; items: item_id, lang, text. ``run`` is the longest run of
@@ -272,7 +281,7 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
     spark, kinds = docs.sparkSession, {k.name: k for k in (WORDS, CHARACTERS)}
     shared = spark.sparkContext.broadcast(it)
     read = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), "text")
-    parts = cut(read.mapInPandas(_cut_documents(shared), "doc long, kind string, units array<long>, term long, n long"))
+    parts = cut(read.mapInPandas(_cut_documents(shared), "doc long, kind string, units array<int>, term int, n long"))
     counts = parts.where("term is not null").groupBy("term").agg(F.sum("n").alias("n"))  # a row a term of the items
     n_docs = read.count()
     frequency = np.zeros(it.n_terms)
@@ -284,12 +293,13 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
     rank = min(rank, it.n_terms)
     basis = np.random.default_rng(7).standard_normal((it.n_terms, rank)).astype(np.float32)
     row, term, w = v = _vectors(it, own, idf)
-    for i in range(rounds):
+    for _ in range(rounds):
         state = spark.sparkContext.broadcast((it, idf, basis))
         z = np.zeros((it.n_terms, rank), dtype=np.float32)
-        sums = passages.mapInPandas(_sketch(state, kinds, rank, i), "term long, v array<double>").select("term", F.posexplode("v").alias("j", "x")).groupBy("term", "j").agg(F.sum("x").alias("x")).groupBy("term").agg(F.sort_array(F.collect_list(F.struct("j", "x"))).alias("v"))
-        for r in sums.select("term", F.col("v.x").alias("v")).toLocalIterator():  # as many rows as the items have terms
-            z[r.term] = r.v
+        few = passages.coalesce(max(1, passages.rdd.getNumPartitions() // 4))  # a partial sum of four parts each
+        sums = few.mapInPandas(_sketch(state, kinds, rank), "term long, v binary").repartition("term").mapInPandas(_add_up, "term long, v binary")
+        for r in sums.toLocalIterator():  # as many rows as the items have terms
+            z[r.term] = np.frombuffer(r.v, dtype=np.float32)
         np.add.at(z, term, _times(v, len(own), basis)[row] * w[:, None].astype(np.float32))
         basis = np.linalg.qr(z)[0].astype(np.float32)
     latent = _times(v, len(own), basis)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexaloom.llm import leaks, lookalike, sentences, spans, splitting, tokens
+from lexaloom.llm import leaks, lookalike, scans, sentences, spans, splitting, tokens
 from lexaloom.sources.tables import latest, table
 
 
@@ -27,6 +27,20 @@ def p1_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_share(_records(spark, d))
 
 
+def _scans(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "extracted").select("section_id", "source_type", "title", "content", "metadata")
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """Headers, page numbers, cut and misread words in scanned sections."""
+    return scans.line_kinds(_scans(spark, d))
+
+
+def p3_text(spark: SparkSession, d: str) -> DataFrame:
+    """Scanned sections as continuous paragraphs."""
+    return scans.repaired(_scans(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     """Chunks whose stored token count can't be used."""
     chunks = table(spark, d, "chunks").where("chunk_id is not null").select("chunk_id", "content", "token_count")
@@ -96,7 +110,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_shared, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p9_found)
+    f.__name__: f for f in (p1_found, p1_shared, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p9_found)
 }
 
 SQL = {
