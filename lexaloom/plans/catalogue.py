@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-_MODULES = ()
+from lexaloom.plans import nested_queries
+
+_MODULES = (nested_queries,)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
