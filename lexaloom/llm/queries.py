@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexaloom.llm import leaks, lookalike, scans, sentences, spans, splitting, tokens
+from lexaloom.llm import leaks, lookalike, mixing, scans, sentences, spans, splitting, tokens
 from lexaloom.sources.tables import latest, table
 
 
@@ -104,13 +104,23 @@ def p7_near(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents").select("doc_id", "text"), table(spark, d, "eval_items"))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """How often each document is used so that sources give their target shares."""
+    return mixing.mix(table(spark, d, "documents").select("doc_id", "source", "text"), table(spark, d, "mix_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares that came out, source by source."""
+    return mixing.shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence units of all documents."""
     return sentences.sentence_units(table(spark, d, "documents"), "doc_id", "text", "lang")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_shared, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p9_found)
+    f.__name__: f for f in (p1_found, p1_shared, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p8_mix, p8_shares, p9_found)
 }
 
 SQL = {
