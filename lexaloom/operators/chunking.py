@@ -67,6 +67,11 @@ def _packing(paras: Column, most: int, least: int, split_before: Column | None)
     return F.aggregate(paras, start, step, finish)
 
 
+def once(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """``keep`` and ``columns``, each computed once a row: a projection would be merged into lambdas and computed for every element."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
 def pack(df: DataFrame, text: str, most: int = 1500, least: int = 200, count: Callable[[Column], Column] = word_count, split_before: str | None = None) -> DataFrame:
     """Rows of ``df`` without ``text``, one a chunk, with chunk_index, content, token_count, has_code.
 
@@ -81,10 +86,9 @@ def pack(df: DataFrame, text: str, most: int = 1500, least: int = 200, count: Ca
     t = F.col(text)
     info = lambda p: F.struct(p.alias("text"), count(p).alias("n"), is_heading(p).alias("heading"), (is_code(p) | p.startswith("```")).alias("code"))
     whole = F.array(F.struct(F.lit(0).alias("i"), stripped(t).alias("content"), count(t).alias("token_count"), (is_code(t) | F.contains(t, F.lit("```"))).alias("has_code")))
-    parted = df.where(t.isNotNull() & (stripped(t) != "")).withColumn("_n", count(t))
-    parted = parted.withColumn("_p", F.when(F.col("_n") > most, F.transform(paragraphs(t), info)))
-    ids = _packing(F.col("_p"), most, least, F.col(split_before) if split_before else None)
-    parted = parted.withColumn("_ids", ids)
+    parted = once(df.where(t.isNotNull() & (stripped(t) != "")), df.columns, _n=count(t))
+    parted = once(parted, [*df.columns, "_n"], _p=F.when(F.col("_n") > most, F.transform(paragraphs(t), info)))
+    parted = once(parted, [*df.columns, "_n", "_p"], _ids=_packing(F.col("_p"), most, least, F.col(split_before) if split_before else None))
 
     def chunk(i: Column) -> Column:
         own = F.filter(F.arrays_zip(F.col("_p"), F.col("_ids")), lambda z: z["_ids"] == i)
