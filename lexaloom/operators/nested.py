@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexaloom.operators.frames import frame
+
 QUOTE, SLASH, COLON, COMMA = b'"\\:,'
 WANTED = (b'"title"', b'"children"', b'"source_sections"', b'"topics"')
 
@@ -181,6 +183,7 @@ def flatten(rows: DataFrame, key: str, group: str, title: str, sections: str, ch
     take a position but are no nodes, nor are scalars. Rows stand on their own.
     """
     kinds = {f: rows.schema[f].dataType.simpleString() for f in (key, group)}
+    whole = ("position", *[c for c, f in (("key", key), ("grp", group)) if kinds[f] in ("bigint", "int")])
     columns = ["key", "grp", "kind", "path", "parent_path", "position", "title", "titles"]
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -189,7 +192,7 @@ def flatten(rows: DataFrame, key: str, group: str, title: str, sections: str, ch
                 some = pdf.iloc[lo : lo + 2000]
                 index = structural_index([(c or "").encode("utf-8", "surrogatepass") for c in some["c"]])
                 w, out = Walker(index), []
-                for i, (k, g, t, own) in enumerate(some[["k", "g", "t", "s"]].itertuples(index=False)):
+                for i, (k, g, t, own) in enumerate(zip(*[some[c] for c in "kgts"], strict=True)):
                     out.append((k, g, "topic", "0", None, 0, t, [t]))
                     if own is not None:
                         out += [(k, g, "section", "0", None, p, s, None) for p, s in enumerate(own) if s is not None and s.strip()]
@@ -199,9 +202,7 @@ def flatten(rows: DataFrame, key: str, group: str, title: str, sections: str, ch
                         w.walk(int(start), "0", [t], nodes, refs)
                     out += [(k, g, "topic", p, parent, pos, name, line) for parent, p, pos, name, line in nodes]
                     out += [(k, g, "section", p, None, pos, s, None) for p, pos, s in refs]
-                frame = pd.DataFrame(out, columns=columns)
-                frame["grp"] = frame["grp"].astype("Int64") if kinds[group] == "bigint" else frame["grp"]
-                yield frame
+                yield frame(out, columns, whole)
 
     read = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(group).alias("g"), F.col(title).alias("t"), F.col(sections).alias("s"), F.col(children).alias("c"))
     return read.mapInPandas(part, f"key {kinds[key]}, grp {kinds[group]}, kind string, path string, parent_path string, position int, title string, titles array<string>")
