@@ -20,6 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexaloom.operators.frames import frame
 from lexaloom.session import cut
 
 #: Items handled at once; a larger set is handled in blocks.
@@ -169,7 +170,7 @@ def _cut_documents(shared):
                         rows.append((k, kind.name, joined[x : min(x + kind.width, b + len(s))].tolist(), None, None))
             seen = np.flatnonzero(frequency)
             rows += [(None, None, None, f, frequency[f]) for f in seen]
-            yield pd.DataFrame(rows, columns=["doc", "kind", "units", "term", "n"])
+            yield frame(rows, ["doc", "kind", "units", "term", "n"], ("doc", "term", "n"))
 
     return part
 

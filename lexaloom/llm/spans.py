@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexaloom.operators.frames import frame
 from lexaloom.session import cut
 
 GRAM = 64
@@ -165,6 +166,7 @@ def _compare(length: int, gram: int):
     """Compares the blocks of each seed, which arrive together; seeds with many blocks pass on unpaired."""
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["tbl", "seed", "cid_a", "cid_b", "left", "right", "block", "at"]
+        whole = ("seed", "cid_a", "cid_b", "left", "right", "at")
         group: list[tuple] = []
         key, out, many = None, [], False
 
@@ -188,10 +190,10 @@ def _compare(length: int, gram: int):
                     out += [(tbl, seed, c, None, None, None, b, a) for c, b, a in group]
                     group, many = [], True
             if len(out) > 20000:
-                yield pd.DataFrame(out, columns=columns)
+                yield frame(out, columns, whole)
                 out.clear()
         close()
-        yield pd.DataFrame(out, columns=columns)
+        yield frame(out, columns, whole)
 
     return part
 
@@ -213,7 +215,7 @@ def factors(records: DataFrame, length: int = 240, gram: int = GRAM) -> tuple[Da
     Records with a null id or content, or a shorter one, take no part. Both
     results are written to the shared folder, so an executor's loss costs little.
     """
-    cut_out = cut(blocks_of(records.where("id is not null and content is not null"), length, gram))
+    cut_out = cut(blocks_of(records.select("tbl", "id", "content").where("id is not null and content is not null"), length, gram))
     members = cut_out.select("tbl", "id", "pos", "seed", "cid").distinct()
     distinct = cut_out.groupBy("tbl", "seed", "cid").agg(F.first("block").alias("block"), F.first("at").alias("at"))
     several = distinct.groupBy("tbl", "seed").agg(F.min("cid").alias("x"), F.max("cid").alias("y")).where("x <> y").select("tbl", "seed")
