@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 # What is read for what (left: seen on the page image, right: meant).
 CONFUSIONS = [
     ("1", "l"), ("|", "l"), ("0", "o"), ("5", "s"), ("c", "e"), ("j", "i"), ("f", "t"), ("b", "h"), ("q", "g"), ("rn", "m"), ("ri", "n"),
-    ("vv", "w"), ("ii", "u"), ("ii", "ü"), ("cl", "d"), ("h", "li"), ("d", "cl"), ("1", "i"), ("|", "i"), ("l", "i"), ("i", "l"),
+    ("vv", "w"), ("ii", "u"), ("ii", "ü"), ("cl", "d"), ("h", "li"), ("d", "cl"), ("1", "i"), ("|", "i"), ("l", "i"), ("i", "l"), ("m", "rn"),
     ("8", "b"), ("9", "g"), ("6", "b"), ("2", "z"), ("o", "ö"), ("u", "ü"), ("a", "ä"), ("0", "ö"), ("e", "é"), ("c", "é"), ("e", "è"), ("c", "è"), ("j", "í"),
+    ("n", "ñ"), ("a", "á"), ("i", "í"), ("o", "ó"), ("u", "ú"), ("a", "à"), ("a", "â"), ("e", "ê"), ("i", "î"), ("o", "ô"), ("u", "ù"), ("u", "û"), ("c", "ç"),
 ]
 # Those that also count in names, which no dictionary holds.
 IN_NAMES = 15
@@ -136,7 +137,7 @@ class Reader:
 
     def _misread_part(self, part: str) -> str | None:
         low = part.lower()
-        if len(part) < 2 or low in self.words or low.isdigit():
+        if len(part) < 2 or low in self.words or low.isdigit() or max(part) > "\u024f":  # the confusions are those of Latin letters
             return None
         letters = sum(c.isalpha() for c in part)
         odd = sum(not c.isalpha() for c in part)
