@@ -80,8 +80,8 @@ LEVEL_VERBS = {
 
 
 def stripped(c: Column) -> Column:
-    """Without blanks of any kind at both ends."""
-    return F.regexp_replace(F.regexp_replace(c, r"^[\s ]+", ""), r"[\s ]+$", "")
+    """Without blanks, line ends and no-break blanks at both ends."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r\u00a0"))
 
 
 def word_count(c: Column) -> Column:
