@@ -152,11 +152,14 @@ def look_alike_pairs(df: DataFrame, group: str, key: str, title: str) -> DataFra
     """Pairs of records of one group whose titles look the same but differ as strings.
 
     df: one row a record. Null titles and those that show nothing don't count.
-    Classes without two spellings are dropped before pairs are made, and equal
-    spellings are never paired.
+    Classes without two spellings are dropped, spellings are paired, and only then
+    the records that have them: records of equal spelling never meet.
     """
     formed = one_form_column(df.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(title).alias("t")).where("t is not null and t <> ''"), "t", "form").where("form <> ''")
     classes = formed.groupBy("g", "form").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("g", "form")
     rows = formed.join(classes, ["g", "form"])
-    x, y = rows.select("g", "form", F.col("k").alias("id_a"), F.col("t").alias("ta")), rows.select("g", "form", F.col("k").alias("id_b"), F.col("t").alias("tb"))
-    return x.join(y, ["g", "form"]).where("id_a < id_b and ta <> tb").select("id_a", "id_b").distinct()
+    spelled = rows.select("g", "form", "t").distinct()
+    two = spelled.select("g", "form", F.col("t").alias("ta")).join(spelled.select("g", "form", F.col("t").alias("tb")), ["g", "form"]).where("ta < tb").select("g", "ta", "tb")
+    x = two.join(rows.select("g", F.col("t").alias("ta"), F.col("k").alias("x")).distinct(), ["g", "ta"])
+    x = x.join(rows.select("g", F.col("t").alias("tb"), F.col("k").alias("y")).distinct(), ["g", "tb"]).where("x <> y")
+    return x.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()

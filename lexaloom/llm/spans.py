@@ -235,20 +235,22 @@ def factors(records: DataFrame, length: int = 240, gram: int = GRAM) -> tuple[Da
 def shared_pairs(records: DataFrame, length: int = 240, gram: int = GRAM) -> DataFrame:
     """(tbl, id_a, id_b), id_a < id_b: records of one table with a common stretch of at least ``length`` code points."""
     members, matches = factors(records, length, gram)
-    full = members.join(_whole(members, length), ["tbl", "seed", "cid"])
+    members = members.select("tbl", "seed", "cid", "id").distinct()
+    # blocks that the same records have give the same pairs: one of them is enough
+    owners = members.groupBy("tbl", "seed", "cid").agg(F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")).alias("who"))
+    one = owners.where("who.n > 1").groupBy("tbl", "who").agg(F.min(F.struct("seed", "cid")).alias("v")).select("tbl", "v.seed", "v.cid")
+    full = members.join(one, ["tbl", "seed", "cid"])
     same = full.alias("a").join(full.alias("b"), ["tbl", "seed", "cid"]).where("a.id < b.id").select("tbl", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
+    two = matches.select("tbl", "seed", "cid_a", "cid_b").join(owners.select("tbl", "seed", F.col("cid").alias("cid_a"), F.col("who").alias("wa")), ["tbl", "seed", "cid_a"])
+    two = two.join(owners.select("tbl", "seed", F.col("cid").alias("cid_b"), F.col("who").alias("wb")), ["tbl", "seed", "cid_b"])
+    two = two.groupBy("tbl", F.least("wa", "wb").alias("wa"), F.greatest("wa", "wb").alias("wb")).agg(F.min(F.struct("seed", "cid_a", "cid_b")).alias("v")).select("tbl", "v.*")
     a = members.select("tbl", "seed", F.col("cid").alias("cid_a"), F.col("id").alias("x"))
     b = members.select("tbl", "seed", F.col("cid").alias("cid_b"), F.col("id").alias("y"))
-    cross = matches.join(a, ["tbl", "seed", "cid_a"]).join(b, ["tbl", "seed", "cid_b"]).where("x <> y")
+    cross = two.join(a, ["tbl", "seed", "cid_a"]).join(b, ["tbl", "seed", "cid_b"]).where("x <> y")
     cross = cross.select("tbl", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
     return same.unionByName(cross).distinct()
 
 
-def _whole(members: DataFrame, length: int) -> DataFrame:
-    """Blocks that two different records have; a block around a seed is never shorter than ``length``."""
-    return members.groupBy("tbl", "seed", "cid").agg(F.min("id").alias("p"), F.max("id").alias("q")).where("p <> q").select("tbl", "seed", "cid")
-
-
 def shared_share(records: DataFrame, length: int = 240, gram: int = GRAM) -> DataFrame:
     """(tbl, id, n_chars, shared_chars) of every record: how much of it stands in shared stretches.
 
