@@ -82,7 +82,7 @@ def pack(df: DataFrame, text: str, most: int = 1500, least: int = 200, count: Ca
     after a heading; a last chunk under ``least`` joins the one before. Null and
     blank texts give no chunk. All on one row: nothing is shuffled.
     """
-    keep = [c for c in df.columns if c != text]
+    keep = [c for c in df.columns if c not in (text, "chunk_index", "content", "token_count", "has_code")]  # the chunk's own win
     t = F.col(text)
     info = lambda p: F.struct(p.alias("text"), count(p).alias("n"), is_heading(p).alias("heading"), (is_code(p) | p.startswith("```")).alias("code"))
     whole = F.array(F.struct(F.lit(0).alias("i"), stripped(t).alias("content"), count(t).alias("token_count"), (is_code(t) | F.contains(t, F.lit("```"))).alias("has_code")))

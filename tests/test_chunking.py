@@ -84,3 +84,8 @@ def test_markdown_sections(spark):
     assert got[3] == (2, "F", 0, "only\n\ntwo")
     assert [g[1] for g in got[4:6]] == ["p0", "p5"]
     assert got[6:] == [(4, "T", 0, "x")]
+
+
+def test_clashing_columns(spark):
+    x = spark.createDataFrame([(1, "some text", "old", 9)], "d int, text string, content string, token_count int")
+    assert [tuple(r) for r in chunking.pack(x, "text").collect()] == [(1, 0, "some text", 2, False)]
