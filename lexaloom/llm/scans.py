@@ -86,7 +86,7 @@ class Reader:
         self.by_seen: dict[str, list[str]] = defaultdict(list)
         for seen, meant in CONFUSIONS:
             self.by_seen[seen].append(meant)
-        self.known: dict[str, tuple[str, float] | None] = {}
+        self.known: dict[tuple[str, int], tuple[str, float] | None] = {}
 
     def cost(self, word: str) -> float:
         n = self.words.get(word)
@@ -97,13 +97,13 @@ class Reader:
         t = f"^{word.lower()}$"
         return len(word) > 3 and all(self.trigrams.get(t[i : i + 3], 0) > 1 for i in range(len(t) - 2))
 
-    def meant(self, word: str) -> tuple[str, float] | None:
-        """The cheapest dictionary word, or else name, that can be read as ``word``, with up to three confusions."""
-        if word in self.known:
-            return self.known[word]
+    def meant(self, word: str, most: int = 3) -> tuple[str, float] | None:
+        """The cheapest dictionary word that can be read as ``word``, with up to ``most`` confusions, two in short words."""
+        if (word, most) in self.known:
+            return self.known[word, most]
         best: tuple[str, float] | None = None
         level, seen = {word}, {word}
-        for errors in range(1, 4 if len(word) > 6 else 3):
+        for errors in range(1, min(most, 3 if len(word) > 6 else 2) + 1):
             new = set()
             for w in level:
                 for i in range(len(w)):
@@ -120,7 +120,7 @@ class Reader:
                 break
         if len(self.known) > 200_000:
             self.known = {}
-        self.known[word] = best
+        self.known[word, most] = best
         return best
 
     def misread(self, token: str) -> str | None:
@@ -151,9 +151,10 @@ class Reader:
             return None
         if re.fullmatch(r"(?=.*\d)[\dlIO|]+", part):
             return re.sub("[lI|]", "1", part).replace("O", "0")
-        got = self.meant(low)
-        if got:
-            return self._cased(part, got[0])
+        name = part[0].isupper() and not odd and self.named(low)  # like other names, which no dictionary holds
+        got = self.meant(low, 1) if name else self.meant(low)
+        if got or name:
+            return self._cased(part, got[0]) if got else None
         if ROMAN.fullmatch(part) and part.isupper():
             return None
         if part[0].isupper() or odd:
