@@ -177,6 +177,11 @@ def _cut_documents(shared):
 
 def _vectors(it: Items, passages: list[tuple[Kind, np.ndarray]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """TF-IDF vectors of unit length as (row, term, weight)."""
+    return _weighted(*_terms(it, passages), len(passages), idf)
+
+
+def _terms(it: Items, passages: list[tuple[Kind, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of each passage once, as (row, term)."""
     rows, terms = [], []
     for r, (kind, seq) in enumerate(passages):
         t = it.term_ids(seq, kind)
@@ -185,8 +190,13 @@ def _vectors(it: Items, passages: list[tuple[Kind, np.ndarray]], idf: np.ndarray
         terms.append(t)
     row = np.concatenate(rows) if rows else np.zeros(0, dtype=np.int64)
     term = np.concatenate(terms) if terms else np.zeros(0, dtype=np.int64)
+    return row, term
+
+
+def _weighted(row: np.ndarray, term: np.ndarray, n: int, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Terms of ``n`` rows with their weights; rows have unit length."""
     w = idf[term]
-    norm = np.sqrt(np.bincount(row, w * w, minlength=len(passages)))
+    norm = np.sqrt(np.bincount(row, w * w, minlength=n))
     return row, term, w / np.maximum(norm[row], 1e-12)
 
 
@@ -210,16 +220,32 @@ def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"term": list(total), "v": [x.tobytes() for x in total.values()]})
 
 
-def _sketch(shared, kinds: dict[str, Kind], rank: int):
-    """Partial sums of A'(A R) over the passages of a part: a row a term."""
+def _term_sets(shared, kinds: dict[str, Kind]):
+    """The terms of each passage, those of equal ones in a batch once."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        it: Items = shared.value
+        for pdf in batches:
+            p = [(kinds[k], np.asarray(u)) for k, u in zip(pdf["kind"], pdf["units"], strict=True)]
+            row, term = _terms(it, p)
+            sets = np.split(term.astype(np.int32), np.flatnonzero(np.diff(row)) + 1) if len(row) else []
+            yield frame([(np.frombuffer(s, dtype=np.int32).tolist(),) for s in {s.tobytes() for s in sets}], ["terms"], ())
+
+    return part
+
+
+def _sketch(shared, rank: int):
+    """Partial sums of A'(A R) over the sets of terms of a part: a row a term."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         it, idf, basis = shared.value
         total = np.zeros((it.n_terms, rank), dtype=np.float32)
         for pdf in batches:
-            p = [(kinds[k], np.asarray(u)) for k, u in zip(pdf["kind"], pdf["units"], strict=True)]
-            row, term, w = v = _vectors(it, p, idf)
-            y = _times(v, len(p), basis)
+            if not len(pdf):
+                continue
+            row, term = np.repeat(np.arange(len(pdf)), pdf["terms"].map(len)), np.concatenate(pdf["terms"].to_list())
+            row, term, w = v = _weighted(row, term, len(pdf), idf)
+            y = _times(v, len(pdf), basis)
             np.add.at(total, term, y[row] * w[:, None].astype(np.float32))
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pd.DataFrame({"term": used, "v": [x.tobytes() for x in total[used]]})
@@ -227,6 +253,34 @@ def _sketch(shared, kinds: dict[str, Kind], rank: int):
     return part
 
 
+class _Runs:
+    """Passages of items by the hashes of their runs of ``kind.run`` units."""
+
+    def __init__(self, kind: Kind, passages: list[np.ndarray]) -> None:
+        self.kind = kind
+        of, self.hashes = self._hashed(passages)
+        order = np.argsort(self.hashes, kind="stable")
+        self.of, self.hashes = of[order], self.hashes[order]
+
+    def _hashed(self, passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        sizes = np.array([len(s) + 1 for s in passages], dtype=np.int64)  # an unknown unit parts the passages
+        begin = np.cumsum(sizes) - sizes
+        joined = np.zeros(sizes.sum(), dtype=np.int64)
+        for b, s in zip(begin, passages, strict=True):
+            joined[b : b + len(s)] = s
+        h = grams(joined, self.kind.run)
+        at = np.flatnonzero(h)
+        return np.searchsorted(begin, at, side="right") - 1, h[at]
+
+    def pairs(self, passages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """(passage, passage of an item) with a run in common."""
+        of, h = self._hashed(passages)
+        low = np.searchsorted(self.hashes, h, side="left")
+        n = np.searchsorted(self.hashes, h, side="right") - low
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+        return np.repeat(of, n), self.of[place]
+
+
 def coded(seq: np.ndarray) -> str:
     """Units as one string; unknown units (0) equal nothing in an item, which has none."""
     return "".join(map(chr, (seq + 1).tolist()))
@@ -294,11 +348,12 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
     rank = min(rank, it.n_terms)
     basis = np.random.default_rng(7).standard_normal((it.n_terms, rank)).astype(np.float32)
     row, term, w = v = _vectors(it, own, idf)
+    few = passages.coalesce(max(1, passages.rdd.getNumPartitions() // 4))
+    sets = few.mapInPandas(_term_sets(shared, kinds), "terms array<int>").distinct()  # else the reposted fill the space
     for _ in range(rounds):
         state = spark.sparkContext.broadcast((it, idf, basis))
         z = np.zeros((it.n_terms, rank), dtype=np.float32)
-        few = passages.coalesce(max(1, passages.rdd.getNumPartitions() // 4))  # a partial sum of four parts each
-        sums = few.mapInPandas(_sketch(state, kinds, rank), "term long, v binary").repartition("term").mapInPandas(_add_up, "term long, v binary")
+        sums = sets.mapInPandas(_sketch(state, rank), "term long, v binary").repartition("term").mapInPandas(_add_up, "term long, v binary")
         for r in sums.toLocalIterator():  # as many rows as the items have terms
             z[r.term] = np.frombuffer(r.v, dtype=np.float32)
         np.add.at(z, term, _times(v, len(own), basis)[row] * w[:, None].astype(np.float32))
@@ -311,6 +366,7 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
         it, idf, basis, latent = state.value
         strings = [coded(seq) for _, _, seq in it.passages]
         of_kind = {n: np.array([i for i, p in enumerate(it.passages) if p[1].name == n], dtype=np.int64) for n in kinds}
+        runs = {n: _Runs(k, [it.passages[i][2] for i in of_kind[n]]) for n, k in kinds.items()}
         for pdf in batches:
             rows = []
             for name, group in pdf.groupby("kind"):
@@ -321,9 +377,12 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
                 y = _times(_vectors(it, p, idf), len(p), basis)
                 y /= np.maximum(np.linalg.norm(y, axis=1, keepdims=True), 1e-9)
                 docs_ = group["doc"].to_numpy()
+                same, item = runs[name].pairs([u for _, u in p])  # a whole run counts at any cosine
                 for a in range(0, len(p), 1024):
-                    near = y[a : a + 1024] @ latent[mine].T
-                    for i, j in zip(*np.nonzero(near >= cosine), strict=True):
+                    near = y[a : a + 1024] @ latent[mine].T >= cosine
+                    here = (same >= a) & (same < a + 1024)
+                    near[same[here] - a, item[here]] = True
+                    for i, j in zip(*np.nonzero(near), strict=True):
                         mine_units, seq = coded(p[a + i][1]), strings[mine[j]]
                         rows.append((int(docs_[a + i]), int(it.passages[mine[j]][0]), longest_run(mine_units, seq), common_subsequence(mine_units, seq) / len(seq)))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run", "share"])

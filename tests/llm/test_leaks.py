@@ -51,3 +51,19 @@ def test_empty(spark):
 def test_runs_and_subsequences():
     assert leaks.longest_run("abcxdef", "zabcdefz") == 3
     assert leaks.common_subsequence("abcxdef", "zabcdefz") == 6
+
+
+def test_single_leaks_beside_many_reposts(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    hot = [[word() for _ in range(60)] for _ in range(40)]
+    cold = [[word() for _ in range(24)] for _ in range(150)]
+    docs = [" ".join(u) for u in hot for _ in range(40)]
+    for u in cold:  # a run leaked once, with a stretch of a reposted item on either side
+        h, a, b = rng.choice(hot), rng.randint(0, 12), rng.randint(0, 54)
+        docs.append(" ".join([*h[b : b + 6], *u[a : a + 12], *h[b : b + 6]]))
+    items = [(i, "en", " ".join(u)) for i, u in enumerate(hot + cold)]
+    docs = list(enumerate(docs))
+    x = spark.createDataFrame(docs, "doc_id long, text string")
+    y = spark.createDataFrame(items, "item_id long, lang string, text string")
+    assert {tuple(r) for r in leaks.leaked_runs(x, y).collect()} == brute(docs, items)
