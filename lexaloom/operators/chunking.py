@@ -114,15 +114,14 @@ def synthetic_pages(df: DataFrame, key: str, text: str, words: int = 384) -> Dat
 
 def text_of_pages(ranges: DataFrame, pages: DataFrame, key: str) -> DataFrame:
     """``ranges`` (key, page_start, page_end, ...) with ``text``: that of all pages in the range, both ends included, by blank lines; empty where there is none."""
-    cols = ranges.columns
-    r = ranges.withColumn("_r", F.monotonically_increasing_id())
-    hit = r.select(key, "_r", "page_start", "page_end").join(pages, key).where(F.col("page").between(F.col("page_start"), F.col("page_end")))
-    text = hit.groupBy("_r").agg(F.array_sort(F.collect_list(F.struct("page", "text"))).alias("l")).select("_r", F.array_join("l.text", "\n\n").alias("text"))
-    return r.join(text, "_r", "left").select(*cols, F.coalesce("text", F.lit("")).alias("text"))
+    by = [key, "page_start", "page_end"]  # no made-up ids: those of a range would differ where it is computed again
+    hit = ranges.select(*by).distinct().join(pages, key).where(F.col("page").between(F.col("page_start"), F.col("page_end")))
+    text = hit.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("page", "text"))).alias("_l")).select(*by, F.array_join("_l.text", "\n\n").alias("text"))
+    return ranges.join(text, by, "left").select(*ranges.columns, F.coalesce("text", F.lit("")).alias("text"))
 
 
 def heading_position(text: Column, title: Column) -> Column:
-    """0-based offset of the line that is a title, up to six blanks or digits before it allowed; then in any case; then what follows its last ':' or '>'. Null if there is none."""
+    """0-based offset of the line that is a title, up to six blanks or digits before it allowed; then in any case; then what follows its last ':' or '>'. Null if there is none; a blank title has none."""
 
     def at(pattern: Column) -> Column:
         p = F.regexp_instr(text, pattern)
@@ -137,7 +136,7 @@ def heading_position(text: Column, title: Column) -> Column:
     for mark in (":", ">"):
         v = stripped(F.substring_index(t, mark, -1))
         out.append(F.when((v != t) & (F.length(v) > 3), at(line(v, "m"))))
-    return F.coalesce(*out)
+    return F.when(t != "", F.coalesce(*out))  # else the blank line between pages would be its line
 
 
 def split_among(df: DataFrame, group: list[str], title: str, order: str, text: str) -> DataFrame:

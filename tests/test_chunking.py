@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from lexaloom.operators import chunking
+from lexaloom.plans import source_queries
 
 
 def words(n, head=""):
@@ -89,3 +90,12 @@ def test_markdown_sections(spark):
 def test_clashing_columns(spark):
     x = spark.createDataFrame([(1, "some text", "old", 9)], "d int, text string, content string, token_count int")
     assert [tuple(r) for r in chunking.pack(x, "text").collect()] == [(1, 0, "some text", 2, False)]
+
+
+def test_chunk_by_pages_holds_all_words(spark, tmp_path):
+    sizes = {1: 0, 2: 1, 3: 384, 4: 768, 5: 769, 6: 2000, 7: 4000}
+    rows = [(i, f"T{i}", " ".join(f"w{i}x{k}" for k in range(n))) for i, n in sizes.items()]
+    rows.append((9, None, " ".join(["u"] * 1000)))
+    spark.createDataFrame([*rows, rows[-1], (8, "N", None)], "section_id long, title string, content string").write.parquet(f"{tmp_path}/extracted.parquet")
+    got = source_queries.queries()["chunk_by_pages"](spark, str(tmp_path)).groupBy("section_id").agg(F.sum("token_count").alias("n"), F.max("page_start").alias("p")).collect()
+    assert {r.section_id: (r.n, r.p) for r in got} == {2: (1, 1), 3: (384, 1), 4: (768, 1), 5: (769, 3), 6: (2000, 5), 7: (4000, 11), 9: (1000, 3)}
