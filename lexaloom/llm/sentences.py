@@ -9,7 +9,7 @@ parts them by blanks.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -33,6 +33,16 @@ THAI_GAP = re.compile(r"[ \t ]+|\n")
 # Thai words that go on with a sentence after a name or a number, and the marks for repeating and "etc.".
 THAI_GOES_ON = ("และ", "แต่", "เพราะ", "ดังนั้น", "บอกว่า", "หรือ", "จึง", "ๆ", "ฯลฯ", "ครั้ง", "กับ")
 QUOTE_GOES_ON = re.compile(r"(?:と|って|という)|[ \t\n]*\S+[ \t\n]+(?:ने|का कहना)\b|[ \t]*[,，،、;:—–-]")
+# Scripts that tell a language of the ten, and common words of those in Latin script that the others hardly use.
+SCRIPTS = [("ru", "Ѐ", "ӿ"), ("ja", "ぁ", "ヿ"), ("zh", "㐀", "鿿"), ("hi", "ऀ", "ॿ"), ("ar", "؀", "ۿ"), ("th", "ก", "๛")]
+COMMON = {
+    "en": "the of and to is that for with this are from by",
+    "de": "der das und ist nicht ein eine mit den von zu auf für dem wird sind",
+    "fr": "les des et est une du dans pour pas qui sur au avec",
+    "es": "el los las y con por para del como más",
+}
+LANGUAGES = {*COMMON, *(name for name, _, _ in SCRIPTS)}
+COMMON_WORDS = {w: name for name, ws in COMMON.items() for w in ws.split()}
 #: A type must make up this share of its language's tokens, which bounds what is learned to a million entries a language.
 LEAST_SHARE = 1e-6
 
@@ -43,29 +53,79 @@ def language(c: Column) -> Column:
     return F.when(s != "", s).otherwise("und")
 
 
+class _Scripts(dict):
+    """The script of each character; "" where it is no letter."""
+
+    def __missing__(self, c: str) -> str:
+        self[c] = next((name for name, a, b in SCRIPTS if a <= c <= b), "latin") if c.isalpha() else ""
+        return self[c]
+
+
+SCRIPT_OF = _Scripts()
+OTHER_SCRIPT = re.compile("[" + "".join(f"{a}-{b}" for _, a, b in SCRIPTS) + "]")
+
+
+def spoken(text: str, label: str) -> str:
+    """The language of ``text``: its label, unless that is 'und' or the text is plainly in another of LANGUAGES.
+
+    A label whose script has under a fourth of the letters gives way to the language
+    of the main script, and one of four languages in Latin script to another with
+    over twice as many of its common words as the label's, five at least, or two
+    where the label has none.
+    """
+    if label != "und" and label not in LANGUAGES:
+        return label
+    script = "latin"
+    if not text.isascii() and (label not in COMMON or OTHER_SCRIPT.search(text)):
+        n: Counter = Counter()
+        for c, k in Counter(text).items():
+            name = SCRIPT_OF[c]
+            n[name] += 3 * k if name in ("zh", "ja") else k
+        del n[""]
+        if 5 * n["ja"] > n["zh"]:
+            n["ja"], n["zh"] = n["ja"] + n["zh"], 0
+        if n:
+            script = max(n, key=lambda name: (n[name], name))
+            own = label if label not in COMMON else "latin"
+            if label != "und" and 4 * n[own] >= n.total():
+                script = own
+    elif label not in COMMON and not any(map(str.isalpha, text)):
+        return label
+    if script != "latin":
+        return script
+    n = Counter(map(COMMON_WORDS.get, text.lower().split()))
+    del n[None]
+    if not n:
+        return label
+    best = max(n, key=lambda name: (n[name], name))
+    return label if label in COMMON and (n[best] < (5 if n[label] else 2) or n[best] <= 2 * n[label]) else best
+
+
 def _observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Counts of a part: type with (kind 'p') and without ('w') period, capitalised type ('c') and at sure starts ('s'), with its period at the end of a block ('e'), pairs over a period ('b')."""
     for pdf in batches:
         n: Counter = Counter()
-        for lang, texts in pdf.groupby("lang")["text"]:
-            tokens: Counter = Counter()
-            for text in texts:
-                for block in text.split("\n\n"):
-                    words = block.split()
-                    if not words or words[0][0] in "#`":
-                        continue
-                    tokens.update(words)
-                    first = words[0].strip(OPEN)
-                    n[lang, "s", first.lower()] += 1
-                    if words[-1][-1] == ".":
-                        n[lang, "e", words[-1].strip("()[]“”„«»\"',;:!?…")[:-1].lower()] += 1
-                    if "." in block:
-                        for i, w in enumerate(words[:-1]):
-                            if w[-1] == ".":
-                                n[lang, "b", w.strip("(").lower() + " " + words[i + 1].strip(OPEN).lower()] += 1
-                            elif w[-1] in "!?":
-                                n[lang, "s", words[i + 1].strip(OPEN).lower()] += 1
-            for w, k in tokens.items():
+        tokens: defaultdict[str, Counter] = defaultdict(Counter)
+        for text, label in zip(pdf["text"], pdf["lang"], strict=True):
+            whole = spoken(text, label)
+            for block in text.split("\n\n"):
+                words = block.split()
+                if not words or words[0][0] in "#`":
+                    continue
+                lang = whole if len(block) == len(text) else spoken(block, whole)
+                tokens[lang].update(words)
+                first = words[0].strip(OPEN)
+                n[lang, "s", first.lower()] += 1
+                if words[-1][-1] == ".":
+                    n[lang, "e", words[-1].strip("()[]“”„«»\"',;:!?…")[:-1].lower()] += 1
+                if "." in block:
+                    for i, w in enumerate(words[:-1]):
+                        if w[-1] == ".":
+                            n[lang, "b", w.strip("(").lower() + " " + words[i + 1].strip(OPEN).lower()] += 1
+                        elif w[-1] in "!?":
+                            n[lang, "s", words[i + 1].strip(OPEN).lower()] += 1
+        for lang, words in tokens.items():
+            for w, k in words.items():
                 bare = w.strip("()[]“”„«»\"',;:!?…")
                 if not bare or not any(map(str.isalpha, bare)):
                     continue
@@ -94,7 +154,7 @@ def log_likelihood(joint: Column, a: Column, b: Column, total: Column) -> Column
 
 
 def learn(docs: DataFrame, text: str, lang: str) -> DataFrame:
-    """(kind, type) of abbreviations ('abbr'), starters ('start') and collocations over a period ('pair'), learned per language.
+    """(lang, kind, type) of abbreviations ('abbr'), starters ('start') and collocations over a period ('pair'), learned per language.
 
     Counts are over all rows. Texts that are null count for nothing; an empty
     table gives an empty model.
@@ -125,15 +185,35 @@ def learn(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 class Splitter:
-    """Classifies the marks of a text with what was learned."""
+    """Classifies the marks of a text with what was learned: ``model``, or where ``models`` has it, that of the language of the line."""
 
-    def __init__(self, model: list[tuple[str, str]]) -> None:
-        self.abbr = {t for k, t in model if k == "abbr"}
-        self.start = {t for k, t in model if k == "start"}
-        self.pair = {t for k, t in model if k == "pair"}
+    def __init__(self, model: list[tuple[str, str]], models: dict[str, list[tuple[str, str]]] | None = None) -> None:
+        self.model, self.models = self._sets(model), {k: self._sets(m) for k, m in (models or {}).items()}
+        self.known = set().union(self.model[0], *(m[0] for m in self.models.values()))
 
-    def units(self, text: str) -> list[tuple[int, int]]:
-        """Units of ``text`` as offsets, in order, without surrounding blanks."""
+    @staticmethod
+    def _sets(model: list[tuple[str, str]]) -> tuple[set[str], set[str], set[str]]:
+        return tuple({t for k, t in model if k == kind} for kind in ("abbr", "start", "pair"))
+
+    def _learned(self, text: str, a: int, at: int, b: int) -> tuple[set[str], set[str], set[str]]:
+        """The abbreviations, starters and collocations for a mark of the block text[a:b]."""
+        if not self.models:
+            return self.model
+        if self.block[:2] != (a, b):
+            self.label = self.label or spoken(text, self.given)
+            self.block = (a, b, spoken(text[a:b], self.label))
+            self.line = (0, 0)
+        if not self.line[0] <= at < self.line[1]:
+            x, y = text.rfind("\n", a, at) + 1 or a, text.find("\n", at, b)
+            y = b if y < 0 else y
+            own = self.block[2] if (x, y) == (a, b) else spoken(text[x:y], self.block[2])
+            self.line = (x, y, self.models.get(own, self.model))
+        return self.line[2]
+
+    def units(self, text: str, label: str = "und") -> list[tuple[int, int]]:
+        """Units of ``text`` as offsets, in order, without surrounding blanks; ``label`` is its language as far as known."""
+        if self.models:
+            self.given, self.label, self.block = label, None, (0, 0)
         out: list[tuple[int, int]] = []
         at, fenced, block = 0, "", None
         lines = text.split("\n")
@@ -216,7 +296,7 @@ class Splitter:
                 continue
             if inside and not self._after_quote(text, start if not cuts else cuts[-1], quotes[q], end, b):
                 continue
-            if self._ends(text, cuts[-1] if cuts else a, b, text[m.start() : end], m.start(), end):
+            if self._ends(text, a, cuts[-1] if cuts else a, b, text[m.start() : end], m.start(), end):
                 cuts.append(end)
         if thai:
             cuts = sorted({*cuts, *self._thai(text, a, b)})
@@ -233,7 +313,7 @@ class Splitter:
         inner = len(re.findall(r"[.!?。！？।؟]+(?=\s|[^\s\d])", text[quote[0] : end]))
         return bool(lead) or inner < 3 and len(re.findall(r"[!?。！？।؟]|\.(?=\s)", text[quote[0] + 1 : end - 1].rstrip(END))) == 0
 
-    def _ends(self, text: str, a: int, b: int, marks: str, at: int, end: int) -> bool:
+    def _ends(self, text: str, block: int, a: int, b: int, marks: str, at: int, end: int) -> bool:
         """Whether the marks text[at:end] end a sentence."""
         i = end
         while i < b and text[i] in " \t\n  　":
@@ -275,14 +355,18 @@ class Splitter:
         if at > a and marks.startswith(".") and len(marks) > 1 and marks[1] in ")]" and text.rfind("(", a, w + 1) < 0:
             return True
         low = word.lower()
-        short = low in self.abbr or (len(word) == 1 and word.isalpha()) or word.isdigit() and len(word) < 3 or ("." in word and all(len(p) < 3 and p.isalpha() for p in word.split(".") if p))
+        short = (len(word) == 1 and word.isalpha()) or word.isdigit() and len(word) < 3 or ("." in word and all(len(p) < 3 and p.isalpha() for p in word.split(".") if p))
+        if not short and low not in self.known:
+            return True
+        abbr, start, pair = self._learned(text, block, at, b)
+        short = short or low in abbr
         if not short or ord(follow) > 0x590 and len(word) > 4:
             return True
         if nxt.isdigit():
             return False
-        if f"{low}. {after}" in self.pair:
+        if f"{low}. {after}" in pair:
             return False
-        return after.rstrip(".?!") in self.start
+        return after.rstrip(".?!") in start
 
     @staticmethod
     def _thai(text: str, a: int, b: int) -> Iterator[int]:
@@ -313,24 +397,26 @@ class Splitter:
 
 
 def sentence_units(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """(key, start_char, end_char) of every sentence unit of every row.
+    """(key, start_char, end_char) of every sentence unit of every row, by what was learned in the language of each line.
 
     Null, empty and blank texts give no units; rows are handled on their own, so
     repeated rows give repeated units. Other columns are ignored.
     """
-    model = [(r.kind, r.type) for r in learn(docs, text, lang).select("kind", "type").distinct().toLocalIterator()]  # bounded by LEAST_SHARE
+    model: dict[str, list[tuple[str, str]]] = {}
+    for r in learn(docs, text, lang).toLocalIterator():  # bounded by LEAST_SHARE
+        model.setdefault(r.lang, []).append((r.kind, r.type))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        splitter = Splitter(shared.value)
+        splitter = Splitter([], shared.value)
         for pdf in batches:
             keys, starts, ends = [], [], []
-            for k, t in zip(pdf["k"], pdf["t"], strict=True):
-                units = splitter.units(t)
+            for k, t, label in zip(pdf["k"], pdf["t"], pdf["l"], strict=True):
+                units = splitter.units(t, label)
                 keys += [k] * len(units)
                 starts += [u[0] for u in units]
                 ends += [u[1] for u in units]
             yield pd.DataFrame({key: pd.Series(keys, dtype=pdf["k"].dtype), "start_char": pd.Series(starts, dtype="int64"), "end_char": pd.Series(ends, dtype="int64")})
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(part, f"`{key}` {kind}, start_char long, end_char long")
+    return docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), language(F.col(lang)).alias("l")).mapInPandas(part, f"`{key}` {kind}, start_char long, end_char long")

@@ -51,3 +51,24 @@ def test_learning(spark):
     rows = [(i, f"According to Dr. Name{i}, the tree grows.\n\nThe class met. The tree waits, see Fig. {i} of it.", "en") for i in range(60)]
     got = {(r.kind, r.type) for r in sentences.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang").collect()}
     assert {("abbr", "dr"), ("abbr", "fig")} <= got and ("abbr", "grows") not in got
+
+
+def test_language_of_texts():
+    en, de = "the class of the tree is in the house and that is for the end", "der Baum ist das Haus und nicht auf dem Weg von der Stadt"
+    assert [sentences.spoken(en, x) for x in ("en", "und", "de", "hi", "it")] == ["en", "en", "en", "en", "it"]
+    assert [sentences.spoken(de, x) for x in ("de", "und", "en", "zh")] == ["de"] * 4
+    assert [sentences.spoken("", "en"), sentences.spoken("3.5", "hi"), sentences.spoken("", "und"), sentences.spoken("Xo 12", "und")] == ["en", "hi", "und", "und"]
+    assert [sentences.spoken("यह line है और वह पेड़ है", x) for x in ("hi", "und", "en")] == ["hi", "hi", "en"]
+    assert [sentences.spoken("字を書くのは次だ", "zh"), sentences.spoken("某人写道保存验证", "und"), sentences.spoken("это дом", "en")] == ["ja", "zh", "ru"]
+
+
+def test_words_are_abbreviations_in_their_language_only(spark):
+    hi = [(i, f"यह पेड़ है और वह देखता है line. {i} यहाँ है।\n\nवह पेड़ line. {i} है।", "hi") for i in range(40)]
+    en = [(100 + i, f"The line of the tree is a line. Xo{i} waits for the line by the tree and that is the line of it all.", "en" if i % 2 else None) for i in range(20)]
+    x = spark.createDataFrame([*hi, *en], "doc_id long, text string, lang string")
+    assert ("hi", "abbr", "line") in {tuple(r) for r in sentences.learn(x, "text", "lang").select("lang", "kind", "type").collect()}
+    one, two = "यह पेड़ है और वह देखता है line. Xo है", "The end of the line."
+    both = sentences.Splitter([], {"hi": [("abbr", "line")], "en": []}).units(f"{one}\n{two} Xo", "hi")
+    assert both == [(0, len(one) + 1 + len(two)), (len(one) + len(two) + 2, len(one) + len(two) + 4)]
+    got = sentences.sentence_units(x, "doc_id", "text", "lang").where("doc_id >= 100").groupBy("doc_id").count().collect()
+    assert len(got) == 20 and all(r["count"] == 2 for r in got)
