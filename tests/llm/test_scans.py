@@ -47,3 +47,9 @@ def test_confusions():
     r = scans.Reader({"while": 9, "module": 9, "the": 50, "function": 5}, {})
     assert [r.misread(w) for w in ("whi1e", "rnodule,", "fiinction", "the", "v1.2", "12", "Xy")] == ["while", "module", "function", None, None, None, None]
     assert scans.value("xiv") == 14 and scans.value("l98") == 198 and scans.value("12") == 12
+
+
+def test_two_errors_in_a_word_like_a_name():
+    like = "^rcmotc$"
+    r = scans.Reader({"remote": 9}, {like[i : i + 3]: 2 for i in range(len(like) - 2)})
+    assert r.misread("Rcmotc") == "Remote"
