@@ -83,16 +83,17 @@ def topic_tree(toc: DataFrame, found: DataFrame, docs: DataFrame, doc: str) -> D
     return tree.unionByName(one)
 
 
-def preorder(nodes: DataFrame, node: str, parent: str, order: str, label: str, most: int = 64) -> DataFrame:
-    """(node, path, depth, n_below, leaf): each node with the labels from its root, level by level; ``most`` levels at most.
+def preorder(nodes: DataFrame, node: str, parent: str, order: str, label: str) -> DataFrame:
+    """(node, path, depth, n_below, leaf): each node with the labels from its root, level by level, to the last.
 
-    Nodes on a cycle are never reached and left out.
+    Nodes on a cycle are never reached and left out; a node given with two parents doesn't come again below itself.
     """
-    level = nodes.where(F.col(parent).isNull()).select(node, F.array(F.col(label)).alias("path"), F.array(F.col(order)).alias("place"), F.lit(0).alias("depth"))
+    level = nodes.where(F.col(parent).isNull()).select(node, F.array(F.col(label)).alias("path"), F.array(F.col(order)).alias("place"), F.lit(0).alias("depth"), F.array(F.col(node)).alias("_up"))
     out = level
     children = nodes.where(F.col(parent).isNotNull()).select(F.col(node).alias("_n"), F.col(parent).alias("_p"), F.col(label).alias("_l"), F.col(order).alias("_o"))
-    for _ in range(most):
-        level = cut(level.join(children, F.col(node) == F.col("_p")).select(F.col("_n").alias(node), F.concat("path", F.array("_l")).alias("path"), F.concat("place", F.array("_o")).alias("place"), (F.col("depth") + 1).alias("depth")))
+    while True:
+        level = level.join(children, (F.col(node) == F.col("_p")) & ~F.array_contains("_up", F.col("_n")))
+        level = cut(level.select(F.col("_n").alias(node), F.concat("path", F.array("_l")).alias("path"), F.concat("place", F.array("_o")).alias("place"), (F.col("depth") + 1).alias("depth"), F.concat("_up", F.array("_n")).alias("_up")))
         if level.isEmpty():
             break
         out = out.unionByName(level)
@@ -108,13 +109,11 @@ def page_tree(topics: DataFrame, group: str, order: str, tokens: str, per_page:
     return x.withColumn("page_end", F.greatest(F.col("page_start"), F.col("page_start") + F.col("_n") - 1).cast("long")).drop("_n")
 
 
-def cyclic_nodes(edges: DataFrame, source: str, target: str, rounds: int = 200) -> DataFrame:
+def cyclic_nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
     """(node) of the nodes on a cycle or behind one: what is left when nodes nothing points at are taken away again and again. Empty means acyclic; equal edges count once, loops are cycles."""
     e = cut(edges.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(F.col(source).alias("a"), F.col(target).alias("b")).distinct())
     n = e.count()
-    for _ in range(rounds):
-        if not n:
-            break
+    while n:
         e = cut(e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi"))
         left = e.count()
         if left == n:

@@ -27,6 +27,14 @@ def test_cycles(spark):
     assert trees.cyclic_nodes(e.limit(0), "s", "t").count() == 0
 
 
+def test_long_chains(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(205)], "s int, t int").coalesce(1)
+    assert trees.cyclic_nodes(chain, "s", "t").count() == 0
+    nodes = spark.createDataFrame([(i, i - 1 if i else None, i, f"n{i}") for i in range(70)] + [(0, 3, 0, "n0"), (90, 91, 0, "x"), (91, 90, 0, "y")], "n int, p int, o int, l string").coalesce(1)
+    got = {r.n: (r.depth, r.path[-1]) for r in trees.preorder(nodes, "n", "p", "o", "l").collect()}
+    assert got == {i: (i, f"n{i}") for i in range(70)}
+
+
 def test_distribution_gives_every_item_once(spark):
     x = spark.createDataFrame([(i, 5, 2) for i in range(5)], "p int, n int, s int")
     assert [r.section for r in windows.distribute(x, [], "p", "n", "s").orderBy("p").collect()] == [0, 0, 1, 1, 1]
