@@ -27,6 +27,11 @@ def p1_shared(spark: SparkSession, d: str) -> DataFrame:
     return spans.shared_share(_records(spark, d))
 
 
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """The records that have a stretch in common, a row for each record of each stretch."""
+    return spans.shared_classes(_records(spark, d))
+
+
 def _scans(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "extracted").select("section_id", "source_type", "title", "content", "metadata")
 
@@ -72,16 +77,20 @@ def p5_titles(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _oversized(spark: SparkSession, d: str, once: bool) -> DataFrame:
-    out = []
-    limits = {r.item_table: r for r in table(spark, d, "split_limits").collect()}  # a row a table: two
-    for name, key in (("extracted", "section_id"), ("chunks", "chunk_id")):
-        if name not in limits:
-            continue
-        rows = table(spark, d, name).select(F.col(key).alias("record_id"), "content", F.lit(limits[name].max_chars).alias("max_chars"), F.lit(limits[name].overlap_chars).alias("overlap_chars"))
-        if once:
-            rows = rows.dropDuplicates(["record_id"])
-        out.append(splitting.split_oversized(rows, "record_id", "content", "max_chars", "overlap_chars").withColumn("tbl", F.lit(name)))
-    return out[0].unionByName(out[1])
+    """Pieces of the records over their table's limit; with ``once`` of each record's last delivery. A table without a limit gives none."""
+    limits = {r.item_table: r for r in table(spark, d, "split_limits").where("item_table is not null and max_chars is not null").collect()}  # a row a table: two
+    out = None
+    for name, key, stamp in (("extracted", "section_id", "extracted_at"), ("chunks", "chunk_id", "chunked_at")):
+        most, overlap = (limits[name].max_chars, limits[name].overlap_chars or 0) if name in limits else (None, 0)
+        every = table(spark, d, name).select(F.col(key).alias("record_id"), F.col(stamp).alias("stamp"), "content")
+        rows = every.where(F.length("content") > F.lit(most).cast("int"))
+        if once:  # only long texts are shuffled, to meet the stamp of their last delivery
+            last = every.groupBy("record_id").agg(F.max("stamp").alias("last"))
+            rows = latest(rows.join(last, "record_id").where(F.col("stamp").eqNullSafe(F.col("last"))), "record_id", "stamp", ["content"])
+        rows = rows.select("record_id", "content", F.lit(most).cast("int").alias("max_chars"), F.lit(overlap).cast("int").alias("overlap_chars"))
+        pieces = splitting.split_oversized(rows, "record_id", "content", "max_chars", "overlap_chars").withColumn("tbl", F.lit(name))
+        out = pieces if out is None else out.unionByName(pieces)
+    return out
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -120,7 +129,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_shared, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p8_mix, p8_shares, p9_found)
+    f.__name__: f for f in (p1_found, p1_shared, p1_classes, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p8_mix, p8_shares, p9_found)
 }
 
 SQL = {

@@ -1,16 +1,19 @@
 """Long exact spans shared between records, by Relative Lempel-Ziv parsing.
 
-The blocks of text around content-defined seeds are the reference. They are
-indexed by seed, spread over the cluster: the blocks of one seed that differ
-are held side by side, and every record is factored against them where it has
-the seed. A factor is the longest stretch around the seed that agrees with a
-block; checked at its two boundaries, it becomes a shared span if it is long
-enough. Seeds are chosen so that every window of the wanted length holds one at
-the same place in all records, so no shared span is missed.
+The reference is the distinct blocks of text around content-defined seeds, held
+in an index spread over the cluster by seed. The index of a seed is a sorted
+one, as a suffix array is: the blocks in order of what follows the seed, and in
+order of what precedes it, so the longest factor a record's block has in the
+reference lies between sorted neighbours. Every record is factored at its seeds
+from left to right; a factor's two boundaries are extended as far as the
+reference agrees, and one that is long enough becomes a shared span. Seeds are
+chosen so that every window of the wanted length holds one at the same place in
+all records, so no shared span is missed.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +29,8 @@ BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BACK = np.uint64(pow(int(BASE), -1, 1 << 64))
 #: Characters hashed at once.
 STRIDE = 1 << 20
-#: Blocks of one seed that are compared pair by pair; beyond that, windows are compared by their hashes.
-PAIRWISE = 24
+#: Blocks of one seed whose index is held by one task (some MB); a seed with more has its windows spread over the cluster.
+HOT = 8192
 
 
 class Powers:
@@ -46,20 +49,36 @@ class Powers:
         return cls.up, cls.down
 
 
-def gram_hashes(points: np.ndarray, size: int) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = h ^ (h >> np.uint64(29))
+        h = h * np.uint64(0xBF58476D1CE4E5B9)
+        return h ^ (h >> np.uint64(32))
+
+
+def prefix_sums(points: np.ndarray) -> np.ndarray:
+    """Sums from which the hash of any stretch follows."""
+    up, _ = Powers.upto(len(points) + 1)
+    sums = np.zeros(len(points) + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(points.astype(np.uint64) * up[: len(points)], out=sums[1:])
+    return sums
+
+
+def gram_hashes(sums: np.ndarray, size: int) -> np.ndarray:
     """Hash of every window of ``size`` code points."""
-    n = len(points) - size + 1
+    n = len(sums) - size
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    up, down = Powers.upto(len(points))
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(points) + 1, dtype=np.uint64)
-        np.cumsum(points.astype(np.uint64) * up[: len(points)], out=sums[1:])
-        h = (sums[size:] - sums[:n]) * down[:n]
-        h ^= h >> np.uint64(29)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        h ^= h >> np.uint64(32)
-    return h
+        return mixed((sums[size:] - sums[:n]) * Powers.down[:n])
+
+
+def block_hashes(sums: np.ndarray, a: np.ndarray, p: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hash of each stretch from ``a`` to ``b`` and of where ``p`` lies in it."""
+    with np.errstate(over="ignore"):
+        h = mixed((sums[b] - sums[a]) * Powers.down[a])
+        return mixed(h + (p - a).astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D) + (b - p).astype(np.uint64))
 
 
 def sliding(h: np.ndarray, width: int, best: np.ufunc, fill: int) -> np.ndarray:
@@ -74,8 +93,27 @@ def sliding(h: np.ndarray, width: int, best: np.ufunc, fill: int) -> np.ndarray:
     return best(behind[:n], ahead[width - 1 : width - 1 + n])
 
 
-def batch_seeds(texts: list[str], length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(index of text, position, hash) of the seeds of many texts, hashed together."""
+def thinned(at: np.ndarray, of: np.ndarray, h: np.ndarray, gram: int, width: int) -> np.ndarray:
+    """Which seeds to keep: in periodic text, where one seed comes back at one distance, the first two, the last, and one in every ``width`` code points.
+
+    Windows that hold an end of the periodic stretch have the first or last seed
+    in common; those within it agree around the first two, whatever the phase.
+    """
+    n = len(at)
+    if n < 4:
+        return np.ones(n, dtype=bool)
+    gap = np.diff(at)
+    link = (h[1:] == h[:-1]) & (of[1:] == of[:-1]) & (gap <= gram)
+    inner = np.zeros(n, dtype=bool)
+    inner[1:-1] = link[1:] & link[:-1] & (gap[1:] == gap[:-1])
+    place = np.arange(n)
+    place -= np.maximum.accumulate(np.where(inner, 0, place))
+    every = np.maximum(1, width // np.r_[1, gap])
+    return ~inner | (place == 1) | (place % every == 0)
+
+
+def batch_seeds(texts: list[str], length: int, gram: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(index of text, position, hash of seed, hash of block) of the seeds of many texts, hashed together."""
     group, size = [], 0
     for i, t in enumerate([*texts, None]):
         if t is None or size + len(t) > STRIDE:
@@ -92,7 +130,8 @@ def batch_seeds(texts: list[str], length: int, gram: int) -> Iterator[tuple[np.n
 
 def _group_seeds(joined: np.ndarray, group: list[int], begin: np.ndarray, length: int, gram: int) -> Iterator[tuple]:
     width = length - gram + 1
-    h = gram_hashes(joined, gram)
+    sums = prefix_sums(joined)
+    h = gram_hashes(sums, gram)
     if len(h) < width:
         return
     # windows are taken over the joined texts; those that cross a border are then taken out
@@ -102,171 +141,243 @@ def _group_seeds(joined: np.ndarray, group: list[int], begin: np.ndarray, length
     padded = np.concatenate([np.zeros(width - 1, dtype=np.uint64), least, np.zeros(width - 1, dtype=np.uint64)])
     at = np.flatnonzero(sliding(padded, width, np.maximum, 0) == h)
     of = np.searchsorted(begin, at, side="right") - 1
-    yield np.asarray(group, dtype=np.int64)[of], at - begin[of], h[at]
+    keep = thinned(at, of, h[at], gram, width)
+    at, of = at[keep], of[keep]
+    a, b = np.maximum(begin[of], at - width + 1), np.minimum(begin[of + 1], at + length)
+    yield np.asarray(group, dtype=np.int64)[of], at - begin[of], h[at], block_hashes(sums, a, at, b)
 
 
 def find_seeds(records: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
-    """(tbl, id, seed, pos) of records(tbl, id, content); equal texts of different tables have different seeds."""
+    """(tbl, id, seed, pos, cid) of records(tbl, id, content): ``cid`` stands for the block around the seed, as far as a window that holds it can reach."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts, ids, tbl = pdf["content"].tolist(), pdf["id"].to_numpy(), pdf["tbl"].to_numpy()
-            for i, pos, h in batch_seeds(texts, length, gram):
-                yield pd.DataFrame({"tbl": tbl[i], "id": ids[i], "seed": h.view(np.int64), "pos": pos.astype(np.int32)})
+            for i, pos, h, c in batch_seeds(texts, length, gram):
+                yield pd.DataFrame({"tbl": tbl[i], "id": ids[i], "seed": h.view(np.int64), "pos": pos.astype(np.int32), "cid": c.view(np.int64)})
 
-    return records.where(F.length("content") >= length).mapInPandas(part, "tbl string, id long, seed long, pos int")
+    return records.where(F.length("content") >= length).mapInPandas(part, "tbl string, id long, seed long, pos int, cid long")
 
 
-def factor(block: str, at: int, other: str, at_other: int, gram: int) -> tuple[int, int]:
-    """Code points to the left and right of the seed over which two blocks agree."""
-    limit = min(at, at_other)
-    left = 0
-    while left < limit and block[at - 1 - left] == other[at_other - 1 - left]:
-        left += 1
-    a, b = block[at + gram :], other[at_other + gram :]
+def agreeing(a: str, b: str) -> int:
+    """Code points two texts begin with in common."""
     n = min(len(a), len(b))
     if a[:n] == b[:n]:
-        return left, n
+        return n
     lo, hi = 0, n
-    while lo < hi - 1:  # the agreeing prefix, by halving
+    while lo < hi - 1:
         mid = (lo + hi) // 2
-        if a[:mid] == b[:mid]:
+        if a[lo:mid] == b[lo:mid]:
             lo = mid
         else:
             hi = mid
-    return left, lo
+    return lo
+
+
+def members_of(records: DataFrame, length: int, gram: int) -> DataFrame:
+    """(tbl, id, seed, pos, cid) of the seeds that two records have, written to the shared folder."""
+    found = cut(find_seeds(records, length, gram))
+    shared = found.groupBy("tbl", "seed").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("tbl", "seed")
+    return cut(found.join(shared, ["tbl", "seed"]).distinct())
 
 
-def blocks_of(records: DataFrame, length: int, gram: int) -> DataFrame:
-    """(tbl, seed, cid, block, at) of the distinct blocks around seeds that two records have, and who has them: (tbl, id, seed, pos, cid).
+def reference_blocks(records: DataFrame, members: DataFrame, length: int, gram: int) -> DataFrame:
+    """(tbl, seed, cid, p, q, n, before, after): the distinct blocks of seeds that have several, with the least and greatest record that holds each, and how many blocks the seed has.
 
-    Only seeds of two different records at least go on; their records' texts are
-    read again and cut to the blocks around the seeds.
+    ``before`` is what precedes the seed, from the seed backwards; ``after`` what
+    follows it. Each block is cut from one record that holds it.
     """
-    found = find_seeds(records, length, gram)
-    shared = found.groupBy("tbl", "seed").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("tbl", "seed")
-    wanted = found.join(shared, ["tbl", "seed"]).groupBy("tbl", "id").agg(F.collect_set("pos").alias("at"))
+    held = members.groupBy("tbl", "seed", "cid").agg(F.min("id").alias("p"), F.max("id").alias("q"), F.min(F.struct("id", "pos")).alias("at"))
+    many = held.groupBy("tbl", "seed").agg(F.count("*").alias("n")).where("n > 1")
+    wanted = held.join(many, ["tbl", "seed"]).groupBy("tbl", F.col("at.id").alias("id")).agg(F.collect_list(F.struct("seed", "cid", "p", "q", "n", "at.pos")).alias("at"))
     reach = length - gram
-    texts = records.where(F.length("content") >= length).select("tbl", "id", "content")
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             rows = []
-            for tbl, i, content, at in pdf[["tbl", "id", "content", "at"]].itertuples(index=False):
-                for p in sorted(at):
-                    a = max(0, p - reach)
-                    rows.append((tbl, i, content[p : p + gram], int(p), content[a : p + gram + reach], int(p - a)))
-            yield pd.DataFrame(rows, columns=["tbl", "id", "gram", "pos", "block", "at"])
-
-    cutouts = texts.join(wanted, ["tbl", "id"]).mapInPandas(part, "tbl string, id long, gram string, pos int, block string, at int")
-    return cutouts.withColumn("seed", F.xxhash64("gram")).withColumn("cid", F.xxhash64("block", "at")).drop("gram")
+            for tbl, content, at in pdf[["tbl", "content", "at"]].itertuples(index=False):
+                for x in at:
+                    p, lo = x["pos"], max(0, x["pos"] - reach)
+                    block = content[lo : p + length]
+                    sums = prefix_sums(np.frombuffer(block.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+                    own = block_hashes(sums, np.array([0]), np.array([p - lo]), np.array([len(block)])).view(np.int64)[0]
+                    if own == x["cid"]:  # else of another delivery of the record
+                        rows.append((tbl, x["seed"], x["cid"], x["p"], x["q"], x["n"], content[lo:p][::-1], content[p + gram : p + length]))
+            yield frame(rows, ["tbl", "seed", "cid", "p", "q", "n", "before", "after"], ("seed", "cid", "p", "q", "n"))
 
+    texts = records.where(F.length("content") >= length).select("tbl", "id", "content")
+    out = texts.join(wanted, ["tbl", "id"]).mapInPandas(part, "tbl string, seed long, cid long, p long, q long, n long, before string, after string")
+    return out.dropDuplicates(["tbl", "seed", "cid"])
+
+
+class SeedIndex:
+    """The sorted index of one seed's blocks: blocks(cid, p, q, before, after)."""
+
+    def __init__(self, blocks: list[tuple], reach: int) -> None:
+        self.reach = reach
+        self.blocks = sorted(blocks, key=lambda b: (b[4], b[0]))
+        self.steps = [agreeing(x[4], y[4]) for x, y in zip(self.blocks, self.blocks[1:], strict=False)]
+
+    def _runs(self) -> Iterator[tuple[int, list[int]]]:
+        """(agreement, blocks in a row that agree so far after the seed), for every agreement two blocks have, the greatest first."""
+        for depth in sorted(set(self.steps), reverse=True):
+            run = [0]
+            for i, s in enumerate(self.steps, 1):
+                if s < depth:
+                    if len(run) > 1:
+                        yield depth, run
+                    run = []
+                run.append(i)
+            if len(run) > 1:
+                yield depth, run
+
+    def _groups(self) -> Iterator[tuple[int, list[int]]]:
+        """(agreement after the seed, blocks that agree so far and before it as far as a window needs)."""
+        for depth, run in self._runs():
+            need = max(0, self.reach - depth)
+            by: dict[str, list[int]] = defaultdict(list)
+            for i in run:
+                if len(self.blocks[i][3]) >= need:
+                    by[self.blocks[i][3][:need]].append(i)
+            for group in by.values():
+                if len(group) > 1 and len({o for i in group for o in self.blocks[i][1:3]}) > 1:
+                    yield depth, group
+
+    def classes(self) -> list[list[int]]:
+        """Blocks (their cid) that all share one window; a set of blocks is given once."""
+        seen = dict.fromkeys(tuple(sorted(g)) for _, g in self._groups())
+        return [[self.blocks[i][0] for i in g] for g in seen]
+
+    def reaches(self) -> list[tuple[int, int, int]]:
+        """(cid, before, after): how far each block's longest factors go, against blocks of other records; none lies within another."""
+        out, best = [], {}
+        for depth, group in self._groups():
+            group = sorted(group, key=lambda i: self.blocks[i][3])
+            texts = [self.blocks[i][3] for i in group]
+            steps = [agreeing(x, y) for x, y in zip(texts, texts[1:], strict=False)]
+            far = [0] * len(group)
+            for order in (range(len(group)), range(len(group) - 1, -1, -1)):
+                near: list[tuple[object, int]] = []  # the nearest block behind, and the nearest of another record, with what agrees
+                last = None
+                for k in order:
+                    if last is not None:
+                        s = steps[min(k, last)]
+                        near = [(o, min(v, s)) for o, v in near]
+                    _, p, q, _, _ = self.blocks[group[k]]
+                    own = p if p == q else (p, q)
+                    for o, v in near:
+                        if o != own or p != q:
+                            far[k] = max(far[k], v)
+                            break
+                    near = [(own, len(texts[k])), *[x for x in near if x[0] != own][:1]]
+                    last = k
+            for k, i in enumerate(group):
+                cid = self.blocks[i][0]
+                if far[k] + depth >= self.reach and far[k] > best.get(cid, -1):
+                    best[cid] = far[k]
+                    out.append((cid, far[k], depth))
+        return out
+
+
+def _indexed(reach: int, pick: str, columns: list[str]):
+    """Builds the index of each seed, whose blocks arrive together, and gives what ``pick`` reads from it."""
 
-def _compare(length: int, gram: int):
-    """Compares the blocks of each seed, which arrive together; seeds with many blocks pass on unpaired."""
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["tbl", "seed", "cid_a", "cid_b", "left", "right", "block", "at"]
-        whole = ("seed", "cid_a", "cid_b", "left", "right", "at")
-        group: list[tuple] = []
-        key, out, many = None, [], False
+        key, group, out = None, [], []
 
         def close() -> None:
-            for i in range(len(group)):
-                for j in range(i):
-                    left, right = factor(group[i][1], group[i][2], group[j][1], group[j][2], gram)
-                    if left + gram + right >= length:
-                        out.append((*key, group[j][0], group[i][0], left, right, None, None))
+            if len(group) > 1:
+                found = getattr(SeedIndex(group, reach), pick)()
+                out.extend((*key, i, cid) for i, c in enumerate(found) for cid in c) if pick == "classes" else out.extend((*key, *r) for r in found)
 
         for pdf in batches:
-            for tbl, seed, cid, block, at in pdf[["tbl", "seed", "cid", "block", "at"]].itertuples(index=False):
+            for tbl, seed, *block in pdf[["tbl", "seed", "cid", "p", "q", "before", "after"]].itertuples(index=False):
                 if (tbl, seed) != key:
                     close()
-                    key, group, many = (tbl, seed), [], False
-                if many:
-                    out.append((tbl, seed, cid, None, None, None, block, at))
-                    continue
-                group.append((cid, block, at))
-                if len(group) > PAIRWISE:
-                    out += [(tbl, seed, c, None, None, None, b, a) for c, b, a in group]
-                    group, many = [], True
+                    key, group = (tbl, seed), []
+                group.append(tuple(block))
             if len(out) > 20000:
-                yield frame(out, columns, whole)
+                yield frame(out, columns, tuple(columns[1:]))
                 out.clear()
         close()
-        yield frame(out, columns, whole)
+        yield frame(out, columns, tuple(columns[1:]))
 
     return part
 
 
-def windows_of(blocks: DataFrame, length: int, gram: int) -> DataFrame:
-    """(tbl, seed, window, cid, start) of every window of ``length`` in blocks(tbl, seed, cid, block, at) that holds the seed."""
-    first = F.greatest(F.lit(0), F.col("at") - (length - gram))
-    last = F.least(F.col("at"), F.length("block") - length)
-    spread = blocks.where(last >= first).select("tbl", "seed", "cid", "at", "block", F.explode(F.sequence(first, last)).alias("s"))
-    text = F.substr("block", F.col("s") + 1, F.lit(length))
-    return spread.select("tbl", "seed", "cid", F.xxhash64(text, F.col("at") - F.col("s")).alias("window"), (F.col("at") - F.col("s")).alias("before"))
+def _read(blocks: DataFrame, reach: int, pick: str, schema: str) -> DataFrame:
+    n = max(12, int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    columns = [c.split()[0].strip("`") for c in schema.split(", ")]
+    return blocks.where(F.col("n") <= HOT).drop("n").repartition(n, "tbl", "seed").sortWithinPartitions("tbl", "seed").mapInPandas(_indexed(reach, pick, columns), schema)
+
 
+def windows_of(blocks: DataFrame, reach: int) -> DataFrame:
+    """(tbl, seed, window, cid, p, q, left) of every window around the seed, for seeds with more than HOT blocks: rows of equal windows meet, never those of a seed."""
+    first, last = F.greatest(F.lit(0), F.lit(reach) - F.length("after")), F.least(F.lit(reach), F.length("before"))
+    spread = blocks.where((F.col("n") > HOT) & (last >= first)).select("tbl", "seed", "cid", "p", "q", "before", "after", F.explode(F.sequence(first, last)).alias("left"))
+    text = F.xxhash64(F.substr("before", F.lit(1), F.col("left")), F.substr("after", F.lit(1), F.lit(reach) - F.col("left")), "left")
+    return spread.select("tbl", "seed", text.alias("window"), "cid", "p", "q", "left")
 
-def factors(records: DataFrame, length: int = 240, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(members, matches): who has which block, and which blocks share a factor of at least ``length``.
 
-    members: tbl, id, pos, seed, cid. matches: tbl, seed, cid_a, cid_b, left,
-    right, the code points agreeing to the left and right of the seed.
-    Records with a null id or content, or a shorter one, take no part. Both
-    results are written to the shared folder, so an executor's loss costs little.
+def _shared_windows(blocks: DataFrame, reach: int) -> DataFrame:
+    w = windows_of(blocks, reach)
+    two = w.groupBy("tbl", "seed", "window").agg(F.min("p").alias("a"), F.max("q").alias("b"), F.min("cid").alias("x"), F.max("cid").alias("y")).where("a <> b and x <> y").select("tbl", "seed", "window")
+    return w.join(two, ["tbl", "seed", "window"])
+
+
+def _factored(records: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    known = records.select("tbl", "id", "content").where("id is not null and content is not null")
+    members = members_of(known, length, gram)
+    return members, cut(reference_blocks(known, members, length, gram))
+
+
+def shared_classes(records: DataFrame, length: int = 240, gram: int = GRAM) -> DataFrame:
+    """(tbl, class_id, id): records that have a stretch of at least ``length`` code points in common, by stretch; a set of records is given once.
+
+    Two records share such a stretch exactly if they are in one class. A class
+    is a window of the reference and the records whose factors cover it, so the
+    result grows with the records, not with their pairs. Records with a null id
+    or content, or a shorter one, take no part; a record given twice counts once;
+    columns beside tbl, id, content are left out. Exact but for collisions of
+    64-bit hashes.
     """
-    cut_out = cut(blocks_of(records.select("tbl", "id", "content").where("id is not null and content is not null"), length, gram))
-    members = cut_out.select("tbl", "id", "pos", "seed", "cid").distinct()
-    distinct = cut_out.groupBy("tbl", "seed", "cid").agg(F.first("block").alias("block"), F.first("at").alias("at"))
-    several = distinct.groupBy("tbl", "seed").agg(F.min("cid").alias("x"), F.max("cid").alias("y")).where("x <> y").select("tbl", "seed")
-    n = max(12, int(records.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    sorted_blocks = distinct.join(several, ["tbl", "seed"]).repartition(n, "tbl", "seed").sortWithinPartitions("tbl", "seed", "cid")
-    compared = sorted_blocks.mapInPandas(_compare(length, gram), "tbl string, seed long, cid_a long, cid_b long, `left` int, `right` int, block string, at int")
-    compared = cut(compared)
-    few = compared.where("cid_b is not null").select("tbl", "seed", "cid_a", "cid_b", "left", "right")
-    w = windows_of(compared.where("cid_b is null").select("tbl", "seed", F.col("cid_a").alias("cid"), "block", "at"), length, gram)
-    twice = w.groupBy("tbl", "seed", "window").agg(F.min("cid").alias("x"), F.max("cid").alias("y")).where("x <> y").select("tbl", "seed", "window")
-    w = w.join(twice, ["tbl", "seed", "window"])
-    many = w.alias("a").join(w.alias("b"), ["tbl", "seed", "window"]).where("a.cid < b.cid")
-    many = many.groupBy("tbl", "seed", F.col("a.cid").alias("cid_a"), F.col("b.cid").alias("cid_b")).agg(F.max("a.before").alias("left"), (F.lit(length - gram) - F.min("a.before")).alias("right"))
-    return members, few.unionByName(many)
+    members, blocks = _factored(records, length, gram)
+    reach = length - gram
+    # of one block: all who have it
+    own = members.groupBy("tbl", "seed", "cid").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("tbl", "seed", "cid", F.struct(F.lit(0).alias("kind"), F.col("cid").alias("no")).alias("cls"))
+    cold = _read(blocks, reach, "classes", "tbl string, seed long, no long, cid long").select("tbl", "seed", "cid", F.struct(F.lit(1).alias("kind"), "no").alias("cls"))
+    hot = _shared_windows(blocks, reach).select("tbl", "seed", "cid", F.struct(F.lit(2).alias("kind"), F.col("window").alias("no")).alias("cls"))
+    holds = members.select("tbl", "seed", "cid", "id").distinct()
+    rows = own.unionByName(cold).unionByName(hot).join(holds, ["tbl", "seed", "cid"]).select("tbl", "seed", "cls", "id").distinct()
+    rows = cut(rows)
+    key = F.struct("tbl", "seed", "cls")
+    who = rows.groupBy("tbl", "seed", "cls").agg(F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")).alias("who"))
+    one = who.where("who.n > 1").groupBy("tbl", "who").agg(F.min(F.struct("seed", "cls")).alias("v")).select("tbl", "v.seed", "v.cls")
+    return rows.join(one, ["tbl", "seed", "cls"]).select("tbl", F.xxhash64(F.to_json(key)).alias("class_id"), "id")
 
 
 def shared_pairs(records: DataFrame, length: int = 240, gram: int = GRAM) -> DataFrame:
-    """(tbl, id_a, id_b), id_a < id_b: records of one table with a common stretch of at least ``length`` code points."""
-    members, matches = factors(records, length, gram)
-    members = members.select("tbl", "seed", "cid", "id").distinct()
-    # blocks that the same records have give the same pairs: one of them is enough
-    owners = members.groupBy("tbl", "seed", "cid").agg(F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("id").cast("decimal(20,0)")).alias("s"), F.bit_xor(F.xxhash64("id", F.lit(1))).alias("x")).alias("who"))
-    one = owners.where("who.n > 1").groupBy("tbl", "who").agg(F.min(F.struct("seed", "cid")).alias("v")).select("tbl", "v.seed", "v.cid")
-    full = members.join(one, ["tbl", "seed", "cid"])
-    same = full.alias("a").join(full.alias("b"), ["tbl", "seed", "cid"]).where("a.id < b.id").select("tbl", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"))
-    two = matches.select("tbl", "seed", "cid_a", "cid_b").join(owners.select("tbl", "seed", F.col("cid").alias("cid_a"), F.col("who").alias("wa")), ["tbl", "seed", "cid_a"])
-    two = two.join(owners.select("tbl", "seed", F.col("cid").alias("cid_b"), F.col("who").alias("wb")), ["tbl", "seed", "cid_b"])
-    two = two.groupBy("tbl", F.least("wa", "wb").alias("wa"), F.greatest("wa", "wb").alias("wb")).agg(F.min(F.struct("seed", "cid_a", "cid_b")).alias("v")).select("tbl", "v.*")
-    a = members.select("tbl", "seed", F.col("cid").alias("cid_a"), F.col("id").alias("x"))
-    b = members.select("tbl", "seed", F.col("cid").alias("cid_b"), F.col("id").alias("y"))
-    cross = two.join(a, ["tbl", "seed", "cid_a"]).join(b, ["tbl", "seed", "cid_b"]).where("x <> y")
-    cross = cross.select("tbl", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-    return same.unionByName(cross).distinct()
+    """(tbl, id_a, id_b), id_a < id_b: the pairs of records within the classes of ``shared_classes``."""
+    c = cut(shared_classes(records, length, gram))
+    return c.alias("a").join(c.alias("b"), ["tbl", "class_id"]).where("a.id < b.id").select("tbl", F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
 
 
 def shared_share(records: DataFrame, length: int = 240, gram: int = GRAM) -> DataFrame:
     """(tbl, id, n_chars, shared_chars) of every record: how much of it stands in shared stretches.
 
-    One row a record that has content; records without any shared stretch have
-    0. Of a record delivered more than once the longest content counts.
+    Each record is parsed from left to right into its longest factors; a factor
+    counts from where the ones before it end. One row a record that has content;
+    records without any shared stretch have 0. Of a record delivered more than
+    once the longest content counts.
     """
-    members, matches = factors(records, length, gram)
-    who = members.groupBy("tbl", "seed", "cid").agg(F.min("id").alias("p"), F.max("id").alias("q"))
-    both = matches.select("tbl", "seed", F.col("cid_a").alias("cid"), F.col("cid_b").alias("other"), "left", "right").unionByName(matches.select("tbl", "seed", F.col("cid_b").alias("cid"), F.col("cid_a").alias("other"), "left", "right"))
-    both = both.join(who.withColumnRenamed("cid", "other"), ["tbl", "seed", "other"])
-    # copies of a block agree over all of it; blocks reach as far as a window that holds the seed can
-    copies = who.where("p <> q").select("tbl", "seed", "cid", F.lit(length - gram).alias("left"), F.lit(length - gram).alias("right"), "p", "q")
-    factor_of = both.select("tbl", "seed", "cid", "left", "right", "p", "q").unionByName(copies)
-    spans = members.join(factor_of, ["tbl", "seed", "cid"]).where("id <> p or id <> q")
+    members, blocks = _factored(records, length, gram)
+    reach = length - gram
+    copies = members.groupBy("tbl", "seed", "cid").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("tbl", "seed", "cid", F.lit(reach).cast("long").alias("left"), F.lit(reach).cast("long").alias("right"))
+    cold = _read(blocks, reach, "reaches", "tbl string, seed long, cid long, `left` long, `right` long")
+    hot = _shared_windows(blocks, reach).select("tbl", "seed", "cid", F.col("left").cast("long").alias("left"), (F.lit(reach) - F.col("left")).cast("long").alias("right"))
+    factors = copies.unionByName(cold).unionByName(hot)
     sizes = records.where("id is not null and content is not null").groupBy("tbl", "id").agg(F.max(F.length("content")).alias("n_chars"))
-    spans = spans.select("tbl", "id", F.greatest(F.lit(0), F.col("pos") - F.col("left")).alias("a"), (F.col("pos") + gram + F.col("right")).alias("b"))
+    spans = members.join(factors, ["tbl", "seed", "cid"]).select("tbl", "id", F.greatest(F.lit(0), F.col("pos") - F.col("left")).alias("a"), (F.col("pos") + gram + F.col("right")).alias("b"))
     spans = spans.groupBy("tbl", "id", "a").agg(F.max("b").alias("b")).join(sizes, ["tbl", "id"]).withColumn("b", F.least("b", "n_chars"))
     before = F.max("b").over(Window.partitionBy("tbl", "id").orderBy("a").rowsBetween(Window.unboundedPreceding, -1))
     new = F.greatest(F.lit(0), F.col("b") - F.greatest("a", F.coalesce(before, F.lit(0))))

@@ -36,3 +36,22 @@ def test_operator(spark):
     for r in got:
         assert len(r.content) == r.end_char - r.start_char <= 50 and r.token_count > 0
     assert splitting.split_oversized(x.limit(0), "id", "content", "m", "o").count() == 0
+
+
+def test_tables_with_limits_missing(spark, tmp_path):
+    """One limit, none, and deliveries that differ."""
+    from datetime import datetime
+
+    from lexaloom.llm import queries
+
+    at = [datetime(2024, 1, i) for i in (1, 2, 3)]
+    spark.createDataFrame([(1, at[0], "a b " * 30), (1, at[1], "c d " * 30), (2, at[0], "e f " * 30), (2, at[2], "short"), (3, None, "g h " * 30), (None, at[0], "i " * 90)], "section_id long, extracted_at timestamp, content string").write.parquet(f"{tmp_path}/extracted.parquet")
+    spark.createDataFrame([(9, at[0], "j k " * 30)], "chunk_id long, chunked_at timestamp, content string").write.parquet(f"{tmp_path}/chunks.parquet")
+    limits = spark.createDataFrame([("extracted", 50, 10)], "item_table string, max_chars int, overlap_chars int")
+    limits.write.parquet(f"{tmp_path}/split_limits.parquet")
+    assert {(r.tbl, r.record_id) for r in queries.p6_found(spark, str(tmp_path)).collect()} == {("extracted", 1), ("extracted", 2), ("extracted", 3)}
+    got = queries.p6_pieces(spark, str(tmp_path)).collect()
+    assert {r.record_id for r in got} == {1, 3}  # the last delivery of 2 is short
+    assert all("c" in r.content for r in got if r.record_id == 1)
+    limits.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/split_limits.parquet")
+    assert queries.p6_found(spark, str(tmp_path)).count() == queries.p6_pieces(spark, str(tmp_path)).count() == 0
