@@ -131,6 +131,11 @@ def clean_title(c: Column) -> Column:
     return stripped(F.replace(F.translate(c, " \n", "  "), F.lit("  "), F.lit(" ")))
 
 
+def normalized(title: Column) -> Column:
+    """A title as it is looked up: no-break blanks as blanks, ends stripped."""
+    return stripped(F.replace(title, F.lit("\u00a0"), F.lit(" ")))
+
+
 def strip_prefix(title: Column) -> Column:
     """Title without its first matching prefix ("Chapter 4: ", "1.2 "); one prefix a pass."""
     t = clean_title(title)

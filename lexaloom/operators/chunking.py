@@ -9,60 +9,69 @@ from pyspark.sql import functions as F
 
 from lexaloom.functions.text import is_code, is_heading, stripped, word_count
 
-#: Stands for a blank line within a fenced block while paragraphs are parted.
-HOLD = "\u0001"
+# Blanks a line may hold and still count as empty.
+_BLANKS = r"[ \t\x0B\f\r\xA0]*"
+# A line break with empty lines after it, and what indents the next line.
+_GAP = r"\n[ \t\x0B\f\r\xA0]*\n[ \t\x0B\f\r\xA0\n]*"
+
+
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is computed once: a lambda's variable isn't put in place of every use, as an expression would be."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
 def paragraphs(text: Column) -> Column:
     """Paragraphs of a text: parted by blank lines, a fenced block whole and apart from what stands before it.
 
     What follows a closing fence directly belongs to the block's paragraph; a
-    fence that isn't closed runs to the end. Empty for the empty text, null for null.
+    fence that isn't closed runs to the end. Empty for the empty text, null for
+    null. The text is cut before every line with a fence; of these pieces, every
+    other one begins a block, so no line is looked at twice.
     """
-    lines = F.split(text, "\n")
-    # state: whether a fence is open; what is put before each line: "" goes on, HOLD parts
-    start = F.struct(F.lit(False).alias("open"), F.array().cast("array<string>").alias("out"))
 
-    def step(s: Column, line: Column) -> Column:
-        fence, blank = stripped(line).startswith("```"), stripped(line) == ""
-        parts = F.when(~s["open"] & (fence | blank), F.lit(HOLD)).otherwise("")
-        kept = F.when(~s["open"] & blank & ~fence, F.lit("")).otherwise(line)
-        return F.struct(F.when(fence, ~s["open"]).otherwise(s["open"]).alias("open"), F.concat(s["out"], F.array(F.concat(parts, kept))).alias("out"))
+    def of(pieces: Column) -> Column:
+        plain = F.when(F.get(pieces, F.lit(0)).rlike("^" + _BLANKS + "```"), 0).otherwise(1)
+
+        def one(piece: Column, i: Column) -> Column:
+            opens = (i >= plain) & ((i - plain) % 2 == 0)
+            closes = (i >= plain) & ((i - plain) % 2 == 1)
+            block = F.concat(piece, F.coalesce(F.get(F.split(F.get(pieces, i + 1), _GAP, 2), F.lit(0)), F.lit("")))
+            rest = F.split(piece, _GAP)
+            return F.when(opens, F.array(block)).when(closes, F.slice(rest, F.lit(2), F.size(rest))).otherwise(rest)
+
+        return F.flatten(F.transform(pieces, one))
 
-    joined = F.array_join(F.aggregate(lines, start, step, lambda s: s["out"]), "\n")
-    return F.filter(F.transform(F.split(joined, HOLD), stripped), lambda p: p != "")
+    parted = let(F.split(text, "(?md)^(?=" + _BLANKS + "```)"), of)
+    return F.filter(F.transform(parted, stripped), lambda p: p != "")
 
 
 def _packing(paras: Column, most: int, least: int, split_before: Column | None) -> Column:
-    """Number of the chunk each paragraph goes to, and the last chunk's number after a small tail was merged.
+    """Where chunks begin: places of their first paragraphs, a small tail having been merged.
 
-    paras: array<struct<text, n, heading>>.
+    paras: array<struct<text, n, heading>>. Only the bounds are carried from one paragraph to the next.
     """
     start = F.struct(
-        F.lit(0).cast("long").alias("tokens"), F.lit(0).alias("parts"), F.lit(False).alias("heading"), F.lit(0).alias("id"),
-        F.lit(False).alias("closed"), F.array().cast("array<int>").alias("ids"),
+        F.lit(0).alias("at"), F.lit(0).cast("long").alias("tokens"), F.lit(0).alias("parts"), F.lit(False).alias("heading"),
+        F.lit(False).alias("closed"), F.array().cast("array<int>").alias("starts"),
     )
 
     def step(s: Column, p: Column) -> Column:
-        filled = s["parts"] > 0
         named = F.regexp_replace(stripped(F.lower(p["text"])), r"^#+\s*", "")
-        forced = (F.array_contains(split_before, named) & p["heading"]) if split_before is not None else F.lit(False)
+        forced = F.coalesce(F.array_contains(split_before, named) & p["heading"], F.lit(False)) if split_before is not None else F.lit(False)
         big = p["n"] > most
         full = (s["tokens"] + p["n"] > most) & (s["tokens"] >= least) & ~s["heading"]
-        flush = filled & (forced | big | full)
         # a chunk begins after a flush and after an oversized paragraph, which closes its own
-        new = F.when(flush | s["closed"], s["id"] + 1).otherwise(s["id"])
-        fresh = flush | s["closed"]
+        fresh = ((s["parts"] > 0) & (forced | big | full)) | s["closed"] | (s["at"] == 0)
         tokens = F.when(fresh, p["n"]).otherwise(s["tokens"] + p["n"])
         parts = F.when(fresh, F.lit(1)).otherwise(s["parts"] + 1)
         return F.struct(
-            F.when(big, F.lit(0).cast("long")).otherwise(tokens).alias("tokens"), F.when(big, F.lit(0)).otherwise(parts).alias("parts"),
-            (~big & p["heading"]).alias("heading"), new.alias("id"), big.alias("closed"), F.concat(s["ids"], F.array(new)).alias("ids"),
+            (s["at"] + 1).alias("at"), F.when(big, F.lit(0).cast("long")).otherwise(tokens).alias("tokens"), F.when(big, F.lit(0)).otherwise(parts).alias("parts"),
+            (~big & p["heading"]).alias("heading"), big.alias("closed"), F.when(fresh, F.concat(s["starts"], F.array(s["at"]))).otherwise(s["starts"]).alias("starts"),
         )
 
     def finish(s: Column) -> Column:
-        tail = (s["parts"] > 0) & (s["tokens"] < least) & (s["id"] > 0)
-        return F.transform(s["ids"], lambda i: F.when(tail & (i == s["id"]), i - 1).otherwise(i))
+        tail = (s["parts"] > 0) & (s["tokens"] < least) & (F.size(s["starts"]) > 1)
+        return F.when(tail, F.slice(s["starts"], F.lit(1), F.size(s["starts"]) - 1)).otherwise(s["starts"])
 
     return F.aggregate(paras, start, step, finish)
 
@@ -77,28 +86,29 @@ def pack(df: DataFrame, text: str, most: int = 1500, least: int = 200, count: Ca
 
     A text of at most ``most`` tokens is one chunk. Else paragraphs are packed in
     order: a chunk is closed before a heading that ``split_before`` (a column of
-    lower-case titles) names, before and after a paragraph over ``most``, and
-    where the next would exceed ``most`` once it has ``least``, but never right
-    after a heading; a last chunk under ``least`` joins the one before. Null and
-    blank texts give no chunk. All on one row: nothing is shuffled.
+    titles; case and blanks around them don't count) names, before and after a
+    paragraph over ``most``, and where the next would exceed ``most`` once it has
+    ``least``, but never right after a heading; a last chunk under ``least`` joins
+    the one before. Null and blank texts give no chunk. All on one row, in
+    proportion to the text: nothing is shuffled.
     """
     keep = [c for c in df.columns if c not in (text, "chunk_index", "content", "token_count", "has_code")]  # the chunk's own win
     t = F.col(text)
     info = lambda p: F.struct(p.alias("text"), count(p).alias("n"), is_heading(p).alias("heading"), (is_code(p) | p.startswith("```")).alias("code"))
-    whole = F.array(F.struct(F.lit(0).alias("i"), stripped(t).alias("content"), count(t).alias("token_count"), (is_code(t) | F.contains(t, F.lit("```"))).alias("has_code")))
+    whole = F.array(F.struct(stripped(t).alias("content"), count(t).alias("token_count"), (is_code(t) | F.contains(t, F.lit("```"))).alias("has_code")))
+    names = F.transform(F.col(split_before), lambda h: F.lower(stripped(h))) if split_before else None
     parted = once(df.where(t.isNotNull() & (stripped(t) != "")), df.columns, _n=count(t))
-    parted = once(parted, [*df.columns, "_n"], _p=F.when(F.col("_n") > most, F.transform(paragraphs(t), info)))
-    parted = once(parted, [*df.columns, "_n", "_p"], _ids=_packing(F.col("_p"), most, least, F.col(split_before) if split_before else None))
+    parted = once(parted, [*df.columns, "_n"], _p=F.when(F.col("_n") > most, F.transform(paragraphs(t), info)), _names=names if split_before else F.lit(None).cast("array<string>"))
+    parted = once(parted, [*df.columns, "_n", "_p"], _starts=_packing(F.col("_p"), most, least, F.col("_names") if split_before else None))
 
-    def chunk(i: Column) -> Column:
-        own = F.filter(F.arrays_zip(F.col("_p"), F.col("_ids")), lambda z: z["_ids"] == i)
-        return F.struct(
-            i.alias("i"), F.array_join(F.transform(own, lambda z: z["_p"]["text"]), "\n\n").alias("content"),
-            F.aggregate(own, F.lit(0).cast("long"), lambda a, z: a + z["_p"]["n"]).alias("token_count"), F.exists(own, lambda z: z["_p"]["code"]).alias("has_code"),
-        )
+    def chunk(begin: Column, i: Column) -> Column:
+        own = F.slice(F.col("_p"), begin + 1, F.coalesce(F.get(F.col("_starts"), i + 1), F.size("_p")) - begin)
+        return let(own, lambda o: F.struct(
+            F.array_join(F.transform(o, lambda z: z["text"]), "\n\n").alias("content"),
+            F.aggregate(o, F.lit(0).cast("long"), lambda a, z: a + z["n"]).alias("token_count"), F.exists(o, lambda z: z["code"]).alias("has_code"),
+        ))
 
-    numbers = F.array_distinct(F.col("_ids"))
-    parted = parted.withColumn("_c", F.when(F.col("_n") <= most, whole).otherwise(F.transform(numbers, chunk)))
+    parted = parted.withColumn("_c", F.when(F.col("_n") <= most, whole).otherwise(F.transform("_starts", chunk)))
     out = parted.select(*keep, F.posexplode("_c").alias("chunk_index", "_x"))
     return out.select(*keep, "chunk_index", "_x.content", "_x.token_count", "_x.has_code")
 
@@ -159,32 +169,58 @@ def split_among(df: DataFrame, group: list[str], title: str, order: str, text: s
     return x.withColumn("part", stripped(part)).drop("_at", "_next", "_first", "_lost", "_i")
 
 
+def _headed(text: Column, hashes: int) -> tuple[Column, Column]:
+    """The headings of a markdown text, and what stands before the first and after each."""
+    pattern = f"(?md)^#{{1,{hashes}}}\\s+.+$"
+    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern)
+
+
+def _section(title: Column, depth: Column, content: Column) -> Column:
+    return F.struct(title.alias("title"), depth.cast("int").alias("depth"), content.alias("content"))
+
+
+def _under_headings(found: Column, parts: Column, base: Column) -> Column:
+    name = lambda h: stripped(F.regexp_extract(h, r"(?md)^#+\s+(.+)$", 1))
+    return F.transform(found, lambda h, i: _section(name(h), F.length(F.regexp_extract(h, "^(#+)", 1)) - 1 + base, stripped(F.get(parts, i + 1))))
+
+
+def _before(parts: Column, title: Column, base: Column) -> Column:
+    """What stands before the first heading as a section, if it isn't blank."""
+    return F.filter(F.array(_section(title, base, stripped(F.get(parts, F.lit(0))))), lambda s: s["content"] != "")
+
+
 def markdown_sections(df: DataFrame, key: str, text: str, fallback: str, hashes: int = 3) -> DataFrame:
-    """(key, section_ord, title, depth, content) of markdown texts.
+    """(key, section_ord, title, depth, content) of markdown texts of pages.
 
     Parted at headings of up to ``hashes`` marks; what stands before the first has
     the fallback title. Without headings: one section up to three paragraphs,
     else one for every five, titled by the first 80 characters of its first line.
+    Null texts give nothing.
     """
     t = F.col(text)
-    heading = f"^(#{{1,{hashes}}})[ \\t]+(.+)$"
-    mark = F.regexp_replace(t, f"(?m)(?=^#{{1,{hashes}}}[ \\t]+.+$)", HOLD)
-    parts = F.split(mark, HOLD)
-    paras = F.filter(F.transform(F.split(t, "\n\n"), stripped), lambda p: p != "")
-    first = lambda p: F.substring_index(p, "\n", 1)
-
-    def of_part(p: Column) -> Column:
-        h = first(p).rlike(heading)
-        title = F.when(h, stripped(F.regexp_extract(first(p), heading, 2))).otherwise(F.col(fallback))
-        depth = F.when(h, F.length(F.regexp_extract(first(p), heading, 1)) - 1).otherwise(0)
-        return F.struct(title.alias("title"), depth.alias("depth"), stripped(F.when(h, F.substring(p, F.length(first(p)) + 1, F.length(p))).otherwise(p)).alias("content"), h.alias("h"))
-
-    headed = F.filter(F.transform(parts, of_part), lambda s: s["h"] | (s["content"] != ""))
-    fives = F.transform(F.sequence(F.lit(0), F.floor((F.size(paras) - 1) / 5).cast("int")), lambda i: F.slice(paras, i * 5 + 1, F.lit(5)))
-    few = F.array(F.struct(F.col(fallback).alias("title"), F.lit(0).alias("depth"), stripped(t).alias("content"), F.lit(False).alias("h")))
-    many = F.transform(fives, lambda f: F.struct(F.substring(first(f[0]), 1, 80).alias("title"), F.lit(0).alias("depth"), F.array_join(f, "\n\n").alias("content"), F.lit(False).alias("h")))
-    s = F.when(F.size(parts) + F.when(first(t).rlike(heading), 1).otherwise(0) > 1, headed).when(F.size(paras) <= 3, few).otherwise(many)
-    return df.where(t.isNotNull()).select(key, F.posexplode(s).alias("section_ord", "s")).select(key, "section_ord", "s.title", "s.depth", "s.content")
+    found, parts = _headed(t, hashes)
+    x = once(df.where(t.isNotNull()), [key, text, fallback], _h=found, _s=parts, _p=F.filter(F.transform(F.split(t, "\n\n"), stripped), lambda p: p != ""))
+    zero, title = F.lit(0), F.col(fallback)
+    fives = F.transform(F.sequence(F.lit(0), F.floor((F.size("_p") - 1) / 5).cast("int")), lambda i: F.slice("_p", i * 5 + 1, F.lit(5)))
+    many = F.transform(fives, lambda f: _section(F.substring(F.substring_index(F.get(f, F.lit(0)), "\n", 1), 1, 80), zero, F.array_join(f, "\n\n")))
+    headed = F.concat(_before(F.col("_s"), title, zero), _under_headings(F.col("_h"), F.col("_s"), zero))
+    s = F.when(F.size("_h") > 0, headed).when(F.size("_p") <= 3, F.array(_section(title, zero, stripped(t)))).otherwise(many)
+    return x.select(key, F.posexplode(s).alias("section_ord", "s")).select(key, "section_ord", "s.title", "s.depth", "s.content")
+
+
+def export_sections(df: DataFrame, key: str, text: str, base_depth: str, hashes: int = 6) -> DataFrame:
+    """(key, section_ord, title, depth, content) of markdown texts of a workspace's export.
+
+    Parted at headings; a text without any is one section "Content", what stands
+    before the first one is "Introduction". ``base_depth``, a column, is added to
+    all depths. Null texts give nothing, blank ones one empty section.
+    """
+    t, base = F.col(text), F.coalesce(F.col(base_depth), F.lit(0))
+    found, parts = _headed(t, hashes)
+    x = once(df.where(t.isNotNull()), [key, text, base_depth], _h=found, _s=parts)
+    headed = F.concat(_before(F.col("_s"), F.lit("Introduction"), base), _under_headings(F.col("_h"), F.col("_s"), base))
+    s = F.when(F.size("_h") > 0, headed).otherwise(F.array(_section(F.lit("Content"), base, stripped(t))))
+    return x.select(key, F.posexplode(s).alias("section_ord", "s")).select(key, "section_ord", "s.title", "s.depth", "s.content")
 
 
 def duplicates(df: DataFrame, key: str, content: str) -> DataFrame:

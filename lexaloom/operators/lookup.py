@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexaloom.functions.text import clean_title, stripped
+from lexaloom.functions.text import normalized, stripped
 
 
 def section_index(sections: DataFrame, scope: list[str], title: str, content: str, order: list[str]) -> DataFrame:
@@ -13,14 +13,14 @@ def section_index(sections: DataFrame, scope: list[str], title: str, content: st
 
     Null and blank titles are left out. Aggregated before it is shuffled.
     """
-    t = clean_title(F.col(title))
+    t = normalized(F.col(title))
     x = sections.where(stripped(F.col(title)) != "").select(*scope, F.explode(F.array_distinct(F.array(t, F.lower(t)))).alias("key"), F.struct(*order, content).alias("v"))
     return x.groupBy(*scope, "key").agg(F.max("v").alias("v")).select(*scope, "key", F.col(f"v.{content}").alias(content))
 
 
 def look_up(refs: DataFrame, index: DataFrame, scope: list[str], name: str, content: str) -> DataFrame:
     """``refs`` with ``content`` of the title it names: as it stands, else in lower case; an empty content falls through too. Null where there is none."""
-    t = clean_title(F.col(name))
+    t = normalized(F.col(name))
     a = index.select(*scope, F.col("key").alias("_k1"), F.col(content).alias("_c1"))
     b = index.select(*scope, F.col("key").alias("_k2"), F.col(content).alias("_c2"))
     x = refs.withColumn("_k1", t).withColumn("_k2", F.lower(t))
@@ -39,8 +39,8 @@ def most_specific(items: DataFrame, key: str, path: str, topics: DataFrame, scop
 
 def stale_references(refs: DataFrame, sections: DataFrame, scope: list[str], name: str, title: str) -> DataFrame:
     """References whose title no section of the scope has, case aside."""
-    have = sections.where(F.col(title).isNotNull()).select(*scope, F.lower(clean_title(F.col(title))).alias("_k")).distinct()
-    return refs.withColumn("_k", F.lower(clean_title(F.col(name)))).join(have, [*scope, "_k"], "left_anti").drop("_k")
+    have = sections.where(F.col(title).isNotNull()).select(*scope, F.lower(normalized(F.col(title))).alias("_k")).distinct()
+    return refs.withColumn("_k", F.lower(normalized(F.col(name)))).join(have, [*scope, "_k"], "left_anti").drop("_k")
 
 
 def kept_prerequisites(prerequisites: Column, kept: Column) -> Column:

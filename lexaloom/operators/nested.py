@@ -20,7 +20,20 @@ from pyspark.sql import functions as F
 from lexaloom.operators.frames import frame
 
 QUOTE, SLASH, COLON, COMMA = b'"\\:,'
-WANTED = (b'"title"', b'"children"', b'"source_sections"', b'"topics"')
+
+
+@dataclass(frozen=True)
+class Shape:
+    """Keys of a node: its title, its children, its lists (kind of row -> key), and the key of an object that only wraps a list."""
+
+    title: str = "title"
+    children: str = "children"
+    lists: tuple[tuple[str, str], ...] = (("section", "source_sections"),)
+    wrapper: str = "topics"
+
+    @property
+    def wanted(self) -> frozenset[bytes]:
+        return frozenset(json.dumps(k).encode() for k in (self.title, self.children, self.wrapper, *[k for _, k in self.lists]))
 
 
 @dataclass
@@ -35,7 +48,7 @@ class Index:
     commas: dict[int, list[int]]  # of each array: its delimiters
 
 
-def structural_index(texts: list[bytes]) -> Index:
+def structural_index(texts: list[bytes], wanted: frozenset[bytes]) -> Index:
     """Bitmaps, depths and spans of ``texts``."""
     data = b"\n".join(texts) + b"\n"
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
@@ -95,7 +108,7 @@ def structural_index(texts: list[bytes]) -> Index:
             name = data[x : y + 1]
             if b"\\" in name:
                 name = json.dumps(json.loads(name)).encode()
-            if name in WANTED:
+            if name in wanted:
                 v = c + 1
                 while data[v] in b" \t\r\n" and v < len(data) - 1:
                     v += 1
@@ -113,8 +126,8 @@ def structural_index(texts: list[bytes]) -> Index:
 class Walker:
     """Reads nodes out of an index."""
 
-    def __init__(self, index: Index) -> None:
-        self.x, self.data = index, index.data
+    def __init__(self, index: Index, shape: Shape) -> None:
+        self.x, self.data, self.shape = index, index.data, shape
 
     def skip(self, v: int) -> int:
         while v < len(self.data) - 1 and self.data[v] in b" \t\r\n":
@@ -147,12 +160,12 @@ class Walker:
             return [] if len(starts) == 1 and self.data[starts[0] : starts[0] + 1] == b"]" else starts
         if c == b"{":
             inner = self.x.members.get(v, {})
-            return self.entries(inner["topics"]) if "topics" in inner else [v]
+            return self.entries(inner[self.shape.wrapper]) if self.shape.wrapper in inner else [v]
         return [] if self.text(v) is None else [v]
 
-    def walk(self, v: int, path: str, titles: list, out_nodes: list, out_sections: list) -> None:
-        """Nodes below ``path`` of the list at ``v``, in order of the tree, without recursion."""
-        stack = [(v, path, titles)]
+    def walk(self, v: int, path: str, titles: list, out_nodes: list, out_items: list) -> None:
+        """Nodes below ``path`` of the list at ``v`` and the entries of their lists, without recursion."""
+        shape, stack = self.shape, [(v, path, titles)]
         while stack:
             at, parent, above = stack.pop()
             for k, e in enumerate(self.entries(at)):
@@ -160,51 +173,58 @@ class Walker:
                     continue  # null, or no node
                 inner = self.x.members.get(e, {})
                 own = f"{parent}.{k}"
-                title = self.text(inner["title"]) if "title" in inner else None
+                title = self.text(inner[shape.title]) if shape.title in inner else None
                 line = [*above, title]
                 out_nodes.append((parent, own, k, title, line))
-                if "source_sections" in inner:
-                    for i, s in enumerate(self.entries(inner["source_sections"])):
+                for kind, name in shape.lists:
+                    for i, s in enumerate(self.entries(inner[name])) if name in inner else ():
                         t = self.text(s)
                         if t is not None and t.strip():
-                            out_sections.append((own, i, t))
-                if "children" in inner:
-                    stack.append((inner["children"], own, line))
+                            out_items.append((kind, own, i, t))
+                if shape.children in inner:
+                    stack.append((inner[shape.children], own, line))
 
 
-def flatten(rows: DataFrame, key: str, group: str, title: str, sections: str, children: str) -> DataFrame:
+def flatten(rows: DataFrame, key: str, group: str, title: str, sections: str | None, children: str, shape: Shape = Shape(), more: dict[str, str] | None = None) -> DataFrame:
     """Rows of all trees: (key, group, kind, path, parent_path, position, title, titles).
 
     kind 'topic': a node, roots included (path '0', no parent); title is the
-    node's, titles those from the root to it. kind 'section': an entry of a
-    node's section list that is neither null nor blank; path is the node's, title
-    the entry. Null, empty and broken JSON gives the root only; unknown keys are
-    passed over; of a key given twice the last counts; null entries of a list
-    take a position but are no nodes, nor are scalars. Rows stand on their own.
+    node's, titles those from the root to it. Other kinds, which ``shape`` names:
+    an entry of a node's list that is neither null nor blank; path is the node's,
+    title the entry. ``sections`` is the root's column for kind 'section', ``more``
+    has those of other kinds. Null, empty and broken JSON gives the root only;
+    unknown keys are passed over; of a key given twice the last counts; null
+    entries of a list take a position but are no nodes, nor are scalars. Rows
+    stand on their own.
     """
     kinds = {f: rows.schema[f].dataType.simpleString() for f in (key, group)}
     whole = ("position", *[c for c, f in (("key", key), ("grp", group)) if kinds[f] in ("bigint", "int")])
     columns = ["key", "grp", "kind", "path", "parent_path", "position", "title", "titles"]
+    lists = ({"section": sections} if sections else {}) | (more or {})
+    wanted = shape.wanted
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for lo in range(0, len(pdf), 2000):
                 some = pdf.iloc[lo : lo + 2000]
-                index = structural_index([(c or "").encode("utf-8", "surrogatepass") for c in some["c"]])
-                w, out = Walker(index), []
-                for i, (k, g, t, own) in enumerate(zip(*[some[c] for c in "kgts"], strict=True)):
+                index = structural_index([(c or "").encode("utf-8", "surrogatepass") for c in some["c"]], wanted)
+                w, out = Walker(index, shape), []
+                for i, (k, g, t) in enumerate(zip(some["k"], some["g"], some["t"], strict=True)):
                     out.append((k, g, "topic", "0", None, 0, t, [t]))
-                    if own is not None:
-                        out += [(k, g, "section", "0", None, p, s, None) for p, s in enumerate(own) if s is not None and s.strip()]
-                    nodes, refs = [], []
+                    nodes, items = [], []
                     start = index.begin[i]
                     if index.sound[i] and len(index.data[start : index.begin[i + 1]].strip()):
-                        w.walk(int(start), "0", [t], nodes, refs)
+                        w.walk(int(start), "0", [t], nodes, items)
                     out += [(k, g, "topic", p, parent, pos, name, line) for parent, p, pos, name, line in nodes]
-                    out += [(k, g, "section", p, None, pos, s, None) for p, pos, s in refs]
+                    out += [(k, g, kind, p, None, pos, s, None) for kind, p, pos, s in items]
+                for kind in lists:
+                    for k, g, own in zip(some["k"], some["g"], some[f"l_{kind}"], strict=True):
+                        if own is not None:
+                            out += [(k, g, kind, "0", None, p, s, None) for p, s in enumerate(own) if s is not None and s.strip()]
                 yield frame(out, columns, whole)
 
-    read = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(group).alias("g"), F.col(title).alias("t"), F.col(sections).alias("s"), F.col(children).alias("c"))
+    own = [F.col(c).alias(f"l_{kind}") for kind, c in lists.items()]
+    read = rows.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(group).alias("g"), F.col(title).alias("t"), F.col(children).alias("c"), *own)
     return read.mapInPandas(part, f"key {kinds[key]}, grp {kinds[group]}, kind string, path string, parent_path string, position int, title string, titles array<string>")
 
 

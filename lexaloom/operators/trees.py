@@ -15,19 +15,33 @@ def toc_tree(toc: DataFrame, doc: str, total_pages: str) -> DataFrame:
     Citations, titles under three characters and front matter are left out;
     levels are shifted to begin at 1; an entry's parent is the nearest one before
     with a lesser level; it ends on the page before the next entry of its level
-    or a lesser one, at its own page at least. Entries of one document meet in
-    one array, so a document's table of contents must fit a row.
+    or a lesser one, at its own page at least. One fold over a document's entries
+    finds the parents and one from behind the ends, each carrying but the last
+    entry of every level, so a table of contents must fit a row.
     """
     t = stripped(F.col("title"))
     x = toc.where(t.isNotNull() & ~is_citation(t) & (F.length(t) >= 3) & ~is_front_matter(t))
     g = x.groupBy(doc).agg(F.max(total_pages).alias("_total"), F.min("level").alias("_least"), F.array_sort(F.collect_list(F.struct("ord", "level", "page", t.alias("title")))).alias("_e"))
-    x = g.select(doc, "_total", "_least", "_e", F.posexplode("_e").alias("_i", "e"))
-    after = F.filter(F.slice("_e", F.col("_i") + 2, F.size("_e")), lambda o: o["level"] <= F.col("e.level"))
-    before = F.filter(F.slice("_e", F.lit(1), F.col("_i")), lambda o: o["level"] < F.col("e.level"))
-    end = F.coalesce(F.get(after, F.lit(0))["page"] - 1, F.col("_total"))
+    levels = "array<struct<level:int,v:int>>"
+
+    def fold(entries: Column, value: str, strict: bool) -> Column:
+        """For each entry ``value`` of the nearest one before whose level is less (or no greater)."""
+
+        def step(s: Column, e: Column) -> Column:
+            lower = F.filter(s["open"], lambda o: (o["level"] < e["level"]) if strict else (o["level"] <= e["level"]))
+            kept = F.filter(s["open"], lambda o: o["level"] < e["level"])
+            own = F.array(F.struct(e["level"].cast("int").alias("level"), e[value].cast("int").alias("v"))).cast(levels)
+            return F.struct(F.concat(kept, own).alias("open"), F.concat(s["out"], F.array(F.get(lower, F.size(lower) - 1)["v"])).alias("out"))
+
+        start = F.struct(F.array().cast(levels).alias("open"), F.array().cast("array<int>").alias("out"))
+        return F.aggregate(entries, start, step, lambda s: s["out"])
+
+    g = g.select(doc, "_total", "_least", "_e", fold(F.col("_e"), "ord", True).alias("_p"), F.reverse(fold(F.reverse("_e"), "page", False)).alias("_q"))
+    x = g.select(doc, "_total", "_least", F.posexplode(F.arrays_zip("_e", "_p", "_q")).alias("_i", "z"))
+    end = F.coalesce(F.col("z._q") - 1, F.col("_total"))
     return x.select(
-        doc, F.col("e.ord").alias("ord"), F.col("e.title").alias("title"), F.col("_i").alias("sort_order"), (F.col("e.level") - F.col("_least")).alias("depth"),
-        F.get(before, F.size(before) - 1)["ord"].alias("parent_ord"), F.col("e.page").alias("page_start"), F.greatest(end, F.col("e.page")).alias("page_end"),
+        doc, F.col("z._e.ord").alias("ord"), F.col("z._e.title").alias("title"), F.col("_i").alias("sort_order"), (F.col("z._e.level") - F.col("_least")).alias("depth"),
+        F.col("z._p").alias("parent_ord"), F.col("z._e.page").alias("page_start"), F.greatest(end, F.col("z._e.page")).alias("page_end"),
     )
 
 
@@ -84,42 +98,67 @@ def topic_tree(toc: DataFrame, found: DataFrame, docs: DataFrame, doc: str) -> D
 
 
 def preorder(nodes: DataFrame, node: str, parent: str, order: str, label: str) -> DataFrame:
-    """(node, path, depth, n_below, leaf): each node with the labels from its root, level by level, to the last.
+    """(node, path, place, depth, leaf): each node with the labels from its root, and the order of each on the way.
 
-    Nodes on a cycle are never reached and left out; a node given with two parents doesn't come again below itself.
+    Ways double in length with every round, so a tree of depth n takes log n
+    joins. Nodes on a cycle are never reached and left out; a node given with two
+    parents comes once for each way, but never again below itself.
     """
-    level = nodes.where(F.col(parent).isNull()).select(node, F.array(F.col(label)).alias("path"), F.array(F.col(order)).alias("place"), F.lit(0).alias("depth"), F.array(F.col(node)).alias("_up"))
-    out = level
-    children = nodes.where(F.col(parent).isNotNull()).select(F.col(node).alias("_n"), F.col(parent).alias("_p"), F.col(label).alias("_l"), F.col(order).alias("_o"))
+    one = lambda c: F.array(F.col(c))
+    rows = nodes.select(F.col(node).alias("n"), F.col(parent).alias("up"), one(node).alias("way"), one(label).alias("path"), one(order).alias("place"))
+    done, open_ = rows.where("up is null"), rows.where("up is not null")
+    every = rows
+    while not open_.isEmpty():
+        above = every.select(F.col("n").alias("_n"), F.col("up").alias("_up"), *[F.col(c).alias(f"_{c}") for c in ("way", "path", "place")])
+        step = open_.join(above, F.col("up") == F.col("_n")).where(~F.arrays_overlap("way", "_way"))
+        step = cut(step.select("n", F.col("_up").alias("up"), *[F.concat(f"_{c}", c).alias(c) for c in ("way", "path", "place")]))
+        done, open_ = done.unionByName(step.where("up is null")), step.where("up is not null")
+        every = done.unionByName(open_)
+    inner = nodes.where(F.col(parent).isNotNull()).select(F.col(parent).alias("n")).distinct().withColumn("_inner", F.lit(True))
+    return done.join(inner, "n", "left").select(F.col("n").alias(node), "path", "place", (F.size("path") - 1).alias("depth"), F.col("_inner").isNull().alias("leaf"))
+
+
+def _followed(step: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pointers (b, p), one a node, followed to their ends: those that end, and (b) of those that go round. Reach doubles with every round."""
+    step, reach, size = cut(step), 1, None
     while True:
-        level = level.join(children, (F.col(node) == F.col("_p")) & ~F.array_contains("_up", F.col("_n")))
-        level = cut(level.select(F.col("_n").alias(node), F.concat("path", F.array("_l")).alias("path"), F.concat("place", F.array("_o")).alias("place"), (F.col("depth") + 1).alias("depth"), F.concat("_up", F.array("_n")).alias("_up")))
-        if level.isEmpty():
-            break
-        out = out.unionByName(level)
-    inner = children.select(F.col("_p").alias(node)).distinct().withColumn("_inner", F.lit(True))
-    return out.join(inner, node, "left").select(node, "path", "place", "depth", F.col("_inner").isNull().alias("leaf"))
-
-
-def page_tree(topics: DataFrame, group: str, order: str, tokens: str, per_page: int = 500) -> DataFrame:
-    """Topics in order with synthetic pages: a topic of some tokens takes one page for every ``per_page``, one at least; an empty one takes none and stands on the page that is next."""
-    n = F.when(F.col(tokens) > 0, F.greatest(F.lit(1), F.floor(F.col(tokens) / per_page))).otherwise(0)
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    x = topics.withColumn("_n", n).withColumn("page_start", (F.coalesce(F.sum("_n").over(w), F.lit(0)) + 1).cast("long"))
-    return x.withColumn("page_end", F.greatest(F.col("page_start"), F.col("page_start") + F.col("_n") - 1).cast("long")).drop("_n")
+        heads = step.select(F.col("b").alias("_b"), F.col("p").alias("_p"))
+        open_ = step.join(heads.select("_b"), F.col("p") == F.col("_b"), "left_semi").select("b")
+        size = step.count() if size is None else size
+        if reach > size or open_.isEmpty():
+            return step.join(open_, "b", "left_anti"), open_
+        step = cut(step.join(heads, F.col("p") == F.col("_b"), "left").select("b", F.coalesce("_p", "p").alias("p")))
+        reach *= 2
 
 
 def cyclic_nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
-    """(node) of the nodes on a cycle or behind one: what is left when nodes nothing points at are taken away again and again. Empty means acyclic; equal edges count once, loops are cycles."""
+    """(node) of the nodes on a cycle or behind one. Empty means acyclic; equal edges count once, loops are cycles; edges with a null end are left out.
+
+    Nodes nothing points at are taken away again and again. A node that only one
+    other points at shares that one's fate, so such nodes are drawn together
+    first, by pointers that double in reach: a chain of n nodes takes log n rounds.
+    """
     e = cut(edges.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(F.col(source).alias("a"), F.col(target).alias("b")).distinct())
+    fate = e.select(F.col("a").alias("node")).union(e.select("b")).distinct().select("node", F.col("node").alias("as"))
+    lost = fate.limit(0).select("node")
     n = e.count()
     while n:
-        e = cut(e.join(e.select(F.col("b").alias("a")).distinct(), "a", "left_semi"))
+        into = e.groupBy("b").agg(F.count("*").alias("n"), F.min("a").alias("p"))
+        ended, endless = _followed(into.where("n = 1 and b <> p").select("b", "p"))
+        ended, endless = cut(ended.select(F.col("b").alias("_b"), F.col("p").alias("_p"))), cut(endless.select(F.col("b").alias("_b")))
+        lost = lost.unionByName(fate.join(endless, F.col("as") == F.col("_b"), "left_semi").select("node"))
+        fate = fate.join(endless, F.col("as") == F.col("_b"), "left_anti").join(ended, F.col("as") == F.col("_b"), "left").select("node", F.coalesce("_p", "as").alias("as"))
+        fate = cut(fate)
+        rest = e.join(ended.select("_b").union(endless), F.col("b") == F.col("_b"), "left_anti")
+        rest = rest.join(ended, F.col("a") == F.col("_b"), "left").select(F.coalesce("_p", "a").alias("a"), "b")
+        rest = rest.join(endless.withColumn("_bad", F.lit(True)), F.col("a") == F.col("_b"), "left").select(F.when(F.col("_bad"), F.col("b")).otherwise(F.col("a")).alias("a"), "b").distinct()
+        e = cut(rest.join(rest.select(F.col("b").alias("_b")).distinct(), F.col("a") == F.col("_b"), "left_semi"))
         left = e.count()
         if left == n:
             break
         n = left
-    return e.select(F.col("a").alias("node")).union(e.select(F.col("b").alias("node"))).distinct()
+    core = e.select(F.col("a").alias("as")).union(e.select("b")).distinct()
+    return lost.unionByName(fate.join(core, "as", "left_semi").select("node")).distinct()
 
 
 def redundant_edges(edges: DataFrame, source: str, target: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lexaloom.operators import nested
+from lexaloom.session import cut
 from lexaloom.sources.tables import latest, table
 
 
@@ -18,7 +19,7 @@ def _flat(spark: SparkSession, d: str) -> DataFrame:
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Links of topics to their parents, sections and chunks."""
     chunks = latest(table(spark, d, "chunks"), "chunk_id", "chunked_at", ["curriculum_id", "topic_path"])
-    return nested.links(_flat(spark, d), chunks)
+    return nested.links(cut(_flat(spark, d)), chunks)  # read three times: trees are walked once
 
 
 def p2_topics(spark: SparkSession, d: str) -> DataFrame:

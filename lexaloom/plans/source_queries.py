@@ -143,19 +143,6 @@ def variant_files(spark, d):
     return spark.read.parquet(path).groupBy("tier").agg(F.count("*").alias("n"))
 
 
-@query()
-def chunk_by_pages(spark, d):
-    """Topics with page ranges: their pages' text, parted among topics that share pages, packed into chunks."""
-    x = table(spark, d, "extracted").where("content is not null").select("section_id", "title", "content").dropDuplicates(["section_id"])
-    pages = chunking.synthetic_pages(x, "section_id", "content", 384).select("section_id", "page", "text")
-    start = pages.groupBy("section_id").agg(F.max("page").alias("last")).select("section_id", F.explode(F.sequence(F.lit(1), "last", F.lit(2))).alias("page_start"))
-    ranges = x.select("section_id", F.coalesce("title", F.lit("")).alias("title")).join(start, "section_id").withColumn("page_end", F.col("page_start") + 1)
-    second = ranges.withColumn("title", F.concat(F.lit("More: "), F.col("title")))
-    shared = chunking.text_of_pages(ranges.unionByName(second), pages, "section_id")
-    parted = chunking.split_among(shared, ["section_id", "page_start", "page_end"], "title", "title", "text")
-    return chunking.pack(parted.select("section_id", "title", "page_start", F.col("part").alias("text")), "text").select("section_id", "title", "page_start", "chunk_index", "token_count", F.md5("content").alias("content_md5"))
-
-
 @query()
 def topic_trees(spark, d):
     """Trees of sections by what they offer: a table of contents, headings, or neither."""

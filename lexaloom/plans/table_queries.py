@@ -31,7 +31,7 @@ def _long(*names: str):
 
 # ---- lookups -----------------------------------------------------------------
 
-_CLEAN = "regexp_replace(regexp_replace(replace(translate({0}, chr(160) || chr(10), '  '), '  ', ' '), '^[\\s\\x{{00A0}}]+', ''), '[\\s\\x{{00A0}}]+$', '')"
+_CLEAN = "regexp_replace(regexp_replace(replace({0}, chr(160), ' '), '^\\s+', ''), '\\s+$', '')"
 _INDEX = f"""i AS (SELECT curriculum_id, k, content FROM (SELECT curriculum_id, k, content, row_number() OVER (PARTITION BY curriculum_id, k ORDER BY file_ord DESC, section_ord DESC, section_id DESC, content DESC NULLS LAST) AS r
     FROM (SELECT curriculum_id, file_ord, section_ord, section_id, content, t AS k FROM s UNION ALL SELECT curriculum_id, file_ord, section_ord, section_id, content, lower(t) FROM s WHERE lower(t) <> t)) WHERE r = 1)"""
 _S = f"s AS (SELECT *, {_CLEAN.format('title')} AS t FROM extracted WHERE trim(title) <> '')"
@@ -231,17 +231,6 @@ def tree_counts(spark, d):
     return x.groupBy(F.col("depth").cast("long").alias("depth")).agg(F.count("*").alias("nodes"), F.count_if("leaf").alias("leaves"))
 
 
-@query(
-    """SELECT o_orderkey, page_start, CASE WHEN n = 0 THEN page_start ELSE page_start + n - 1 END AS page_end FROM (
-      SELECT o_orderkey, n, CAST(coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + 1 AS BIGINT) AS page_start
-      FROM (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 4 = 0 THEN 0 ELSE greatest(1, CAST(floor(o_totalprice / 500) AS BIGINT)) END AS n FROM orders))"""
-)
-def synthetic_page_tree(spark, d):
-    """Topics in order with synthetic pages by their tokens."""
-    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", F.when(F.col("o_orderkey") % 4 == 0, 0.0).otherwise(F.col("o_totalprice")).alias("tokens"))
-    return trees.page_tree(o, "o_custkey", "o_orderkey", "tokens").select("o_orderkey", "page_start", "page_end")
-
-
 _EDGES = "e AS (SELECT b.n_nationkey AS a, c.n_nationkey AS b FROM nation b JOIN nation c ON b.n_regionkey = c.n_regionkey AND b.n_nationkey < c.n_nationkey)"
 
 

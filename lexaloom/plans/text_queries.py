@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexaloom.functions import text as T
-from lexaloom.operators import chunking, lookup, nested, trees
-from lexaloom.sources.tables import latest, table
+from lexaloom.operators import chunking, trees
+from lexaloom.sources.tables import table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -186,31 +186,6 @@ def chunk_small_budget(spark, d):
     return chunking.pack(x, "text", 150, 20).select("doc_id", F.col("chunk_index").cast("long").alias("chunk_index"), "token_count")
 
 
-@query()
-def chunk_documents(spark, d):
-    """Documents packed into chunks of 1500 words at most."""
-    x = table(spark, d, "documents").select("doc_id", "text")
-    return chunking.pack(x, "text").select("doc_id", "chunk_index", "token_count", "has_code", F.md5("content").alias("content_md5"))
-
-
-@query()
-def chunk_by_sections(spark, d):
-    """Leaf topics with the content of the sections they name, packed into chunks."""
-    rows = latest(table(spark, d, "structure"), "structure_id", "saved_at", ["curriculum_id", "title", "source_sections", "children"])
-    flat = nested.flatten(rows, "structure_id", "curriculum_id", "title", "source_sections", "children")
-    topics = flat.where("kind = 'topic'")
-    inner = topics.where("parent_path is not null").select("key", F.col("parent_path").alias("path")).distinct()
-    leaves = topics.join(inner, ["key", "path"], "left_anti").select("key", F.col("grp").alias("curriculum_id"), "path", "titles", "title")
-    refs = flat.where("kind = 'section'").select("key", "path", F.col("position").alias("ref_ord"), F.col("title").alias("name"))
-    refs = leaves.join(refs, ["key", "path"], "left").select("key", "path", "curriculum_id", "titles", F.coalesce("ref_ord", F.lit(0)).alias("ref_ord"), F.coalesce("name", "title").alias("name"))
-    sections = table(spark, d, "extracted").select("curriculum_id", "file_ord", "section_ord", "section_id", "title", "content")
-    index = lookup.section_index(sections, ["curriculum_id"], "title", "content", ["file_ord", "section_ord", "section_id"])
-    found = lookup.look_up(refs, index, ["curriculum_id"], "name", "content").where("content <> ''")
-    text = found.groupBy("key", "path").agg(F.first("titles").alias("titles"), F.array_join(F.array_sort(F.collect_list(F.struct("ref_ord", "content")))["content"], "\n\n").alias("text"))
-    out = chunking.pack(text, "text")
-    return out.select(F.col("key").alias("structure_id"), "path", F.array_join("titles", " > ").alias("topic_path"), "chunk_index", F.lit(1).alias("page_number"), "token_count", "has_code", F.md5("content").alias("content_md5"))
-
-
 @query(
     """WITH w AS (SELECT DISTINCT section_id, list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> '') AS w FROM extracted WHERE content IS NOT NULL),
     p AS (SELECT section_id, w, unnest(range(CAST((len(w) + 99) // 100 AS BIGINT))) AS p FROM w)
