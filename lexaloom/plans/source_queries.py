@@ -47,43 +47,67 @@ def web_text(spark, d):
     return p.select("url", F.md5(C.page_text(F.col("html"))).alias("text_md5")).join(C.images_in(p), "url")
 
 
-_FILES = """f AS (SELECT 'src/' || n_name || '/' || p_brand || '/' || p_partkey || CASE p_partkey % 4 WHEN 0 THEN '.py' WHEN 1 THEN '.md' WHEN 2 THEN '.bin' ELSE '.sql' END AS path, p_name AS content, p_size * 4000 AS size FROM part JOIN nation ON n_nationkey = p_partkey % 25)"""
+# A file for every part, of every known kind and some others, in folders to skip and to take, with readmes.
+_ENDS = [*C.LANGUAGE, "lua", "TXT", "bin", "png", "conf", ""]
+_FOLDERS = ["", "src/", "src/core/", "src/core/deep/down/", ".hidden/", "node_modules/x/", "docs/"]
+_NAME = f"""CASE WHEN p_partkey = 1 THEN 'README.rst' WHEN p_partkey = 2 THEN 'README.md' WHEN p_partkey % 41 = 0 THEN folder || 'readme.md' WHEN p_partkey % 43 = 0 THEN folder || '.gitignore' WHEN p_partkey % 47 = 0 THEN folder || 'Makefile'
+      ELSE folder || p_partkey || CASE WHEN e = '' THEN '' ELSE '.' || e END END"""
+_FILES = f"""f AS (SELECT DISTINCT ON (path) path, content, size FROM (SELECT {_NAME} AS path, p_name AS content, CAST(p_size * 2500 AS BIGINT) AS size, p_partkey FROM (
+      SELECT *, {_ENDS}[CAST(p_partkey % {len(_ENDS)} AS INT) + 1] AS e, {_FOLDERS}[CAST(p_partkey % {len(_FOLDERS)} AS INT) + 1] AS folder FROM part)) ORDER BY path, p_partkey)"""
 
 
 def _files(spark, d):
-    p, n = table(spark, d, "part"), table(spark, d, "nation").select("n_nationkey", "n_name")
-    ext = F.when(F.col("p_partkey") % 4 == 0, ".py").when(F.col("p_partkey") % 4 == 1, ".md").when(F.col("p_partkey") % 4 == 2, ".bin").otherwise(".sql")
-    x = p.withColumn("n_nationkey", (F.col("p_partkey") % 25).cast("int")).join(F.broadcast(n), "n_nationkey")  # 25 nations
-    return x.select(F.concat(F.lit("src/"), "n_name", F.lit("/"), "p_brand", F.lit("/"), "p_partkey", ext).alias("path"), F.col("p_name").alias("content"), (F.col("p_size") * 4000).alias("size"))
+    at = lambda xs: F.get(F.array(*[F.lit(x) for x in xs]), (F.col("p_partkey") % len(xs)).cast("int"))
+    p = table(spark, d, "part").withColumn("e", at(_ENDS)).withColumn("folder", at(_FOLDERS))
+    path = F.expr(_NAME.replace("p_partkey ||", "CAST(p_partkey AS STRING) ||").replace("|| p_partkey", "|| CAST(p_partkey AS STRING)"))
+    return p.select(path.alias("path"), F.struct("p_partkey", F.col("p_name").alias("content"), (F.col("p_size") * 2500).cast("long").alias("size")).alias("v")).groupBy("path").agg(F.min("v").alias("v")).select("path", "v.content", "v.size")
+
+
+def _listed(words):
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+_EXT = "lower(regexp_extract({0}, '[^/]\\.([^./]+)$', 1))"
+_TAKEN = f"({_EXT.format('{0}')} IN {_listed(C.TAKEN)} OR ({_EXT.format('{0}')} = '' AND regexp_extract({{0}}, '([^/]*)$', 1) IN {_listed(C.NAMED)}))"
+_LANG = f"CASE {_EXT.format('path')} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in C.LANGUAGE.items()) + " ELSE 'text' END"
+_BARS = f"""n AS (SELECT DISTINCT list_slice(ps, 1, i) AS p, i < len(ps) AS folder FROM (SELECT ps, unnest(range(1, len(ps) + 1)) AS i FROM (SELECT string_split(path, '/') AS ps FROM f))),
+    k AS (SELECT *, CASE WHEN folder THEN '0' ELSE '1' END || p[-1] AS own, p[1:len(p) - 1] AS up FROM n WHERE len(p) <= 4 AND len(list_filter(p, lambda s: starts_with(s, '.') OR s IN {_listed(C.SKIPPED)})) = 0),
+    b AS (SELECT *, lead(own) OVER (PARTITION BY up ORDER BY own) IS NULL AS last FROM k),
+    t AS (SELECT array_to_string(p, '/') AS path, list_transform(range(1, len(p) + 1), lambda i: CASE WHEN i < len(p) OR folder THEN '0' ELSE '1' END || p[i]) AS place,
+      coalesce((SELECT string_agg(CASE WHEN a.last THEN '    ' ELSE '│   ' END, '' ORDER BY len(a.p)) FROM b a WHERE len(a.p) < len(b.p) AND b.p[1:len(a.p)] = a.p), '') || CASE WHEN last THEN '└── ' ELSE '├── ' END || p[-1] || CASE WHEN folder THEN '/' ELSE '' END AS line
+      FROM b WHERE folder OR {_TAKEN.format("p[-1]")}
+      UNION ALL SELECT '', [], 'parts/')"""
 
 
 @query(
-    f"""WITH {_FILES}, x AS (SELECT regexp_extract(path, '^(.*)/[^/]*$', 1) AS folder, path, '### ' || path || chr(10) || chr(10) || '```' || CASE regexp_extract(path, '\\.([a-z]+)$', 1) WHEN 'py' THEN 'python' WHEN 'md' THEN 'markdown' ELSE 'sql' END || chr(10) || rtrim(content) || chr(10) || '```' AS b
-      FROM f WHERE size <= 100000 AND NOT path LIKE '%.bin')
-    SELECT folder, md5(string_agg(b, chr(10) || chr(10) ORDER BY path)) AS content_md5, count(*) AS files FROM x GROUP BY 1"""
+    f"""WITH {_FILES}, {_BARS}, x AS (SELECT CASE WHEN contains(path, '/') THEN regexp_extract(path, '^(.*)/[^/]*$', 1) ELSE '(root)' END AS title, path, '### ' || path || chr(10) || chr(10) || '```' || {_LANG} || chr(10) || content || chr(10) || '```' AS b
+      FROM f WHERE size <= 100000 AND NOT starts_with(lower(regexp_extract(path, '([^/]*)$', 1)), 'readme') AND {_TAKEN.format('path')} AND len(list_filter(string_split(path, '/')[1:-2], lambda s: starts_with(s, '.') OR s IN {_listed(C.SKIPPED)})) = 0)
+    SELECT CAST(2 AS BIGINT) AS section_ord, title, md5(string_agg(b, chr(10) || chr(10) ORDER BY path)) AS content_md5, CAST(1 AS BIGINT) AS depth, count(*) AS files FROM x GROUP BY title
+    UNION ALL SELECT 0, 'README', md5(arg_min(content, list_position({C.README_NAMES}, path))), 0, 1 FROM f WHERE path IN {_listed(C.README_NAMES)} HAVING count(*) > 0
+    UNION ALL SELECT 1, 'File Structure', md5('```' || chr(10) || string_agg(line, chr(10) ORDER BY place) || chr(10) || '```'), 0, count(*) FROM t"""
 )
 def code_sections(spark, d):
-    """Source files by folder."""
-    return C.code_sections(_files(spark, d)).select("folder", F.md5("content").alias("content_md5"), F.col("files").cast("long").alias("files"))
+    """A tree of code: its readme, its files, and the sources of every folder."""
+    return C.code_sections(_files(spark, d), "parts").select(F.col("section_ord").cast("long").alias("section_ord"), "title", F.md5("content").alias("content_md5"), F.col("depth").cast("long").alias("depth"), F.col("files").cast("long").alias("files"))
 
 
-@query()
+@query(f"WITH {_FILES}, {_BARS} SELECT path, array_to_string(place, '/') AS place, line FROM t")
 def code_tree(spark, d):
-    """Folders and files as a tree."""
-    return C.file_tree(_files(spark, d))
+    """Folders and files as the lines of a tree."""
+    return C.file_tree(_files(spark, d), "parts").select("path", F.array_join("place", "/").alias("place"), "line")
 
 
 @query(
-    """WITH s AS (SELECT event_id % 50 AS video, CASE event_type WHEN 'view' THEN 'manual' WHEN 'click' THEN 'auto' ELSE 'speech' END AS origin, CASE user_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'de' ELSE 'fr' END AS language FROM events WHERE event_id % 7 = 0),
+    """WITH s AS (SELECT event_id % 5000 AS video, CASE event_type WHEN 'view' THEN 'manual' WHEN 'click' THEN 'auto' ELSE 'speech' END AS origin, CASE user_id % 3 WHEN 0 THEN 'en' WHEN 1 THEN 'de' ELSE 'fr' END AS language FROM events),
     r AS (SELECT DISTINCT *, CASE WHEN origin = 'manual' AND language = 'de' THEN 1 WHEN origin = 'manual' AND language = 'en' THEN 2 WHEN origin = 'auto' AND language = 'de' THEN 1001 WHEN origin = 'auto' AND language = 'en' THEN 1002 WHEN origin IN ('manual', 'auto') THEN 2000 ELSE 3000 END AS k FROM s)
     SELECT video, language, origin FROM (SELECT *, row_number() OVER (PARTITION BY video ORDER BY k, language, origin) AS n FROM r) WHERE n = 1"""
 )
 def transcript_choice(spark, d):
     """The transcript to use for each video."""
-    e = table(spark, d, "events").where("event_id % 7 = 0")
+    e = table(spark, d, "events")
     origin = F.when(F.col("event_type") == "view", "manual").when(F.col("event_type") == "click", "auto").otherwise("speech")
     lang = F.when(F.col("user_id") % 3 == 0, "en").when(F.col("user_id") % 3 == 1, "de").otherwise("fr")
-    return C.pick_transcript(e.select((F.col("event_id") % 50).alias("video"), lang.alias("language"), origin.alias("origin")), ["de", "en"])
+    return C.pick_transcript(e.select((F.col("event_id") % 5000).alias("video"), lang.alias("language"), origin.alias("origin")), ["de", "en"])
 
 
 @query("SELECT CAST(user_id AS VARCHAR) AS img_id, md5(string_agg(event_type, chr(10) ORDER BY value, event_id)) AS text_md5 FROM events WHERE value >= 15 GROUP BY 1")
@@ -175,12 +199,12 @@ def exercises_topn(spark, d):
 
 @query(
     """SELECT DISTINCT chunk_id, md5(CASE WHEN l = '' THEN content ELSE content || chr(10) || chr(10) || l END) AS content_md5 FROM (
-      SELECT chunk_id, content, coalesce(array_to_string(list_transform(list_filter(images, lambda i: i.local_path IS NOT NULL), lambda i: '![' || coalesce(i.alt_text, '') || '](s3://img/' || i.local_path || ')'), chr(10)), '') AS l FROM chunks WHERE content IS NOT NULL)"""
+      SELECT chunk_id, content, coalesce(array_to_string(list_transform(list_filter(images, lambda i: i.local_path IS NOT NULL), lambda i: '![' || coalesce(i.alt_text, '') || '](https://images.example/' || i.local_path || ')'), chr(10)), '') AS l FROM chunks WHERE content IS NOT NULL)"""
 )
 def image_links(spark, d):
     """Chunks with links to their images."""
     c = table(spark, d, "chunks").where("content is not null")
-    return c.select("chunk_id", F.md5(lookup.with_image_links(F.col("content"), F.col("images"), "s3://img")).alias("content_md5")).distinct()
+    return c.select("chunk_id", F.md5(lookup.with_image_links(F.col("content"), F.col("images"), "https://images.example")).alias("content_md5")).distinct()
 
 
 @query("SELECT DISTINCT chunk_id, i.id AS id, s AS section_id FROM (SELECT chunk_id, curriculum_id, unnest(images) AS i FROM chunks), (SELECT curriculum_id AS c, min(section_id) AS s FROM extracted WHERE contains(content, 'the') GROUP BY 1) WHERE c = curriculum_id AND i.id IS NOT NULL")

@@ -201,30 +201,52 @@ def synthetic_pages(spark, d):
     """WITH w AS (SELECT DISTINCT section_id, list_filter(regexp_split_to_array(content, '\\s+'), lambda x: x <> '') AS w FROM extracted WHERE content IS NOT NULL),
     p AS (SELECT section_id, w, unnest(range(CAST((len(w) + 99) // 100 AS BIGINT))) AS p FROM w),
     t AS (SELECT section_id, p + 1 AS page, array_to_string(w[p * 100 + 1 : p * 100 + 100], ' ') AS text FROM p),
-    r AS (SELECT section_id, a, a + 1 AS b FROM (SELECT DISTINCT section_id, unnest([1, 3]) AS a FROM t))
+    r AS (SELECT section_id, a, a + 1 AS b FROM (SELECT section_id, unnest(range(1, max(page) + 1, 2)) AS a FROM t GROUP BY 1))
     SELECT r.section_id, CAST(a AS BIGINT) AS page_start, CAST(b AS BIGINT) AS page_end, md5(coalesce(string_agg(text, chr(10) || chr(10) ORDER BY page), '')) AS text_md5
     FROM r LEFT JOIN t ON t.section_id = r.section_id AND t.page BETWEEN a AND b GROUP BY ALL"""
 )
 def page_range_text(spark, d):
-    """Text of pages 1 to 2 and 3 to 4 of every section."""
+    """Text of every two pages of every section, to the last."""
     x = table(spark, d, "extracted").where("content is not null").select("section_id", "content").dropDuplicates(["section_id"])
     pages = chunking.synthetic_pages(x, "section_id", "content", 100).select("section_id", F.col("page").cast("long").alias("page"), "text")
-    r = pages.select("section_id").distinct().select("section_id", F.explode(F.array(F.lit(1), F.lit(3)).cast("array<long>")).alias("page_start")).withColumn("page_end", F.col("page_start") + 1)
+    last = pages.groupBy("section_id").agg(F.max("page").alias("last"))
+    r = last.select("section_id", F.explode(F.sequence(F.lit(1).cast("long"), "last", F.lit(2).cast("long"))).alias("page_start")).withColumn("page_end", F.col("page_start") + 1)
     return chunking.text_of_pages(r, pages, "section_id").select("section_id", "page_start", "page_end", F.md5("text").alias("text_md5"))
 
 
-@query()
+def _parts_sql(hashes: int) -> str:
+    """Headings of documents and what stands before the first and after each."""
+    p = f"(?m)^#{{1,{hashes}}}\\s+.+$"
+    return f"""m AS (SELECT doc_id, text, regexp_extract_all(text, '{p}') AS h, regexp_split_to_array(text, '{p}') AS s FROM documents WHERE text IS NOT NULL),
+    u AS (SELECT doc_id, i, h[i] AS head, {STRIP('s[i + 1]')} AS content FROM (SELECT doc_id, h, s, unnest(range(len(h) + 1)) AS i FROM m WHERE len(h) > 0)),
+    headed AS (SELECT doc_id, i, CASE WHEN i = 0 THEN NULL ELSE {STRIP("regexp_extract(head, '(?m)^#+\\s+(.+)$', 1)")} END AS title, CASE WHEN i = 0 THEN 0 ELSE length(regexp_extract(head, '^#+')) - 1 END AS depth, content FROM u WHERE i > 0 OR content <> '')"""
+
+
+def STRIP(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '^{WS}+', ''), '{WS}+$', '')"
+
+
+@query(
+    f"""WITH {_parts_sql(3)}, p AS (SELECT doc_id, text, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {STRIP('x')}), lambda x: x <> '') AS p FROM m WHERE len(h) = 0),
+    rows_ AS (SELECT doc_id, i, coalesce(title, 'Introduction') AS title, depth, content FROM headed
+      UNION ALL SELECT doc_id, 0, 'Introduction', 0, {STRIP('text')} FROM p WHERE len(p) <= 3
+      UNION ALL SELECT doc_id, i, left(split_part(f[1], chr(10), 1), 80), 0, array_to_string(f, chr(10) || chr(10)) FROM (SELECT doc_id, i, p[i * 5 + 1 : i * 5 + 5] AS f FROM (SELECT doc_id, p, unnest(range(CAST((len(p) + 4) // 5 AS BIGINT))) AS i FROM p WHERE len(p) > 3)))
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS BIGINT) AS section_ord, title, CAST(depth AS BIGINT) AS depth, md5(content) AS content_md5 FROM rows_"""
+)
 def markdown_sections(spark, d):
     """Documents parted at their headings."""
     x = table(spark, d, "documents").select("doc_id", "text", F.lit("Introduction").alias("fallback"))
-    return chunking.markdown_sections(x, "doc_id", "text", "fallback").select("doc_id", "section_ord", "title", "depth", F.md5("content").alias("content_md5"))
+    return chunking.markdown_sections(x, "doc_id", "text", "fallback").select("doc_id", F.col("section_ord").cast("long").alias("section_ord"), "title", F.col("depth").cast("long").alias("depth"), F.md5("content").alias("content_md5"))
 
 
-@query()
+@query(
+    f"""WITH {_parts_sql(6)}, rows_ AS (SELECT doc_id, i, coalesce(title, 'Introduction') AS title, depth, content FROM headed UNION ALL SELECT doc_id, 0, 'Content', 0, {STRIP('text')} FROM m WHERE len(h) = 0)
+    SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS BIGINT) AS section_ord, title, CAST(depth + doc_id % 3 AS BIGINT) AS depth, md5(content) AS content_md5 FROM rows_"""
+)
 def export_sections(spark, d):
-    """Documents parted at headings of all six levels, as of a workspace's export."""
-    x = table(spark, d, "documents").select("doc_id", "text", F.lit("Content").alias("fallback"))
-    return chunking.markdown_sections(x, "doc_id", "text", "fallback", hashes=6).select("doc_id", "section_ord", "title", "depth", F.md5("content").alias("content_md5"))
+    """Documents parted at headings of all six levels, as pages of a workspace's export at three depths."""
+    x = table(spark, d, "documents").select("doc_id", "text", (F.col("doc_id") % 3).cast("int").alias("base"))
+    return chunking.export_sections(x, "doc_id", "text", "base").select("doc_id", F.col("section_ord").cast("long").alias("section_ord"), "title", F.col("depth").cast("long").alias("depth"), F.md5("content").alias("content_md5"))
 
 
 def _case(pairs: list[tuple[str, list[str]]]) -> str:

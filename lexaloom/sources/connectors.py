@@ -33,11 +33,21 @@ TAKEN = [
     "less", "proto", "graphql", "tf", "dockerfile", "conf", "ini", "cfg",
 ]
 NAMED = ["Makefile", "Dockerfile", "Procfile", "Gemfile", "Rakefile", "Vagrantfile", ".gitignore", ".dockerignore"]
+# Language of a fenced block by extension.
 LANGUAGE = {
-    "py": "python", "js": "javascript", "ts": "typescript", "jsx": "jsx", "tsx": "tsx", "java": "java", "kt": "kotlin", "swift": "swift", "go": "go",
-    "rs": "rust", "c": "c", "cpp": "cpp", "h": "c", "hpp": "cpp", "cs": "csharp", "rb": "ruby", "php": "php", "lua": "lua", "sh": "bash", "bash": "bash",
-    "sql": "sql", "scala": "scala", "dart": "dart", "yaml": "yaml", "yml": "yaml", "json": "json", "html": "html", "css": "css", "md": "markdown",
+    "py": "python", "js": "javascript",
+    "ts": "typescript", "jsx": "jsx", "tsx": "tsx",
+    "java": "java", "kt": "kotlin", "swift": "swift",
+    "go": "go", "rs": "rust",
+    "c": "c", "cpp": "cpp", "h": "c", "hpp": "cpp",
+    "cs": "csharp", "rb": "ruby", "php": "php",
+    "dart": "dart", "sql": "sql", "sh": "bash",
+    "yaml": "yaml", "yml": "yaml", "toml": "toml",
+    "json": "json", "xml": "xml", "html": "html",
+    "css": "css", "scss": "scss", "md": "markdown",
 }
+# Names of the file that introduces a tree of code, the first that is there counts.
+README_NAMES = ["README.md", "README.rst", "README.txt", "README"]
 MOST_BYTES = 100_000
 LEAST_IMAGE = 2048
 
@@ -90,35 +100,70 @@ def read_rows(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     return x.withColumn("_p", part).join(F.broadcast(base), "_p").withColumn("row_ord", F.col("_base") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_p", "_n", "_base")
 
 
+def _suffix(name: Column) -> Column:
+    return F.lower(F.regexp_extract(name, r"(?<=.)\.([^.]+)$", 1))
+
+
+def _taken(name: Column) -> Column:
+    """True for names of source files."""
+    return _suffix(name).isin(TAKEN) | ((_suffix(name) == "") & name.isin(NAMED))
+
+
+def language_of(name: Column) -> Column:
+    """Language of a file's fenced block, 'text' for unknown ones."""
+    kinds = F.create_map(*[F.lit(v) for kv in LANGUAGE.items() for v in kv])
+    return F.coalesce(F.try_element_at(kinds, _suffix(name)), F.lit("text"))
+
+
 @extractor("code")
-def code_sections(files: DataFrame, extra_skip: list[str] | None = None) -> DataFrame:
-    """(folder, content, files) of files(path, content, size), paths being relative: every folder's sources, each fenced under its path.
+def code_sections(files: DataFrame, root: str = "root", extra_skip: list[str] | None = None) -> DataFrame:
+    """(section_ord, title, content, depth, files) of files(path, content, size), paths being relative.
 
-    Folders with a listed or dotted name are skipped, as are files over 100,000
-    bytes, of unknown kinds, and readmes.
+    The readme comes first as it is, then the tree of files, then a section for
+    every folder in order of name, its sources each fenced under its path. Folders
+    with a listed or dotted name are skipped, as are files over 100,000 bytes, of
+    unknown kinds, and all other readmes. Null contents count as empty.
     """
     parts = F.split("path", "/")
     name = F.element_at(parts, -1)
     dirs = F.slice(parts, F.lit(1), F.size(parts) - 1)
-    ext = F.lower(F.regexp_extract(name, r"(?<=.)\.([^.]+)$", 1))
     skipped = F.exists(dirs, lambda p: p.isin(SKIPPED + (extra_skip or [])) | p.startswith("."))
-    x = files.where(~skipped & (F.col("size") <= MOST_BYTES) & ~F.lower(name).startswith("readme") & (ext.isin(TAKEN) | name.isin(NAMED)))
-    lang = F.coalesce(F.try_element_at(F.create_map(*[F.lit(v) for kv in LANGUAGE.items() for v in kv]), ext), F.lit("text"))
-    block = F.concat(F.lit("### "), F.col("path"), F.lit("\n\n```"), lang, F.lit("\n"), F.regexp_replace("content", r"\s+$", ""), F.lit("\n```"))
+    text = F.coalesce("content", F.lit(""))
+    x = files.where(~skipped & (F.col("size") <= MOST_BYTES) & ~F.lower(name).startswith("readme") & _taken(name))
+    block = F.concat(F.lit("### "), F.col("path"), F.lit("\n\n```"), language_of(name), F.lit("\n"), text, F.lit("\n```"))
     folder = F.when(F.size(dirs) == 0, "(root)").otherwise(F.array_join(dirs, "/"))
-    g = x.select(folder.alias("folder"), F.struct("path", block.alias("b")).alias("v")).groupBy("folder").agg(F.array_sort(F.collect_list("v")).alias("l"))
-    return g.select("folder", F.array_join("l.b", "\n\n").alias("content"), F.size("l").alias("files"))
-
-
-def file_tree(files: DataFrame, depth: int = 3) -> DataFrame:
-    """(path, line) of folders and files down to ``depth`` folders, as lines of a tree in order: folders first, then by name; dotted names are left out."""
+    g = x.select(folder.alias("title"), F.struct("path", block.alias("b")).alias("v")).groupBy("title").agg(F.array_sort(F.collect_list("v")).alias("l"))
+    columns = ["section_ord", "title", "content", "depth", "files"]
+    folders = g.select(F.lit(2).alias("section_ord"), "title", F.array_join("l.b", "\n\n").alias("content"), F.lit(1).alias("depth"), F.size("l").alias("files"))
+    rank = F.array_position(F.array(*[F.lit(n) for n in README_NAMES]), F.col("path"))
+    readme = files.where(rank > 0).agg(F.min_by(text, rank).alias("content")).where("content is not null")
+    readme = readme.select(F.lit(0).alias("section_ord"), F.lit("README").alias("title"), "content", F.lit(0).alias("depth"), F.lit(1).alias("files"))
+    lines = file_tree(files, root, extra_skip=extra_skip).agg(F.array_sort(F.collect_list(F.struct("place", "line"))).alias("l")).where(F.size("l") > 0)
+    tree = lines.select(F.lit(1).alias("section_ord"), F.lit("File Structure").alias("title"), F.concat(F.lit("```\n"), F.array_join("l.line", "\n"), F.lit("\n```")).alias("content"), F.lit(0).alias("depth"), F.size("l").alias("files"))
+    return readme.unionByName(tree).unionByName(folders).select(*columns)
+
+
+def file_tree(files: DataFrame, root: str = "root", depth: int = 3, extra_skip: list[str] | None = None) -> DataFrame:
+    """(path, place, line) of the root, folders and source files down to ``depth`` folders, as lines of a tree; ``place`` sorts them: folders first, then by name.
+
+    Listed and dotted names are left out, folders as well as files. Files of
+    unknown kinds have no line, but still count where a branch ends.
+    """
     parts = F.split("path", "/")
     every = files.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.struct(F.slice(parts, F.lit(1), i).alias("p"), (i < F.size(parts)).alias("folder")))).alias("n")).select("n.p", "n.folder").distinct()
-    every = every.where((F.size("p") <= depth + 1) & ~F.exists("p", lambda s: s.startswith(".") | s.isin(SKIPPED)))
+    every = every.where((F.size("p") <= depth + 1) & ~F.exists("p", lambda s: s.startswith(".") | s.isin(SKIPPED + (extra_skip or []))))
     up = F.slice("p", F.lit(1), F.size("p") - 1)
-    last = F.lead("p").over(Window.partitionBy(up).orderBy(F.desc("folder"), F.element_at("p", -1))).isNull()
-    line = F.concat(F.repeat(F.lit("    "), F.size("p") - 1), F.when(last, "└── ").otherwise("├── "), F.element_at("p", -1), F.when(F.col("folder"), "/").otherwise(""))
-    return every.select(F.array_join("p", "/").alias("path"), line.alias("line"))
+    own = F.concat(F.when(F.col("folder"), "0").otherwise("1"), F.element_at("p", -1))
+    last = F.lead("p").over(Window.partitionBy(up).orderBy(own)).isNull()
+    every = every.withColumn("last", last)
+    above = every.select("p", "folder", "last", F.explode(F.transform(F.sequence(F.lit(1), F.size("p")), lambda i: F.slice("p", F.lit(1), i))).alias("q"))
+    bars = above.join(every.select(F.col("p").alias("q"), F.col("last").alias("_last")), "q").where("p <> q").groupBy("p").agg(F.array_join(F.array_sort(F.collect_list(F.struct(F.size("q").alias("i"), F.when(F.col("_last"), "    ").otherwise("│   ").alias("bar"))))["bar"], "").alias("bars"))
+    x = every.join(bars, "p", "left").where(F.col("folder") | _taken(F.element_at("p", -1)))
+    line = F.concat(F.coalesce("bars", F.lit("")), F.when(F.col("last"), "└── ").otherwise("├── "), F.element_at("p", -1), F.when(F.col("folder"), "/").otherwise(""))
+    n = F.size("p")
+    place = F.transform("p", lambda s, i: F.concat(F.when((i < n - 1) | F.col("folder"), "0").otherwise("1"), s))
+    top = files.limit(1).select(F.lit("").alias("path"), F.array().cast("array<string>").alias("place"), F.lit(f"{root}/").alias("line"))
+    return x.select(F.array_join("p", "/").alias("path"), place.alias("place"), line.alias("line")).unionByName(top)
 
 
 def links_in(pages: DataFrame, prefixes: list[str] | None = None) -> DataFrame:
