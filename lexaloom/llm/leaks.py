@@ -2,10 +2,11 @@
 
 Documents and items are cut into overlapping passages. Passages become TF-IDF
 vectors over the terms (short runs of words, or of characters where words
-aren't parted) the items hold; a distributed randomised SVD of them gives a
-latent space, in which each passage of a document looks for the passages of
-items next to it by cosine. What it finds is checked by the longest common
-subsequence and by the longest common run.
+aren't parted) the items hold. A randomised SVD, whose products are summed over
+the cluster, gives a latent space in which each passage of a document looks for
+the passages of items next to it by cosine. What it finds is decided by the
+longest common run, or, for paraphrases, by the longest common subsequence and
+by whether what answers the item, its numbers, names and rare words, is there.
 """
 
 from __future__ import annotations
@@ -23,22 +24,27 @@ from pyspark.sql import functions as F
 from lexaloom.operators.frames import frame
 from lexaloom.session import cut
 
-#: Items handled at once; a larger set is handled in blocks.
-BLOCK = 20_000
+#: Items handled at once, which bounds the space they span; a larger set of items meets all documents block by block.
+BLOCK = 5_000
+#: What a paraphrase must keep: of an item's passage in order, and of the weight of its units in any order.
+KEPT, ANSWER = 0.75, 0.7
+#: Directions beyond the rank that the randomised SVD starts from.
+SPARE = 16
 MIX = np.uint64(0x9E3779B97F4A7C15 | 1)
 INVISIBLE = re.compile("[­͏؜ᅟᅠ឴឵᠋-᠏​-‏‪-‮⁠-⁯︀-️﻿]")
-TAG = re.compile(r"</?[a-zA-Z][^<>\n]{0,200}>|&(?:nbsp|zwnj|zwj|shy|ensp|emsp|thinsp|#\d{1,6}|#x[0-9a-fA-F]{1,6});")
+TAG = re.compile(r"</?[a-zA-Z][^<>\n]*>|&(?:nbsp|zwnj|zwj|shy|ensp|emsp|thinsp|#\d+|#x[0-9a-fA-F]+);")
 WORD = re.compile(r"[^\W_]+")
 UNSPACED = re.compile("[぀-ヿ㐀-鿿豈-﫿]")
 
 
 @dataclass(frozen=True)
 class Kind:
-    """How texts of a kind are cut: a run counts from ``run`` units on, terms are ``gram`` units."""
+    """How texts of a kind are cut: a run counts from ``run`` units on, terms are ``gram`` units, passages with fewer than ``least`` known terms aren't looked at."""
 
     name: str
     run: int
     gram: int
+    least: int
 
     @property
     def step(self) -> int:
@@ -49,7 +55,10 @@ class Kind:
         return self.run + self.step
 
 
-WORDS, CHARACTERS = Kind("w", 12, 4), Kind("c", 30, 8)
+# For runs: a run of n units holds n - gram + 1 terms, so none is lost.
+WORDS, CHARACTERS = Kind("w", 12, 4, 9), Kind("c", 30, 8, 23)
+# For paraphrases, whose terms are shorter: what is kept of a passage, beside what another cut of it leaves out, holds that many.
+NEAR = (Kind("w", 12, 2, 6), Kind("c", 30, 3, 14))
 
 
 def plain(text: str) -> str:
@@ -84,27 +93,39 @@ class Items:
     """A block of items: units, terms and passages."""
 
     items: list[tuple[int, str | None, str]]
+    kinds: tuple[Kind, Kind] = (WORDS, CHARACTERS)
     vocabulary: dict[str, dict[str, int]] = field(default_factory=lambda: {"w": {}, "c": {}})
     terms: dict[str, np.ndarray] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.passages: list[tuple[int, Kind, np.ndarray]] = []
         for i, lang, text in self.items:
-            kind = CHARACTERS if (lang or "").lower()[:2] in ("zh", "ja") else WORDS
-            units = words(plain(text)) if kind is WORDS else list(characters(plain(text)))
+            kind = self.kinds[(lang or "").lower()[:2] in ("zh", "ja")]
+            units = words(plain(text)) if kind.name == "w" else list(characters(plain(text)))
             ids = self.vocabulary[kind.name]
             seq = np.array([ids.setdefault(u, len(ids) + 1) for u in units], dtype=np.int64)
             for a in range(0, max(1, len(seq) - kind.run + kind.step), kind.step):
                 if len(seq[a : a + kind.width]) >= kind.gram:
                     self.passages.append((i, kind, seq[a : a + kind.width]))
-        for kind in (WORDS, CHARACTERS):
+        for kind in self.kinds:
             own = [grams(s, kind.gram) for _, k, s in self.passages if k is kind]
             self.terms[kind.name] = np.unique(np.concatenate([x[x != 0] for x in own])) if own else np.zeros(0, dtype=np.uint64)
 
+    def kind(self, name: str) -> Kind:
+        return self.kinds[name == "c"]
+
     @property
     def n_terms(self) -> int:
         return len(self.terms["w"]) + len(self.terms["c"])
 
+    @property
+    def n_counted(self) -> int:
+        """Terms, and after them the units of both kinds."""
+        return self.n_terms + len(self.vocabulary["w"]) + len(self.vocabulary["c"]) + 2
+
+    def unit_base(self, kind: Kind) -> int:
+        return self.n_terms + (len(self.vocabulary["w"]) + 1 if kind.name == "c" else 0)
+
     def term_ids(self, seq: np.ndarray, kind: Kind) -> np.ndarray:
         """For each position the number of the term that begins there, or -1."""
         known = self.terms[kind.name]
@@ -112,7 +133,7 @@ class Items:
         if not len(known) or not len(g):
             return np.full(len(g), -1, dtype=np.int64)
         at = np.minimum(np.searchsorted(known, g), len(known) - 1)
-        return np.where((known[at] == g) & (g != 0), at + (len(self.terms["w"]) if kind == CHARACTERS else 0), -1)
+        return np.where((known[at] == g) & (g != 0), at + (len(self.terms["w"]) if kind.name == "c" else 0), -1)
 
 
 def grams(seq: np.ndarray, n: int) -> np.ndarray:
@@ -130,23 +151,23 @@ def grams(seq: np.ndarray, n: int) -> np.ndarray:
 
 
 def _cut_documents(shared):
-    """Document frequencies of terms, and the passages that hold enough terms for a run (a run of n units has n - gram + 1)."""
+    """Document frequencies of terms and units, and the passages with enough terms, each with a step of its text on either side."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         it: Items = shared.value
         for pdf in batches:
-            frequency = np.zeros(it.n_terms, dtype=np.int64)
+            frequency = np.zeros(it.n_counted, dtype=np.int64)
             rows = []
             texts = [plain(t) for t in pdf["text"]]
-            for kind in (WORDS, CHARACTERS):
+            for kind in it.kinds:
                 get = it.vocabulary[kind.name].get
                 if not it.vocabulary[kind.name]:
                     continue
                 keys, seqs = [], []
                 for k, t in zip(pdf["doc"], texts, strict=True):
-                    if kind is CHARACTERS and not UNSPACED.search(t):
+                    if kind.name == "c" and not UNSPACED.search(t):
                         continue
-                    units = words(t) if kind is WORDS else characters(t)
+                    units = words(t) if kind.name == "w" else characters(t)
                     seqs.append([get(u, 0) for u in units])
                     keys.append(k)
                 if not seqs:
@@ -157,24 +178,34 @@ def _cut_documents(shared):
                 for b, s in zip(begin, seqs, strict=False):
                     joined[b : b + len(s)] = s
                 terms = it.term_ids(joined, kind)
-                hits = np.flatnonzero(terms >= 0)
-                of = np.searchsorted(begin, hits, side="right") - 1
-                frequency += np.bincount(np.unique(of * it.n_terms + terms[hits]) % it.n_terms, minlength=it.n_terms)
+                for hits, values in ((np.flatnonzero(terms >= 0), terms), (np.flatnonzero(joined), joined + it.unit_base(kind))):
+                    of = np.searchsorted(begin, hits, side="right") - 1
+                    frequency += np.bincount(np.unique(of * it.n_counted + values[hits]) % it.n_counted, minlength=it.n_counted)
                 counted = np.r_[0, np.cumsum(terms >= 0)]
                 for k, b, s in zip(keys, begin, seqs, strict=False):
-                    if counted[min(b + len(s), len(counted) - 1)] - counted[b] < kind.run - kind.gram + 1:
+                    if counted[min(b + len(s), len(counted) - 1)] - counted[b] < kind.least:
                         continue
                     a = np.arange(b, b + max(1, len(s) - kind.run + kind.step), kind.step)
                     e = np.minimum(np.minimum(a + kind.width, b + len(s)) - kind.gram + 1, len(terms))
-                    for x in a[(counted[np.maximum(e, a)] - counted[a]) >= kind.run - kind.gram + 1]:
-                        rows.append((k, kind.name, joined[x : min(x + kind.width, b + len(s))].tolist(), None, None))
+                    for x in a[(counted[np.maximum(e, a)] - counted[a]) >= kind.least]:
+                        lo = max(b, x - kind.step)
+                        rows.append((k, kind.name, x - lo, joined[lo : min(x + kind.width + kind.step, b + len(s))].tolist(), None, None))
             seen = np.flatnonzero(frequency)
-            rows += [(None, None, None, f, frequency[f]) for f in seen]
-            yield frame(rows, ["doc", "kind", "units", "term", "n"], ("doc", "term", "n"))
+            rows += [(None, None, None, None, f, frequency[f]) for f in seen]
+            yield frame(rows, ["doc", "kind", "before", "units", "term", "n"], ("doc", "before", "term", "n"))
 
     return part
 
 
+def _cores(it: Items, pdf: pd.DataFrame) -> list[tuple[Kind, np.ndarray]]:
+    """Passages without what stands on either side."""
+    out = []
+    for k, b, u in zip(pdf["kind"], pdf["before"], pdf["units"], strict=True):
+        kind = it.kind(k)
+        out.append((kind, np.asarray(u[b : b + kind.width], dtype=np.int64)))
+    return out
+
+
 def _vectors(it: Items, passages: list[tuple[Kind, np.ndarray]], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """TF-IDF vectors of unit length as (row, term, weight)."""
     return _weighted(*_terms(it, passages), len(passages), idf)
@@ -220,39 +251,98 @@ def _add_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"term": list(total), "v": [x.tobytes() for x in total.values()]})
 
 
-def _term_sets(shared, kinds: dict[str, Kind]):
+def _term_sets(shared):
     """The terms of each passage, those of equal ones in a batch once."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         it: Items = shared.value
         for pdf in batches:
-            p = [(kinds[k], np.asarray(u)) for k, u in zip(pdf["kind"], pdf["units"], strict=True)]
-            row, term = _terms(it, p)
+            row, term = _terms(it, _cores(it, pdf))
             sets = np.split(term.astype(np.int32), np.flatnonzero(np.diff(row)) + 1) if len(row) else []
             yield frame([(np.frombuffer(s, dtype=np.int32).tolist(),) for s in {s.tobytes() for s in sets}], ["terms"], ())
 
     return part
 
 
-def _sketch(shared, rank: int):
-    """Partial sums of A'(A R) over the sets of terms of a part: a row a term."""
+def _of_sets(pdf: pd.DataFrame, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row, term = np.repeat(np.arange(len(pdf)), pdf["terms"].map(len)), np.concatenate(pdf["terms"].to_list())
+    return _weighted(row, term, len(pdf), idf)
+
+
+def _sketch(state):
+    """Partial sums of A'(A S) over the sets of terms of a part, A's rows, for a basis S: a row a term."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        it, idf, basis = shared.value
-        total = np.zeros((it.n_terms, rank), dtype=np.float32)
+        idf, basis = state.value
+        total = np.zeros(basis.shape, dtype=np.float32)
         for pdf in batches:
-            if not len(pdf):
-                continue
-            row, term = np.repeat(np.arange(len(pdf)), pdf["terms"].map(len)), np.concatenate(pdf["terms"].to_list())
-            row, term, w = v = _weighted(row, term, len(pdf), idf)
-            y = _times(v, len(pdf), basis)
-            np.add.at(total, term, y[row] * w[:, None].astype(np.float32))
+            for a in range(0, len(pdf), 4096):
+                v = _of_sets(pdf.iloc[a : a + 4096], idf)
+                y, (row, term, w) = _times(v, min(4096, len(pdf) - a), basis), v
+                order = np.argsort(term, kind="stable")
+                begin = np.flatnonzero(np.r_[True, np.diff(term[order]) != 0])
+                total[term[order][begin]] += np.add.reduceat(y[row[order]] * w[order, None].astype(np.float32), begin, axis=0)
         used = np.flatnonzero(np.abs(total).sum(axis=1))
         yield pd.DataFrame({"term": used, "v": [x.tobytes() for x in total[used]]})
 
     return part
 
 
+def _gram(rows):
+    """Sum of y y' over the rows of a part, for what ``rows`` makes of a batch: a small square a part."""
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for pdf in batches:
+            for a in range(0, len(pdf), 4096):
+                y = rows(pdf.iloc[a : a + 4096]).astype(np.float64)
+                total = y.T @ y if total is None else total + y.T @ y
+        yield pd.DataFrame({"g": [] if total is None else [total.tobytes()]})
+
+    return part
+
+
+def _square(df: DataFrame, size: int, rows) -> np.ndarray:
+    """The squares of all parts summed: as many small rows come to the driver as there are parts."""
+    out = np.zeros((size, size))
+    for r in df.mapInPandas(_gram(rows), "g binary").toLocalIterator():
+        out += np.frombuffer(r.g, dtype=np.float64).reshape(size, size)
+    return out
+
+
+def randomised_svd(sets: DataFrame, idf: np.ndarray, rank: int, rounds: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(V, s): the first right singular vectors and values of A, whose rows are the TF-IDF vectors of ``sets`` (terms: array<int>).
+
+    A random start S is drawn through A'A ``rounds`` times, the products being
+    summed over the cluster, and made orthonormal by the Cholesky factor of its
+    Gram matrix, summed over the cluster too. Of the small B = A Q only B'B is
+    formed; its eigenvectors turn Q into singular vectors. The driver sees squares
+    of rank + SPARE, and the basis, a row a term of the items.
+    """
+    spark, n = sets.sparkSession, len(idf)
+    k = min(rank + SPARE, n)
+    basis = np.random.default_rng(7).standard_normal((n, k)).astype(np.float32)
+    for _ in range(rounds):
+        state = spark.sparkContext.broadcast((idf, basis))
+        z = cut(sets.mapInPandas(_sketch(state), "term long, v binary").repartition("term").mapInPandas(_add_up, "term long, v binary"))
+        vector = lambda pdf: np.stack([np.frombuffer(v, dtype=np.float32) for v in pdf["v"]])
+        g = _square(z, k, vector)
+        values, turn = np.linalg.eigh(g)
+        good = values > 1e-7 * max(values.max(initial=0.0), 1e-30)  # directions that A doesn't have are left out
+        inverse = (turn[:, good] / np.sqrt(values[good])).astype(np.float32)
+        basis = np.zeros((n, int(good.sum())), dtype=np.float32)
+        for r in z.toLocalIterator():  # a row a term of the items
+            basis[r.term] = np.frombuffer(r.v, dtype=np.float32) @ inverse
+        k = basis.shape[1]
+        if not k:
+            return basis, np.zeros(0)
+    state = spark.sparkContext.broadcast((idf, basis))
+    project = lambda pdf: _times(_of_sets(pdf, state.value[0]), len(pdf), state.value[1])
+    values, turn = np.linalg.eigh(_square(sets, k, project))
+    order = np.argsort(values)[::-1][:rank]
+    return basis @ turn[:, order].astype(np.float32), np.sqrt(np.maximum(values[order], 0.0))
+
+
 class _Runs:
     """Passages of items by the hashes of their runs of ``kind.run`` units."""
 
@@ -308,70 +398,68 @@ def common_subsequence(a: str, b: str) -> int:
     return len(b) - v.bit_count()
 
 
-def leaks(docs: DataFrame, items: DataFrame, rank: int = 128, cosine: float = 0.35, rounds: int = 1) -> DataFrame:
-    """(doc_id, item_id, passages, run, lcs_share): documents with passages near an item's in the latent space.
-
-    docs: doc_id, text; items: item_id, lang, text. ``run`` is the longest run of
-    equal units within a passage (it is at least 12 words, or 30 characters for
-    items in Chinese or Japanese, exactly if the texts have such a run in common),
-    ``lcs_share`` the greatest share of an item's passage found as a subsequence.
-    Null and empty texts match nothing; empty tables give an empty result; a
-    document given twice counts once. Items come in blocks of BLOCK, so what is
-    broadcast is bounded; documents are never shuffled.
+def leaks(docs: DataFrame, items: DataFrame, rank: int = 128, cosine: float = 0.35, kinds: tuple[Kind, Kind] = NEAR, rounds: int = 1) -> DataFrame:
+    """(doc_id, item_id, passages, run, lcs_share, answer_share, kind): documents with a passage that an item's passage leaked into.
+
+    docs: doc_id, text; items: item_id, lang, text. Candidates are passages within
+    ``cosine`` of an item's in the latent space, and those with a whole run in
+    common. Kind 'verbatim': ``run``, the longest run of equal units, is at least
+    12 words, or 30 characters for items in Chinese or Japanese. Else
+    'paraphrase': of an item's passage a share of KEPT stands in the document in
+    order (the longest common subsequence), and what tells the item apart is
+    there: its units, weighted by how rare they are, so names and numbers
+    most, to a share of ANSWER. passages counts those found. Null and empty texts
+    match nothing; empty tables give an empty result; a document given twice
+    counts once. Items come in blocks of BLOCK, so what is broadcast is bounded;
+    documents are never shuffled.
     """
     spark = docs.sparkSession
     out, block = None, []
     for r in items.where("item_id is not null and text is not null").select("item_id", "lang", "text").dropDuplicates(["item_id"]).orderBy("item_id").toLocalIterator():
         block.append((r.item_id, r.lang, r.text))
         if len(block) == BLOCK:
-            part = _leaks(docs, Items(block), rank, cosine, rounds)
+            part = _leaks(docs, Items(block, kinds), rank, cosine, rounds)
             out, block = part if out is None else out.unionByName(part), []
     if block or out is None:
-        part = _leaks(docs, Items(block), rank, cosine, rounds) if block else spark.createDataFrame([], "doc_id long, item_id long, passages long, run int, lcs_share double")
+        part = _leaks(docs, Items(block, kinds), rank, cosine, rounds) if block else spark.createDataFrame([], "doc_id long, item_id long, passages long, run int, lcs_share double, answer_share double, kind string")
         out = part if out is None else out.unionByName(part)
     return out
 
 
 def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) -> DataFrame:
-    spark, kinds = docs.sparkSession, {k.name: k for k in (WORDS, CHARACTERS)}
+    spark, near = docs.sparkSession, it.kinds == NEAR
     shared = spark.sparkContext.broadcast(it)
     read = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").alias("doc"), "text")
-    parts = cut(read.mapInPandas(_cut_documents(shared), "doc long, kind string, units array<int>, term int, n long"))
-    counts = parts.where("term is not null").groupBy("term").agg(F.sum("n").alias("n"))  # a row a term of the items
+    parts = cut(read.mapInPandas(_cut_documents(shared), "doc long, kind string, before int, units array<int>, term int, n long"))
+    counts = parts.where("term is not null").groupBy("term").agg(F.sum("n").alias("n"))  # a row a term or unit of the items
     n_docs = read.count()
-    frequency = np.zeros(it.n_terms)
+    frequency = np.zeros(it.n_counted)
     for r in counts.toLocalIterator():
         frequency[r.term] = r.n
-    idf = np.log((1 + n_docs) / (1 + frequency)) + 0.1
-    passages = parts.where("doc is not null").select("doc", "kind", "units")
+    rare = np.log((1 + n_docs) / (1 + frequency)) + 0.1
+    idf, unit_weight = rare[: it.n_terms], rare
+    passages = parts.where("doc is not null").select("doc", "kind", "before", "units")
     own = [(k, s) for _, k, s in it.passages]
-    rank = min(rank, it.n_terms)
-    basis = np.random.default_rng(7).standard_normal((it.n_terms, rank)).astype(np.float32)
-    row, term, w = v = _vectors(it, own, idf)
-    few = passages.coalesce(max(1, passages.rdd.getNumPartitions() // 4))
-    sets = few.mapInPandas(_term_sets(shared, kinds), "terms array<int>").distinct()  # else the reposted fill the space
-    for _ in range(rounds):
-        state = spark.sparkContext.broadcast((it, idf, basis))
-        z = np.zeros((it.n_terms, rank), dtype=np.float32)
-        sums = sets.mapInPandas(_sketch(state, rank), "term long, v binary").repartition("term").mapInPandas(_add_up, "term long, v binary")
-        for r in sums.toLocalIterator():  # as many rows as the items have terms
-            z[r.term] = np.frombuffer(r.v, dtype=np.float32)
-        np.add.at(z, term, _times(v, len(own), basis)[row] * w[:, None].astype(np.float32))
-        basis = np.linalg.qr(z)[0].astype(np.float32)
-    latent = _times(v, len(own), basis)
+    row, term = _terms(it, own)
+    mine = spark.createDataFrame([(s.tolist(),) for s in np.split(term, np.flatnonzero(np.diff(row)) + 1)] if len(row) else [], "terms array<int>")
+    sets = cut(passages.mapInPandas(_term_sets(shared), "terms array<int>").unionByName(mine).distinct())  # else the reposted fill the space
+    basis, _ = randomised_svd(sets, idf, min(rank, it.n_terms), rounds)
+    latent = _times(_vectors(it, own, idf), len(own), basis)
     latent /= np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)
-    state = spark.sparkContext.broadcast((it, idf, basis, latent))
+    state = spark.sparkContext.broadcast((it, idf, unit_weight, basis, latent))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        it, idf, basis, latent = state.value
+        it, idf, unit_weight, basis, latent = state.value
         strings = [coded(seq) for _, _, seq in it.passages]
-        of_kind = {n: np.array([i for i, p in enumerate(it.passages) if p[1].name == n], dtype=np.int64) for n in kinds}
-        runs = {n: _Runs(k, [it.passages[i][2] for i in of_kind[n]]) for n, k in kinds.items()}
+        weights = [unit_weight[it.unit_base(k) + seq] for _, k, seq in it.passages]
+        of_kind = {k.name: np.array([i for i, p in enumerate(it.passages) if p[1] is k], dtype=np.int64) for k in it.kinds}
+        runs = {k.name: _Runs(k, [it.passages[i][2] for i in of_kind[k.name]]) for k in it.kinds}
         for pdf in batches:
             rows = []
             for name, group in pdf.groupby("kind"):
-                p = [(kinds[name], np.asarray(u)) for u in group["units"]]
-                mine = of_kind[name]
+                p = _cores(it, group)
+                wide = [np.asarray(u, dtype=np.int64) for u in group["units"]]
+                mine, least = of_kind[name], it.kind(name).run
                 if not len(mine):
                     continue
                 y = _times(_vectors(it, p, idf), len(p), basis)
@@ -379,19 +467,30 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
                 docs_ = group["doc"].to_numpy()
                 same, item = runs[name].pairs([u for _, u in p])  # a whole run counts at any cosine
                 for a in range(0, len(p), 1024):
-                    near = y[a : a + 1024] @ latent[mine].T >= cosine
+                    close = y[a : a + 1024] @ latent[mine].T >= cosine
                     here = (same >= a) & (same < a + 1024)
-                    near[same[here] - a, item[here]] = True
-                    for i, j in zip(*np.nonzero(near), strict=True):
-                        mine_units, seq = coded(p[a + i][1]), strings[mine[j]]
-                        rows.append((int(docs_[a + i]), int(it.passages[mine[j]][0]), longest_run(mine_units, seq), common_subsequence(mine_units, seq) / len(seq)))
-            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run", "share"])
-
-    found = passages.mapInPandas(search, "doc_id long, item_id long, run int, share double")
-    return found.groupBy("doc_id", "item_id").agg(F.count("*").alias("passages"), F.max("run").alias("run"), F.max("share").alias("lcs_share"))
+                    close[same[here] - a, item[here]] = True
+                    text, last = "", -1
+                    for i, j in zip(*np.nonzero(close), strict=True):
+                        k, seq = mine[j], it.passages[mine[j]][2]
+                        there = np.isin(seq, wide[a + i])
+                        answer = float(weights[k][there].sum() / weights[k].sum())
+                        enough = near and there.sum() >= KEPT * len(seq) and answer >= ANSWER  # the subsequence can't be longer
+                        if not enough and there.sum() < least:
+                            continue
+                        if i != last:
+                            text, last = coded(wide[a + i]), i
+                        run = longest_run(text, strings[k])
+                        share = common_subsequence(text, strings[k]) / len(seq) if near else run / len(seq)
+                        if run >= least or (enough and share >= KEPT):
+                            rows.append((int(docs_[a + i]), int(it.passages[k][0]), run, share, answer, run >= least))
+            yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run", "share", "answer", "whole"])
+
+    found = passages.mapInPandas(search, "doc_id long, item_id long, run int, share double, answer double, whole boolean")
+    g = found.groupBy("doc_id", "item_id").agg(F.count("*").alias("passages"), F.max("run").alias("run"), F.max("share").alias("lcs_share"), F.max("answer").alias("answer_share"), F.max("whole").alias("whole"))
+    return g.select("doc_id", "item_id", "passages", "run", "lcs_share", "answer_share", F.when(F.col("whole"), "verbatim").otherwise("paraphrase").alias("kind"))
 
 
 def leaked_runs(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(doc_id, item_id) with a common run of 12 words, or of 30 characters for items in Chinese or Japanese."""
-    least = items.select("item_id", F.when(F.lower(F.substring("lang", 1, 2)).isin("zh", "ja"), CHARACTERS.run).otherwise(WORDS.run).alias("least")).dropDuplicates(["item_id"])
-    return leaks(docs, items).join(least, "item_id").where("run >= least").select("doc_id", "item_id")
+    """(doc_id, item_id) with a common run of 12 words, or of 30 characters for items in Chinese or Japanese: ``leaks`` over longer terms, of which every run holds many."""
+    return leaks(docs, items, kinds=(WORDS, CHARACTERS)).where("kind = 'verbatim'").select("doc_id", "item_id")

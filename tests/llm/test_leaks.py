@@ -67,3 +67,43 @@ def test_single_leaks_beside_many_reposts(spark):
     x = spark.createDataFrame(docs, "doc_id long, text string")
     y = spark.createDataFrame(items, "item_id long, lang string, text string")
     assert {tuple(r) for r in leaks.leaked_runs(x, y).collect()} == brute(docs, items)
+
+
+def test_paraphrases(spark):
+    """Items with words changed here and there are found in the latent space; others with the same everyday words aren't."""
+    rng = random.Random(12)
+    common = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 5))) for _ in range(150)]
+    name = lambda: "".join(rng.choice("klmnopqrstuv") for _ in range(8))
+    sentence = lambda n: [name() if rng.random() < 0.15 else rng.choice(common) for _ in range(n)]
+    items = [sentence(rng.randint(24, 60)) for _ in range(120)]
+    docs, want = [], set()
+    for i, u in enumerate(items):
+        v = list(u)
+        for k in range(rng.randint(0, 5), len(v), 6):  # one word in six
+            v[k] = rng.choice(common)
+        docs.append((i, " ".join([*sentence(rng.randint(0, 40)), *v, *sentence(rng.randint(0, 40))])))
+        want.add((i, i))
+    docs += [(1000 + i, " ".join(sentence(80))) for i in range(600)]
+    x = spark.createDataFrame(docs, "doc_id long, text string")
+    y = spark.createDataFrame([(i, "en", " ".join(u)) for i, u in enumerate(items)], "item_id long, lang string, text string")
+    got = leaks.leaks(x, y).collect()
+    found = {(r.doc_id, r.item_id) for r in got}
+    assert len(found & want) >= 0.95 * len(want)
+    assert len(found - want) <= 2
+    assert {r.kind for r in got} == {"paraphrase"} and min(r.lcs_share for r in got) >= leaks.KEPT
+    assert leaks.leaked_runs(x, y).count() == 0
+
+
+def test_svd_against_numpy(spark):
+    import numpy as np
+
+    rng = random.Random(3)
+    sets = [sorted(rng.sample(range(40), rng.randint(3, 9))) for _ in range(300)]
+    idf = np.linspace(0.5, 3.0, 40)
+    a = np.zeros((300, 40))
+    for i, s in enumerate(sets):
+        a[i, s] = idf[s]
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    v, s = leaks.randomised_svd(spark.createDataFrame([(x,) for x in sets], "terms array<int>"), idf, 30, rounds=3)
+    want = np.linalg.svd(a, compute_uv=False)[:30]
+    assert np.allclose(s[:10], want[:10], rtol=0.02) and np.allclose(v.T @ v, np.eye(30), atol=1e-3)
