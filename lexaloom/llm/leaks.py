@@ -26,8 +26,10 @@ from lexaloom.session import cut
 
 #: Items handled at once, which bounds the space they span; a larger set of items meets all documents block by block.
 BLOCK = 5_000
-#: What a paraphrase must keep: of an item's passage in order, and of the weight of its units in any order.
-KEPT, ANSWER = 0.75, 0.7
+#: What a paraphrase must keep: of an item's passage in order, and of the units that answer it in any order.
+KEPT, ANSWER = 0.75, 0.6
+#: Units in at most this share of the documents (names, numbers, rare words) answer an item's passage; where it has none, its rarest three do.
+SINGULAR = 0.01
 #: Directions beyond the rank that the randomised SVD starts from.
 SPARE = 16
 MIX = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -58,7 +60,7 @@ class Kind:
 # For runs: a run of n units holds n - gram + 1 terms, so none is lost.
 WORDS, CHARACTERS = Kind("w", 12, 4, 9), Kind("c", 30, 8, 23)
 # For paraphrases, whose terms are shorter: what is kept of a passage, beside what another cut of it leaves out, holds that many.
-NEAR = (Kind("w", 12, 2, 6), Kind("c", 30, 3, 14))
+NEAR = (Kind("w", 12, 3, 4), Kind("c", 30, 4, 10))
 
 
 def plain(text: str) -> str:
@@ -371,6 +373,37 @@ class _Runs:
         return np.repeat(of, n), self.of[place]
 
 
+class _Answers:
+    """The units that answer passages of items, and which passages each of them answers."""
+
+    def __init__(self, passages: list[np.ndarray], weight: np.ndarray) -> None:
+        of, units, shares = [], [], []
+        for j, seq in enumerate(passages):
+            u = np.unique(seq)
+            w = weight[u]
+            key = w >= -np.log(SINGULAR)
+            if not key.any():
+                key = w >= np.sort(w)[-3:][0]
+            of.append(np.full(key.sum(), j))
+            units.append(u[key])
+            shares.append(w[key] / w[key].sum())
+        of, units, shares = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (of, units, shares))
+        order = np.argsort(units, kind="stable")
+        self.of, self.shares, self.n = of[order].astype(np.int64), shares[order], len(passages)
+        self.begin = np.searchsorted(units[order], np.arange(len(weight) + 1))
+
+    def found(self, passages: list[np.ndarray]) -> np.ndarray:
+        """(passage, passage of an item): the share, by weight, of what answers the item's that the other holds."""
+        row = np.repeat(np.arange(len(passages)), [len(p) for p in passages])
+        unit = np.concatenate(passages) if passages else np.zeros(0, dtype=np.int64)
+        pair = np.unique(row * len(self.begin) + unit)
+        row, unit = pair // len(self.begin), pair % len(self.begin)
+        n = self.begin[unit + 1] - self.begin[unit]
+        place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.begin[unit], n)
+        at = np.repeat(row, n) * self.n + self.of[place]
+        return np.bincount(at, self.shares[place], minlength=len(passages) * self.n).reshape(len(passages), self.n)
+
+
 def coded(seq: np.ndarray) -> str:
     """Units as one string; unknown units (0) equal nothing in an item, which has none."""
     return "".join(map(chr, (seq + 1).tolist()))
@@ -398,17 +431,17 @@ def common_subsequence(a: str, b: str) -> int:
     return len(b) - v.bit_count()
 
 
-def leaks(docs: DataFrame, items: DataFrame, rank: int = 128, cosine: float = 0.35, kinds: tuple[Kind, Kind] = NEAR, rounds: int = 1) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, rank: int = 128, cosine: float = 0.45, kinds: tuple[Kind, Kind] = NEAR, rounds: int = 1) -> DataFrame:
     """(doc_id, item_id, passages, run, lcs_share, answer_share, kind): documents with a passage that an item's passage leaked into.
 
     docs: doc_id, text; items: item_id, lang, text. Candidates are passages within
     ``cosine`` of an item's in the latent space, and those with a whole run in
     common. Kind 'verbatim': ``run``, the longest run of equal units, is at least
     12 words, or 30 characters for items in Chinese or Japanese. Else
-    'paraphrase': of an item's passage a share of KEPT stands in the document in
+    'paraphrase': of an item's passage, of as many units at least, a share of KEPT stands in the document in
     order (the longest common subsequence), and what tells the item apart is
-    there: its units, weighted by how rare they are, so names and numbers
-    most, to a share of ANSWER. passages counts those found. Null and empty texts
+    there: its units in at most SINGULAR of the documents (names, numbers, rare
+    words), by weight, to a share of ANSWER. passages counts those found. Null and empty texts
     match nothing; empty tables give an empty result; a document given twice
     counts once. Items come in blocks of BLOCK, so what is broadcast is bounded;
     documents are never shuffled.
@@ -451,9 +484,10 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         it, idf, unit_weight, basis, latent = state.value
         strings = [coded(seq) for _, _, seq in it.passages]
-        weights = [unit_weight[it.unit_base(k) + seq] for _, k, seq in it.passages]
+        whole_enough = np.array([len(seq) >= k.run for _, k, seq in it.passages])  # the rest of an item is no passage to reword
         of_kind = {k.name: np.array([i for i, p in enumerate(it.passages) if p[1] is k], dtype=np.int64) for k in it.kinds}
         runs = {k.name: _Runs(k, [it.passages[i][2] for i in of_kind[k.name]]) for k in it.kinds}
+        answers = {k.name: _Answers([it.passages[i][2] for i in of_kind[k.name]], unit_weight[it.unit_base(k) : it.unit_base(k) + len(it.vocabulary[k.name]) + 1]) for k in it.kinds}
         for pdf in batches:
             rows = []
             for name, group in pdf.groupby("kind"):
@@ -467,23 +501,25 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
                 docs_ = group["doc"].to_numpy()
                 same, item = runs[name].pairs([u for _, u in p])  # a whole run counts at any cosine
                 for a in range(0, len(p), 1024):
-                    close = y[a : a + 1024] @ latent[mine].T >= cosine
+                    close = (y[a : a + 1024] @ latent[mine].T >= cosine) & whole_enough[mine]
+                    answer = answers[name].found(wide[a : a + 1024]) if near else np.zeros((1, 1))
+                    if near:
+                        close &= answer >= ANSWER
                     here = (same >= a) & (same < a + 1024)
                     close[same[here] - a, item[here]] = True
                     text, last = "", -1
                     for i, j in zip(*np.nonzero(close), strict=True):
                         k, seq = mine[j], it.passages[mine[j]][2]
-                        there = np.isin(seq, wide[a + i])
-                        answer = float(weights[k][there].sum() / weights[k].sum())
-                        enough = near and there.sum() >= KEPT * len(seq) and answer >= ANSWER  # the subsequence can't be longer
-                        if not enough and there.sum() < least:
+                        there = np.isin(seq, wide[a + i]).sum()
+                        enough = near and there >= KEPT * len(seq) and answer[i, j] >= ANSWER  # the subsequence can't be longer
+                        if not enough and there < least:
                             continue
                         if i != last:
                             text, last = coded(wide[a + i]), i
                         run = longest_run(text, strings[k])
                         share = common_subsequence(text, strings[k]) / len(seq) if near else run / len(seq)
                         if run >= least or (enough and share >= KEPT):
-                            rows.append((int(docs_[a + i]), int(it.passages[k][0]), run, share, answer, run >= least))
+                            rows.append((int(docs_[a + i]), int(it.passages[k][0]), run, share, float(answer[i, j]) if near else 1.0, run >= least))
             yield pd.DataFrame(rows, columns=["doc_id", "item_id", "run", "share", "answer", "whole"])
 
     found = passages.mapInPandas(search, "doc_id long, item_id long, run int, share double, answer double, whole boolean")
@@ -493,4 +529,4 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
 
 def leaked_runs(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id) with a common run of 12 words, or of 30 characters for items in Chinese or Japanese: ``leaks`` over longer terms, of which every run holds many."""
-    return leaks(docs, items, kinds=(WORDS, CHARACTERS)).where("kind = 'verbatim'").select("doc_id", "item_id")
+    return leaks(docs, items, cosine=0.35, kinds=(WORDS, CHARACTERS)).where("kind = 'verbatim'").select("doc_id", "item_id")
