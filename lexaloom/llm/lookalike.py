@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexaloom.session import cut
+
 # Letters of other scripts drawn like a Latin letter.
 SAME_SHAPE = {
     "A": "АΑᎪ", "B": "ВΒᏴ", "C": "СϹᏟ", "D": "Ꭰ", "E": "ЕΕᎬ", "F": "Ϝ", "G": "ԌᏀ", "H": "НΗᎻ", "I": "ІΙӀ", "J": "ЈᎫ",
@@ -128,14 +130,14 @@ def one_form(text: str | None, auto: ahocorasick.Automaton) -> str | None:
     return unicodedata.normalize("NFC", " ".join("".join(parts).split()))
 
 
-def one_form_column(df: DataFrame, column: str, out: str) -> DataFrame:
+def one_form_column(df: DataFrame, column: str, out: str, counted: DataFrame | None = None) -> DataFrame:
     """``df`` with ``out``: ``column`` in one form.
 
     Null gives null, text of invisible characters only gives the empty string;
     all other columns pass through, ``out`` replaces a column of that name.
-    Counts are over all rows; what reaches the driver is one row a code point.
+    Counts are over all rows, of ``counted`` where that is given; what reaches the driver is one row a code point.
     """
-    rules = rewriting((r.cp, r.n) for r in code_points(df, column).toLocalIterator())
+    rules = rewriting((r.cp, r.n) for r in code_points(df if counted is None else counted, column).toLocalIterator())
     shared = df.sparkSession.sparkContext.broadcast(rules)  # at most a few entries a code point
 
     @F.pandas_udf("string")
@@ -148,6 +150,17 @@ def one_form_column(df: DataFrame, column: str, out: str) -> DataFrame:
     return df.withColumn(out, rewrite(F.col(column)))
 
 
+def look_alike_classes(df: DataFrame, group: str, key: str, title: str) -> DataFrame:
+    """(group, form, key, title, records, spellings): records of one group whose titles look the same but differ, a row a record.
+
+    The pairs of ``look_alike_pairs`` are those within a (group, form) whose titles
+    differ; this form of the result grows with the records alone.
+    """
+    formed = cut(one_form_column(df.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(title).alias("t")).where("t is not null and t <> ''"), "t", "form").where("form <> ''"))
+    classes = formed.groupBy("g", "form").agg(F.count("*").alias("records"), F.countDistinct("t").alias("spellings")).where("spellings > 1")
+    return formed.join(classes, ["g", "form"]).select(F.col("g").alias(group), "form", F.col("k").alias(key), F.col("t").alias(title), "records", "spellings")
+
+
 def look_alike_pairs(df: DataFrame, group: str, key: str, title: str) -> DataFrame:
     """Pairs of records of one group whose titles look the same but differ as strings.
 
@@ -155,9 +168,11 @@ def look_alike_pairs(df: DataFrame, group: str, key: str, title: str) -> DataFra
     Classes without two spellings are dropped, spellings are paired, and only then
     the records that have them: records of equal spelling never meet.
     """
-    formed = one_form_column(df.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(title).alias("t")).where("t is not null and t <> ''"), "t", "form").where("form <> ''")
+    rows = cut(df.select(F.col(group).alias("g"), F.col(key).alias("k"), F.col(title).alias("t")).where("t is not null and t <> ''"))
+    forms = cut(one_form_column(rows.select("t").distinct(), "t", "form", rows).where("form <> ''"))  # every title is rewritten once
+    formed = rows.join(forms, "t")
     classes = formed.groupBy("g", "form").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("g", "form")
-    rows = formed.join(classes, ["g", "form"])
+    rows = cut(formed.join(classes, ["g", "form"]))  # the few that have several spellings
     spelled = rows.select("g", "form", "t").distinct()
     two = spelled.select("g", "form", F.col("t").alias("ta")).join(spelled.select("g", "form", F.col("t").alias("tb")), ["g", "form"]).where("ta < tb").select("g", "ta", "tb")
     x = two.join(rows.select("g", F.col("t").alias("ta"), F.col("k").alias("x")).distinct(), ["g", "ta"])

@@ -29,6 +29,15 @@ def usual(c: Column) -> Column:
     return F.when(s != "", s)
 
 
+def even_total(tokens: dict[str, int], targets: list[tuple[str, float, int]]) -> float:
+    """The largest total at which every source that has text, taken max_repeats times at most, still gives its share of it.
+
+    Shares are over the sources with text, which make up the whole then; 0 if there is none.
+    """
+    own = [(share, reps * tokens[s]) for s, share, reps in targets if share and share > 0 and reps and reps > 0 and tokens.get(s)]
+    return min((held / share for share, held in own), default=0.0)
+
+
 def quotas(tokens: dict[str, int], targets: list[tuple[str, float, int]], total: float | None = None) -> dict[str, float]:
     """Tokens each source is to give.
 
@@ -93,9 +102,13 @@ def _fly(last: bool, seed: int):
     return block
 
 
-def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, path: str = VOCABULARY, seed: int = 11) -> DataFrame:
+def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, path: str = VOCABULARY, seed: int = 11, even: bool = False) -> DataFrame:
     """(doc_id, source, tokens, times): how often each document is used; documents not used are left out.
 
+    With ``even`` the total is the largest at which all sources that have text
+    meet their shares (a source with little text makes it small); else the total
+    is ``total``, or all tokens held, and a source with too little falls short.
+
     docs: doc_id, source, text; targets: source, target_share, max_repeats. Null
     and empty texts hold no tokens and aren't used, nor are documents of sources
     without a target; a document given twice counts once. No document is used
@@ -108,6 +121,8 @@ def mix(docs: DataFrame, targets: DataFrame, total: float | None = None, path: s
     sized = sized.where(F.col("source").isin([s for s, _, _ in wanted]) if wanted else F.lit(False))
     sized = cut(sized.select("doc_id", "source", token_count(F.col("text"), path).alias("tokens")).where("tokens > 0").dropDuplicates(["doc_id"]))
     held = {r.source: (r.t, r.n) for r in sized.groupBy("source").agg(F.sum("tokens").alias("t"), F.count("*").alias("n")).collect()}
+    if even:
+        total = even_total({s: t for s, (t, _) in held.items()}, wanted)
     give = quotas({s: t for s, (t, _) in held.items()}, wanted, total)
     rate = {s: min(give.get(s, 0.0) / held[s][0], float(r)) for s, _, r in wanted if s in held and r}
     if not rate:

@@ -71,6 +71,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike.look_alike_pairs(_titles(spark, d), "curriculum_id", "record_id", "title")
 
 
+def p5_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Records of one curriculum whose titles look the same but differ, a row a record."""
+    return lookalike.look_alike_classes(_titles(spark, d), "curriculum_id", "record_id", "title")
+
+
 def p5_titles(spark: SparkSession, d: str) -> DataFrame:
     """Every title in its one form."""
     return lookalike.one_form_column(_titles(spark, d), "title", "form")
@@ -123,13 +128,23 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(p8_mix(spark, d), table(spark, d, "mix_targets"))
 
 
+def p8_even(spark: SparkSession, d: str) -> DataFrame:
+    """As p8_mix, at the largest total at which every source with text meets its share."""
+    return mixing.mix(table(spark, d, "documents").select("doc_id", "source", "text"), table(spark, d, "mix_targets"), even=True)
+
+
+def p8_even_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares that came out of p8_even."""
+    return mixing.shares(p8_even(spark, d), table(spark, d, "mix_targets"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence units of all documents."""
     return sentences.sentence_units(table(spark, d, "documents"), "doc_id", "text", "lang")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_shared, p1_classes, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p8_mix, p8_shares, p9_found)
+    f.__name__: f for f in (p1_found, p1_shared, p1_classes, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_classes, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p8_mix, p8_shares, p8_even, p8_even_shares, p9_found)
 }
 
 SQL = {

@@ -39,3 +39,12 @@ def test_blocks(spark, monkeypatch):
     docs = spark.createDataFrame([(i, "a", "word " * (1 + i % 9)) for i in range(300)], "doc_id long, source string, text string")
     got = mixing.mix(docs, spark.createDataFrame([("a", 1.0, 1)], "source string, target_share double, max_repeats int"), total=500).collect()
     assert abs(sum(r.tokens for r in got) - 500) <= 10 and len({r.doc_id for r in got}) == len(got)
+
+
+def test_even_mix_meets_shares(spark):
+    docs = spark.createDataFrame([(i, "big", "word " * (1 + i % 9)) for i in range(900)] + [(2000 + i, "small", "word " * 7) for i in range(30)], "doc_id long, source string, text string")
+    targets = spark.createDataFrame([("big", 0.6, 1), ("small", 0.3, 2), ("none", 0.1, 5)], "source string, target_share double, max_repeats int")
+    got = {r.source: r for r in mixing.shares(mixing.mix(docs, targets, even=True), targets).collect()}
+    assert got["small"].most_times == 2 and got["small"].documents == 30
+    assert abs(got["big"].actual_share - 2 / 3) < 0.02 and abs(got["small"].actual_share - 1 / 3) < 0.02 and got["none"].tokens == 0
+    assert mixing.even_total({}, [("a", 0.5, 1)]) == 0.0
