@@ -180,7 +180,10 @@ def _cut_documents(shared):
                 for b, s in zip(begin, seqs, strict=False):
                     joined[b : b + len(s)] = s
                 terms = it.term_ids(joined, kind)
-                for hits, values in ((np.flatnonzero(terms >= 0), terms), (np.flatnonzero(joined), joined + it.unit_base(kind))):
+                counts = [(np.flatnonzero(terms >= 0), terms)]
+                if it.kinds == NEAR:  # only paraphrases are asked for their rare units
+                    counts.append((np.flatnonzero(joined), joined + it.unit_base(kind)))
+                for hits, values in counts:
                     of = np.searchsorted(begin, hits, side="right") - 1
                     frequency += np.bincount(np.unique(of * it.n_counted + values[hits]) % it.n_counted, minlength=it.n_counted)
                 counted = np.r_[0, np.cumsum(terms >= 0)]
