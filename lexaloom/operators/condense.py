@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexaloom.functions.text import LEVEL_VERBS, word_count
+from lexaloom.functions.text import LEVEL_VERBS, compression, is_book_meta, slug, strip_prefix, stripped, word_count
 
 # Exercises a topic keeps by tier.
 EXERCISES_KEPT = {"detailed": 3, "classic": 1, "core": 0}
@@ -94,3 +94,105 @@ def coverage(sources: Column) -> Column:
 def lesson_action(words: Column, next_words: Column) -> Column:
     """Split over 2000 words, merge if this and the next have under 300, else keep."""
     return F.when(words > 2000, "split").when((words < 300) & (next_words < 300), "merge").otherwise("keep")
+
+
+def normalized_sections(sections: DataFrame, remap: DataFrame, file: str, title: str) -> DataFrame:
+    """``sections`` with new_title and action: 'dropped' for front and back matter, 'renamed' where the title changes, else 'kept'.
+
+    remap: file, old, new; a given title of a file takes precedence over taking a
+    prefix off, a null file holds for all of them. Titles are stripped; null
+    counts as empty, which is kept. What ``file`` says of a title that it also
+    has for all files wins.
+    """
+    old = stripped(F.coalesce(F.col(title), F.lit("")))
+    own = remap.where("file is not null").groupBy(F.col("file").alias(file), F.col("old").alias("_old")).agg(F.max("new").alias("_own"))
+    every = remap.where("file is null").groupBy(F.col("old").alias("_old")).agg(F.max("new").alias("_every"))
+    x = sections.withColumn("_old", old).join(own, [file, "_old"], "left").join(every, "_old", "left")
+    new = F.when(F.col("_old") == "", "").otherwise(F.coalesce("_own", "_every", strip_prefix(F.col("_old"))))
+    x = x.withColumn("new_title", new)
+    action = F.when(is_book_meta(F.col("_old")), "dropped").when(F.col("new_title") != F.col("_old"), "renamed").otherwise("kept")
+    return x.withColumn("action", action).drop("_old", "_own", "_every")
+
+
+def tier_structure(plan: DataFrame, originals: DataFrame) -> DataFrame:
+    """(tier, topic_ord, child_ord, title, depth, sort_order, description, suggested_level, source_sections, objectives, prerequisites) of a plan's topics.
+
+    plan: as of ``plan_leaves``, with suggested_level, objectives, prerequisites
+    and, in children, objectives; originals: title, objectives. Objectives are the
+    plan's own, else those of the original of that title, case aside; topics keep
+    the prerequisites that are topics of the tier; a child names its sources, or
+    else itself. A null level is 1.
+    """
+    first = originals.where(F.size("objectives") > 0).groupBy(F.lower("title").alias("_t")).agg(F.max("objectives").alias("_o"))
+    own = plan.select("tier", "topic_ord", F.lit(-1).alias("child_ord"), "title", F.lit(0).alias("depth"), F.col("topic_ord").alias("sort_order"), F.coalesce("description", F.lit("")).alias("description"), F.coalesce("suggested_level", F.lit(1)).alias("suggested_level"), F.lit(None).cast("array<string>").alias("source_sections"), F.col("objectives"), "prerequisites")
+    c = plan.select("tier", "topic_ord", F.posexplode("children").alias("child_ord", "c"))
+    below = c.select("tier", "topic_ord", "child_ord", F.col("c.title").alias("title"), F.lit(1).alias("depth"), F.col("child_ord").alias("sort_order"), F.coalesce("c.description", F.lit("")).alias("description"), F.lit(None).cast("int").alias("suggested_level"), F.coalesce("c.source_children", F.array("c.title")).alias("source_sections"), F.col("c.objectives").alias("objectives"), F.lit(None).cast(plan.schema["prerequisites"].dataType).alias("prerequisites"))
+    x = own.unionByName(below)
+    kept = x.groupBy("tier").agg(F.collect_set(F.lower("title")).alias("_kept"))  # a tier has but some hundred titles
+    x = x.withColumn("_t", F.lower("title")).join(first, "_t", "left").join(kept, "tier")
+    own_first = F.when(F.size("objectives") > 0, F.col("objectives")).otherwise(F.col("_o"))
+    return x.withColumn("objectives", own_first).withColumn("prerequisites", F.filter("prerequisites", lambda p: F.array_contains(F.col("_kept"), F.lower(p["topic"])))).drop("_t", "_o", "_kept")
+
+
+def gathered_exercises(leaves: DataFrame, exercises: DataFrame) -> DataFrame:
+    """(tier, topic_ord, child_ord, exercises): those of a leaf's plan, else of its sources in order, as many as the tier keeps; leaves without any are left out, and tiers that keep none.
+
+    leaves: of ``plan_leaves``, with ``own`` (array or null); exercises: title, ord, exercises.
+    """
+    k = ["tier", "topic_ord", "child_ord"]
+    e = leaves.select(*k, "own", F.posexplode("keys").alias("key_pos", "title")).join(exercises, "title", "left")
+    g = e.groupBy(*k).agg(F.first("own").alias("own"), F.array_sort(F.collect_list(F.when(F.col("exercises").isNotNull(), F.struct("key_pos", "ord", "exercises"))), lambda a, b: F.when(a["key_pos"] != b["key_pos"], a["key_pos"] - b["key_pos"]).otherwise(F.when(a["ord"] < b["ord"], -1).when(a["ord"] > b["ord"], 1).otherwise(0))).alias("l"))
+    out = g.select(*k, kept_exercises(F.coalesce("own", F.flatten("l.exercises")), F.col("tier")).alias("exercises"), F.col("own").isNotNull().alias("_own"))
+    return out.where("tier <> 'core' and (_own or size(exercises) > 0)").drop("_own")
+
+
+def filled_manifest(manifests: DataFrame) -> DataFrame:
+    """Manifests whose empty family is the domain's slug and whose empty variant is 'extensive'."""
+    blank = lambda c: F.nullif(F.col(c), F.lit(""))
+    return manifests.withColumn("domain_family", F.coalesce(blank("domain_family"), slug(F.col("domain")))).withColumn("variant", F.coalesce(blank("variant"), F.lit("extensive")))
+
+
+def tier_summary(structure: DataFrame, chunks: DataFrame, original: DataFrame) -> DataFrame:
+    """(tier, topics, chunks, tokens, ratio): a row a tier; original: tokens, one row. The ratio is of the original's tokens to the tier's, at least 1, in tenths."""
+    t = structure.groupBy("tier").agg(F.count("*").alias("topics"))
+    c = chunks.groupBy("tier").agg(F.count("*").alias("chunks"), F.sum("token_count").alias("tokens"))
+    x = t.join(c, "tier", "left").fillna(0, ["chunks", "tokens"]).join(F.broadcast(original.agg(F.sum("tokens").alias("_all"))))  # one row
+    return x.select("tier", "topics", "chunks", "tokens", compression(F.col("_all"), F.col("tokens")).alias("ratio"))
+
+
+# The share of the original's tokens a tier aims at.
+TIER_SHARES = {"detailed": 0.1, "classic": 0.01, "core": 0.001}
+
+
+def tier_checks(summary: DataFrame, chunks: DataFrame, original: DataFrame) -> DataFrame:
+    """(tier, share, aim, within, odd_chunks): the share of the tokens that is left, whether it is at most twice the aim, and chunks under 200 or over 2000 tokens."""
+    aim = F.coalesce(*[F.when(F.col("tier") == t, v) for t, v in TIER_SHARES.items()], F.lit(1.0))
+    odd = chunks.groupBy("tier").agg(F.count_if(~F.col("token_count").between(200, 2000)).alias("odd_chunks"))
+    x = summary.join(odd, "tier", "left").fillna(0, ["odd_chunks"]).join(F.broadcast(original.agg(F.sum("tokens").alias("_all"))))  # one row
+    share = F.col("tokens") / F.greatest(F.col("_all"), F.lit(1))
+    return x.select("tier", share.alias("share"), aim.alias("aim"), (share <= aim * 2).alias("within"), "odd_chunks")
+
+
+def prerequisite_order(topics: DataFrame, scope: str, title: str, order: str, prerequisites: str) -> DataFrame:
+    """(scope, prerequisites, earlier, unknown): how many prerequisites there are, stand before the topic that needs them, and are no topic of the scope. Titles are compared case aside; of equal ones the first counts."""
+    w = topics.select(scope, F.col(order).alias("_o"), F.explode(prerequisites).alias("p")).select(scope, "_o", F.lower("p.topic").alias("_t"))
+    t = topics.where(F.col(title).isNotNull()).groupBy(scope, F.lower(title).alias("_t")).agg(F.min(order).alias("_at"))
+    x = w.join(t, [scope, "_t"], "left")
+    return x.groupBy(scope).agg(F.count("*").alias("prerequisites"), F.count_if(F.col("_at") < F.col("_o")).alias("earlier"), F.count_if(F.col("_at").isNull()).alias("unknown"))
+
+
+def structure_gates(flat: DataFrame) -> DataFrame:
+    """(curriculum_id, topics, odd_children, wide, deep, roots_ok) of trees as of ``nested.flatten``: topics with other than 2 to 8 children, over 10 sections, below the third level; whether there are 5 to 15 roots."""
+    t = flat.where("kind = 'topic'").select("key", "grp", "path", "parent_path", F.size("titles").alias("level"))
+    kids = t.where("parent_path is not null").groupBy("key", F.col("parent_path").alias("path")).agg(F.count("*").alias("kids"))
+    refs = flat.where("kind = 'section'").groupBy("key", "path").agg(F.count("*").alias("refs"))
+    x = t.join(kids, ["key", "path"], "left").join(refs, ["key", "path"], "left")
+    return x.groupBy(F.col("grp").alias("curriculum_id")).agg(
+        F.count("*").alias("topics"), F.count_if(~F.col("kids").between(2, 8)).alias("odd_children"), F.count_if(F.col("refs") > 10).alias("wide"), F.count_if(F.col("level") > 3).alias("deep"),
+        F.count_if(F.col("path") == "0").between(5, 15).alias("roots_ok"),
+    )
+
+
+def exercise_gates(exercises: DataFrame) -> DataFrame:
+    """(exercises, odd_hints, odd_mistakes, odd_difficulty) of exercises(hints, common_mistakes, difficulty, level): other than 3 hints, than 2 to 4 mistakes, than the level."""
+    return exercises.agg(F.count("*").alias("exercises"), F.count_if(F.size("hints") != 3).alias("odd_hints"), F.count_if(~F.size("common_mistakes").between(2, 4)).alias("odd_mistakes"), F.count_if(F.col("difficulty") != F.col("level")).alias("odd_difficulty"))

@@ -168,26 +168,75 @@ def redundant_edges(edges: DataFrame, source: str, target: str) -> DataFrame:
     return e.join(two, ["a", "c"], "left_semi")
 
 
+def enriched_topics(topics: DataFrame, wanted: DataFrame, scope: str, title: str) -> DataFrame:
+    """``topics`` (scope, title, has_children, ...) with objectives by their titles, and prerequisites(topic, strength).
+
+    wanted: title, prerequisite, strength. Of these a topic gets those that are
+    titles of its scope, exactly; null where it has none.
+    """
+    from lexaloom.functions.text import objectives
+
+    have = topics.select(scope, F.col(title).alias("prerequisite")).distinct()
+    pairs = topics.select(scope, title).distinct().join(wanted.withColumnRenamed("title", title), title).join(have, [scope, "prerequisite"], "left_semi")
+    p = pairs.groupBy(scope, title).agg(F.array_sort(F.collect_set(F.struct(F.col("prerequisite").alias("topic"), "strength"))).alias("prerequisites"))
+    return topics.drop("prerequisites").join(p, [scope, title], "left").withColumn("objectives", objectives(F.col(title), F.col("has_children")))
+
+
+def workspace_crawl(pages: DataFrame, children: DataFrame, start: DataFrame, most_pages: int = 100, most_depth: int = 5) -> DataFrame:
+    """(id, depth, place) of a workspace's pages reached breadth-first from ``start`` (id) within budgets.
+
+    pages: id, is_database; children: id, ord, child. A database isn't visited
+    itself: its pages follow in its place, a level down. Of pages at one depth
+    those whose parent came first come first, then in order. Nothing below
+    ``most_depth`` is reached, and no more than ``most_pages`` pages. What is
+    taken is at most ``most_pages``, so the driver keeps no more.
+    """
+    spark = pages.sparkSession
+    seen = start.select("id").distinct()
+    front = seen.select("id", F.array(F.lit(0)).alias("place"))
+    out, taken, depth = None, 0, 0
+    while depth <= most_depth and taken < most_pages:
+        level = front.join(pages, "id")
+        visited = level.where(~F.coalesce("is_database", F.lit(False))).orderBy("place").limit(most_pages - taken).select("id", "place")  # the budget is the feature
+        rows = [(r.id, depth, taken + i) for i, r in enumerate(visited.collect())]
+        taken += len(rows)
+        if rows:
+            got = spark.createDataFrame(rows, "id string, depth int, place long")
+            out = got if out is None else out.unionByName(got)
+        ids = visited.select("id").unionByName(level.where(F.coalesce("is_database", F.lit(False))).select("id"))
+        nxt = front.join(ids, "id", "left_semi").join(children, "id").groupBy(F.col("child").alias("id")).agg(F.min(F.concat("place", F.array(F.col("ord").cast("int")))).alias("place"))
+        front = cut(nxt.join(seen, "id", "left_anti"))
+        if front.isEmpty():
+            break
+        seen, depth = seen.unionByName(front.select("id")), depth + 1
+    return out if out is not None else spark.createDataFrame([], "id string, depth int, place long")
+
+
 def crawl(pages: DataFrame, links: DataFrame, start: DataFrame, most_pages: int = 50, most_depth: int = 1, most_tokens: int = 200_000) -> DataFrame:
-    """(url, depth, place, tokens) of pages reached breadth-first from ``start`` within budgets.
+    """(url, depth, place, tokens, limited_by) of pages reached breadth-first from ``start`` within budgets.
 
     pages: url, tokens; links: url, target; start: url. Pages count in order of
     depth, of the page that links to them and of url; a page is taken while fewer
     than ``most_pages`` pages and ``most_tokens`` tokens are taken before it.
+    limited_by tells what ended it: 'max_pages', 'max_tokens' or 'exhausted'.
     Pages without text neither count nor lead on. Each level is one join; what is
     taken is at most ``most_pages``, so the order needs no spread.
     """
     have = pages.where("tokens is not null").select("url", "tokens").dropDuplicates(["url"])
     seen = start.select("url").distinct()
     front = seen.select("url", F.lit(0).cast("long").alias("place"))
-    out, taken, tokens = None, 0, 0
+    out, taken, tokens, why = None, 0, 0, "exhausted"
     for depth in range(1, most_depth + 1):
         nxt = front.join(links, "url").select(F.col("target").alias("url"), "place").groupBy("url").agg(F.min("place").alias("place"))
         nxt = nxt.join(seen, "url", "left_anti").join(have, "url")
-        found = nxt.orderBy("place", "url").limit(max(0, most_pages - taken)).collect()  # a bounded report
+        found = nxt.orderBy("place", "url").limit(max(0, most_pages - taken) + 1).collect()  # a bounded report, and whether more is left
         rows = []
         for r in found:
+            if taken + len(rows) >= most_pages:
+                why = "max_pages"
+                break
             if tokens >= most_tokens:
+                why = "max_tokens"
                 break
             rows.append((r.url, depth, taken + len(rows), r.tokens))
             tokens += r.tokens
@@ -198,6 +247,9 @@ def crawl(pages: DataFrame, links: DataFrame, start: DataFrame, most_pages: int
         taken += len(rows)
         seen = seen.unionByName(nxt.select("url"))
         front = level.select("url", "place")
-        if taken >= most_pages or tokens >= most_tokens:
+        if tokens >= most_tokens:
+            why = "max_tokens"
+        if why != "exhausted":
             break
-    return out if out is not None else pages.sparkSession.createDataFrame([], "url string, depth int, place long, tokens long")
+    out = out if out is not None else pages.sparkSession.createDataFrame([], "url string, depth int, place long, tokens long")
+    return out.withColumn("limited_by", F.lit(why))

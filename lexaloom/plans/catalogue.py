@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexaloom.plans import chunk_queries, nested_queries, source_queries, table_queries, text_queries
+from lexaloom.plans import chunk_queries, nested_queries, pipeline_queries, source_queries, table_queries, text_queries
 
-_MODULES = (nested_queries, chunk_queries, text_queries, table_queries, source_queries)
+_MODULES = (nested_queries, chunk_queries, text_queries, table_queries, source_queries, pipeline_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

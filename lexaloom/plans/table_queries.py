@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexaloom.functions import text as T
-from lexaloom.operators import condense, lookup, nested, trees, windows
+from lexaloom.operators import condense, lookup, trees, windows
 from lexaloom.sources.tables import latest, table
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,14 +169,6 @@ def level_create(spark, d):
     return lookup.pending(s.where("level is not null and curriculum_id % 2 = 1").select("level").distinct(), s.where("curriculum_id % 2 = 0 and level < 3").select("level"), "level")
 
 
-@query()
-def topic_insert(spark, d):
-    """Topics of even curricula that odd ones don't have at the same place."""
-    flat = nested.flatten(latest(table(spark, d, "structure"), "structure_id", "saved_at", ["curriculum_id", "title", "source_sections", "children"]), "structure_id", "curriculum_id", "title", "source_sections", "children")
-    t = lookup.topic_rows(flat)
-    return lookup.new_topics(t.where("curriculum_id % 2 = 0"), t.where("curriculum_id % 2 = 1")).select("id", "curriculum_id", "title", "depth", "sort_order")
-
-
 @query(
     """SELECT structure_id, CAST(i AS BIGINT) AS sort_order, o.text AS text, coalesce(nullif(o.bloom_level, ''), 'understand') AS bloom_level
     FROM (SELECT structure_id, unnest(range(len(learning_objectives))) AS i, unnest(learning_objectives) AS o FROM (SELECT DISTINCT structure_id, learning_objectives FROM structure))"""
@@ -262,15 +254,18 @@ def prereq_transitive(spark, d):
 
 @query(
     """WITH l AS (SELECT 'u' || o_custkey AS url, 'u' || (o_orderkey % 500 + 1) AS target FROM orders), p AS (SELECT 'u' || c_custkey AS url, CAST(c_custkey % 97 AS BIGINT) AS tokens FROM customer),
-    f AS (SELECT DISTINCT target AS url FROM l JOIN p ON p.url = l.target WHERE l.url = 'u1' AND target <> 'u1'),
-    n AS (SELECT url, tokens, row_number() OVER (ORDER BY url) - 1 AS place FROM f JOIN p USING (url))
-    SELECT url, CAST(1 AS BIGINT) AS depth, place, tokens FROM n WHERE place < 50"""
+    one AS (SELECT url, tokens, row_number() OVER (ORDER BY url) - 1 AS place, coalesce(sum(tokens) OVER (ORDER BY url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM (SELECT DISTINCT target AS url FROM l WHERE url = 'u1' AND target <> 'u1') JOIN p USING (url)),
+    got AS (SELECT * FROM one WHERE place < 50 AND before < 1500), sums AS (SELECT count(*) AS n, coalesce(sum(tokens), 0) AS t FROM got),
+    two AS (SELECT url, tokens, n + row_number() OVER (ORDER BY up, url) - 1 AS place, t + coalesce(sum(tokens) OVER (ORDER BY up, url ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+      FROM (SELECT l.target AS url, min(got.place) AS up FROM got JOIN l ON l.url = got.url WHERE l.target <> 'u1' AND l.target NOT IN (SELECT url FROM one) GROUP BY 1) JOIN p USING (url), sums),
+    taken AS (SELECT url, 1 AS depth, place, tokens FROM got UNION ALL SELECT url, 2, place, tokens FROM two WHERE place < 50 AND before < 1500)
+    SELECT url, CAST(depth AS BIGINT) AS depth, place, tokens, (SELECT CASE WHEN sum(tokens) >= 1500 THEN 'max_tokens' WHEN (SELECT count(*) FROM two) + (SELECT n FROM sums) > 50 THEN 'max_pages' ELSE 'exhausted' END FROM taken) AS limited_by FROM taken"""
 )
 def bfs_crawl(spark, d):
-    """Pages reached from one within budgets."""
+    """Pages reached from one, two levels down, within budgets of pages and tokens."""
     links = table(spark, d, "orders").select(F.concat(F.lit("u"), F.col("o_custkey")).alias("url"), F.concat(F.lit("u"), F.col("o_orderkey") % 500 + 1).alias("target"))
     pages = table(spark, d, "customer").select(F.concat(F.lit("u"), F.col("c_custkey")).alias("url"), (F.col("c_custkey") % 97).cast("long").alias("tokens"))
-    return trees.crawl(pages, links, spark.createDataFrame([("u1",)], "url string")).withColumn("depth", F.col("depth").cast("long"))
+    return trees.crawl(pages, links, spark.createDataFrame([("u1",)], "url string"), most_depth=2, most_tokens=1500).withColumn("depth", F.col("depth").cast("long"))
 
 
 # ---- windows -----------------------------------------------------------------

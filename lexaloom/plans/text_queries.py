@@ -116,15 +116,6 @@ def normalize_titles(spark, d):
     return x.groupBy(F.coalesce("source_path", F.lit("")).alias("source_path")).agg(F.count_if(T.is_book_meta(F.col("title"))).alias("dropped"), F.count("*").alias("sections"))
 
 
-@query()
-def renamed_titles(spark, d):
-    """Titles of kept sections that a given map, or else taking a prefix off, changes."""
-    remap = spark.createDataFrame([("Overview", "Course overview")], "old string, new string")
-    x = table(spark, d, "extracted").select("section_id", F.trim(F.coalesce("title", F.lit(""))).alias("old")).distinct().where(~T.is_book_meta(F.col("old")))
-    x = x.join(remap, "old", "left").withColumn("new", F.coalesce("new", T.strip_prefix(F.col("old"))))
-    return x.where("old <> new").select("section_id", "old", "new")
-
-
 @query(
     """WITH h AS (SELECT DISTINCT section_id, md5(content) AS content_hash FROM extracted WHERE coalesce(content, '') <> ''),
     n AS (SELECT content_hash, count(*) AS copies, min(section_id) AS first_key FROM h GROUP BY 1 HAVING count(*) > 1)

@@ -64,18 +64,25 @@ def extractor(kind: str):
     return add
 
 
-def dispatch(df: DataFrame, source: str) -> dict[str, DataFrame]:
-    """``df`` by kind of source, for each kind that has an extractor."""
-    x = df.withColumn("kind", source_kind(F.col(source)))
-    return {k: x.where(F.col("kind") == k) for k in REGISTRY}
+def dispatch(sources: DataFrame, source: str, inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """What each kind's extractor makes of its input, for the kinds that ``sources`` has and ``inputs`` has a table for.
+
+    ``inputs`` is by kind: what the readers of that kind gave. Sources of a kind
+    without an extractor raise an error, as nothing could be done with them.
+    """
+    kinds = {r.kind for r in sources.select(source_kind(F.col(source)).alias("kind")).where("kind is not null").distinct().collect()}  # a row a kind: eight
+    unknown = kinds - set(REGISTRY)
+    if unknown:
+        raise ValueError(f"no extractor for {sorted(unknown)}")
+    return {k: REGISTRY[k](inputs[k]) for k in sorted(kinds & set(inputs))}
 
 
 def read_extracted(spark: SparkSession, path: str) -> DataFrame:
-    """Sections of a folder of extracted documents (JSON), in order of file name."""
-    docs = spark.read.schema(EXTRACTED).option("multiLine", True).json(path).withColumn("_file", F.input_file_name())
-    order = docs.select("_file").distinct().withColumn("file_ord", F.dense_rank().over(Window.orderBy("_file")) - 1)  # a row a file
-    x = docs.join(F.broadcast(order), "_file").select("file_ord", "source_type", "source_path", F.posexplode("sections").alias("section_ord", "s"))
-    return x.select("file_ord", "section_ord", "source_type", "source_path", "s.*")
+    """Sections of a folder of extracted documents (JSON); (file_name, section_ord) gives their order. A source without a path goes by its file."""
+    docs = spark.read.schema(EXTRACTED).option("multiLine", True).json(path)
+    name = F.col("_metadata.file_name")
+    x = docs.select(name.alias("file_name"), "source_type", F.coalesce("source_path", name).alias("source_path"), F.posexplode("sections").alias("section_ord", "s"))
+    return x.select("file_name", "section_ord", "source_type", "source_path", "s.*")
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -87,17 +94,30 @@ def write_variants(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("tier").parquet(path)
 
 
-@extractor("tabular")
-def read_rows(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Rows of a CSV or TSV file with headers, all values text, numbered from 0 in file order (column row_ord).
+def read_rows(spark: SparkSession, path: str, sep: str | None = None) -> DataFrame:
+    """Rows of CSV or TSV files with headers, all values text: (file_name, row_ord, ...), rows numbered from 0 within each file.
 
-    Lines are numbered by the file's splits, so files may be large.
+    Without ``sep`` a file's own is used: a tab for .tsv, else whichever of comma,
+    semicolon, tab and bar is most frequent in its first line. Files are cut into
+    splits; rows are counted a split, so they may be large.
     """
+    if sep is None:
+        first = spark.read.text(path).select(F.col("_metadata.file_name").alias("f"), F.col("_metadata.file_block_start").alias("b"), "value").where("b = 0").groupBy("f").agg(F.first("value").alias("v")).orderBy("f").first()
+        marks = [",", ";", "\t", "|"]
+        sep = "," if first is None else "\t" if first.f.endswith(".tsv") else max(marks, key=lambda m: (first.v.count(m), -marks.index(m)))
     raw = spark.read.option("header", True).option("sep", sep).option("multiLine", False).csv(path)
-    x = raw.withColumn("_id", F.monotonically_increasing_id())
-    part = F.shiftright("_id", 33)
-    base = x.groupBy(part.alias("_p")).agg(F.count("*").alias("_n")).withColumn("_base", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a split
-    return x.withColumn("_p", part).join(F.broadcast(base), "_p").withColumn("row_ord", F.col("_base") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_p", "_n", "_base")
+    x = raw.select("*", F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_id"))
+    w = Window.partitionBy("file_name").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    base = x.groupBy("file_name", "_b").agg(F.count("*").alias("_n"), F.min("_id").alias("_least")).withColumn("_base", F.coalesce(F.sum("_n").over(w), F.lit(0)))  # a row a split
+    return x.join(base, ["file_name", "_b"]).withColumn("row_ord", F.col("_base") + F.col("_id") - F.col("_least")).drop("_b", "_id", "_n", "_least", "_base")
+
+
+@extractor("tabular")
+def tabular_sections(rows: DataFrame, size: int = 50) -> DataFrame:
+    """(file_name, section_ord, title, row_start, row_end, content) of rows as of ``read_rows``: every ``size`` rows of a file as a table and as plain lines."""
+    from lexaloom.operators.windows import row_sections
+
+    return row_sections(rows, ["file_name"], "row_ord", [c for c in rows.columns if c not in ("file_name", "row_ord")], size)
 
 
 def _suffix(name: Column) -> Column:
@@ -203,7 +223,6 @@ def images_in(pages: DataFrame) -> DataFrame:
     return x.groupBy("url", "src").agg(F.min(F.struct("i", "alt")).alias("v")).select("url", F.concat(F.lit("web_img"), F.col("v.i")).alias("id"), "src", F.col("v.alt").alias("alt"))
 
 
-@extractor("notion")
 def export_pages(archives: DataFrame) -> DataFrame:
     """(path, page, title, depth, text) of archives(path, content binary): markdown files of workspace exports, case aside in order of name; blank ones left out, unreadable archives give none.
 
@@ -229,13 +248,16 @@ def export_pages(archives: DataFrame) -> DataFrame:
     return archives.select("path", "content").mapInPandas(part, "path string, page string, title string, depth int, text string")
 
 
-def image_placeholders(text: Column, ids: Column) -> Column:
-    """Markdown images as [IMAGE: id] where ``ids`` (a map) has their path or file name; others stay."""
+def image_placeholders(text: Column, ids: Column, folder: Column | None = None) -> Column:
+    """Markdown images as [IMAGE: id] where ``ids`` (a map) has their path below the page's folder, their path, or file name; others stay."""
     parts = F.split(text, r"(?=!\[[^\]]*\]\([^)]*\))")
 
     def one(p: Column) -> Column:
         path = F.regexp_extract(p, r"^!\[[^\]]*\]\(([^)]*)\)", 1)
-        found = F.coalesce(F.try_element_at(ids, path), F.try_element_at(ids, F.regexp_extract(path, "([^/]*)$", 1)))
+        named = [F.try_element_at(ids, path), F.try_element_at(ids, F.regexp_extract(path, "([^/]*)$", 1))]
+        if folder is not None:
+            named.insert(0, F.try_element_at(ids, F.when(folder != "", F.concat(folder, F.lit("/"), path))))
+        found = F.coalesce(*named)
         return F.when((path != "") & found.isNotNull(), F.concat(F.lit("[IMAGE: "), found, F.lit("]"), F.regexp_replace(p, r"^!\[[^\]]*\]\([^)]*\)", ""))).otherwise(p)
 
     return F.array_join(F.transform(parts, one), "")
@@ -285,8 +307,203 @@ def read_regions(regions: DataFrame, least: float = 0.15) -> DataFrame:
     return x.select("img_id", F.array_join("l.text", "\n").alias("text"))
 
 
+@extractor("notion")
+def export_documents(pages: DataFrame) -> DataFrame:
+    """(path, page, section_ord, title, depth, content) of pages as of ``export_pages``: a page's headings as sections.
+
+    A page with several has an empty section of its own title before them; one
+    with a single section gives that its title.
+    """
+    from lexaloom.operators.chunking import export_sections
+
+    key = pages.select(F.struct("path", "page", F.col("title").alias("own"), F.col("depth").alias("own_depth")).alias("k"), "text", "depth")
+    s = export_sections(key, "k", "text", "depth").select("k", "section_ord", "title", "depth", "content")
+    s = s.withColumn("n", F.count("*").over(Window.partitionBy("k.path", "k.page")))  # a page's sections
+    one = F.col("n") == 1
+    below = s.select("k.path", "k.page", F.when(one, 0).otherwise(F.col("section_ord") + 1).alias("section_ord"), F.when(one, F.col("k.own")).otherwise(F.col("title")).alias("title"), F.when(one, F.col("k.own_depth")).otherwise(F.col("depth")).alias("depth"), "content")
+    top = s.where("n > 1 and section_ord = 0").select("k.path", "k.page", F.lit(0).alias("section_ord"), F.col("k.own").alias("title"), F.col("k.own_depth").alias("depth"), F.lit("").alias("content"))
+    return below.unionByName(top)
+
+
+def export_title(sections: DataFrame) -> DataFrame:
+    """(path, title): an export's title, that of its first section of depth 0 that isn't named Content, else its file's stem. sections: of ``export_documents``."""
+    stem = F.regexp_replace(F.regexp_extract("path", "([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
+    first = F.min(F.when((F.col("depth") == 0) & (F.col("title") != "Content"), F.struct(F.lower("page").alias("p"), "section_ord", "title")))
+    return sections.groupBy("path").agg(first.alias("v")).select("path", F.coalesce("v.title", stem).alias("title"))
+
+
+def archive_images(files: DataFrame) -> DataFrame:
+    """(path, key, id, local_path, size) of images in archives: files(path, name, size, ord), each found by its whole name and by its last part, of equal keys the last in ``ord``; those under 2048 bytes and of other kinds are left out."""
+    ext = F.lower(F.regexp_extract("name", r"\.([^./]+)$", 1))
+    x = files.where((F.col("size") >= LEAST_IMAGE) & ext.isin("png", "jpg", "jpeg", "gif", "webp", "svg", "bmp"))
+    x = x.withColumn("base", F.regexp_extract("name", "([^/]*)$", 1)).withColumn("key", F.explode(F.array_distinct(F.array("name", "base"))))
+    own = F.struct("ord", F.concat(F.lit("zip_img"), F.col("ord")).alias("id"), F.concat(F.lit("images/"), "base").alias("local_path"), "size")
+    return x.groupBy("path", "key").agg(F.max(own).alias("v")).select("path", "key", "v.id", "v.local_path", "v.size")
+
+
+def text_pages(pages: DataFrame) -> DataFrame:
+    """(doc, page, text) of the pages that have text; numbers, from 1, may have gaps."""
+    return pages.where(stripped(F.coalesce("text", F.lit(""))) != "").select("doc", "page", "text")
+
+
+def document_title(docs: DataFrame) -> DataFrame:
+    """(doc, title) of docs(doc, path, title): the title given, or the stem of the file."""
+    stem = F.regexp_replace(F.regexp_extract("path", "([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
+    return docs.select("doc", F.coalesce(F.nullif(stripped(F.col("title")), F.lit("")), stem).alias("title"))
+
+
+def repaired_pages(pages: DataFrame, recognised: DataFrame) -> DataFrame:
+    """(doc, page, text, repaired): pages that look scanned get the text recognised(doc, page, text) where that is longer, blanks at the ends aside; pages that had none are added."""
+    from lexaloom.functions.text import is_scanned
+
+    a = pages.select("doc", "page", F.coalesce("text", F.lit("")).alias("text"))
+    x = a.join(recognised.select("doc", "page", F.col("text").alias("_r")), ["doc", "page"], "full").withColumn("text", F.coalesce("text", F.lit("")))
+    longer = is_scanned(F.col("text")) & (F.length(stripped(F.coalesce("_r", F.lit("")))) > F.length(stripped(F.col("text"))))
+    return x.select("doc", "page", F.when(longer, F.col("_r")).otherwise(F.col("text")).alias("text"), longer.alias("repaired")).where(stripped(F.col("text")) != "")
+
+
+@extractor("pdf")
+def paged_sections(inputs: dict[str, DataFrame]) -> DataFrame:
+    """(doc, ord, title, depth, page_start, page_end, content, images) of tree, pages and images.
+
+    tree: of ``topic_tree``; pages: doc, page, text; images: doc, page, ord, id,
+    local_path. A topic has the text of its pages, in order, by blank lines, and
+    the images on them; text of a topic's pages comes again in those below it.
+    """
+    from lexaloom.operators.chunking import text_of_pages
+
+    tree, pages, images = inputs["tree"], inputs["pages"], inputs["images"]
+    t = tree.withColumn("page_end", F.coalesce("page_end", "page_start"))
+    x = text_of_pages(t, text_pages(pages), "doc").withColumnRenamed("text", "content")
+    by = ["doc", "page_start", "page_end"]
+    hit = x.select(*by).distinct().join(images, "doc").where(F.col("page").between(F.col("page_start"), F.col("page_end")))
+    one = F.struct("page", F.col("ord").alias("o"), "id", "local_path")
+    g = hit.groupBy(*by).agg(F.array_sort(F.collect_list(one)).alias("l"))
+    ref = F.transform("l", lambda i: F.struct(i["id"].alias("id"), i["local_path"].alias("local_path"), F.lit("").alias("alt_text"), F.concat(F.lit("page:"), i["page"]).alias("context")))
+    return x.join(g.select(*by, ref.alias("images")), by, "left").select("doc", "ord", "title", "depth", "page_start", "page_end", "content", "images")
+
+
+@extractor("office")
+def titled_sections(inputs: dict[str, DataFrame]) -> DataFrame:
+    """(doc, ord, title, depth, content) of word-processor documents: toc(doc, ord, level, title), pages(doc, page, text), docs(doc, title).
+
+    An entry has all pages that hold its title, in order, by blank lines, and none
+    where no page does; a document without entries is one section with all its
+    pages. Documents are compared page by page with their own titles only.
+    """
+    toc, pages, docs = inputs["toc"], text_pages(inputs["pages"]), inputs["docs"]
+    entries = toc.where("title is not null")
+    hit = entries.join(pages, "doc").where(F.contains(F.col("text"), F.col("title")))
+    text = hit.groupBy("doc", "ord").agg(F.array_join(F.array_sort(F.collect_list(F.struct("page", "text")))["text"], "\n\n").alias("content"))
+    a = entries.join(text, ["doc", "ord"], "left").select("doc", "ord", "title", (F.col("level") - 1).alias("depth"), F.coalesce("content", F.lit("")).alias("content"))
+    whole = pages.join(entries.select("doc").distinct(), "doc", "left_anti").groupBy("doc").agg(F.array_join(F.array_sort(F.collect_list(F.struct("page", "text")))["text"], "\n\n").alias("content"))
+    return a.unionByName(docs.select("doc", "title").join(whole, "doc").select("doc", F.lit(0).alias("ord"), "title", F.lit(0).alias("depth"), "content"))
+
+
+def related_images(parts: DataFrame) -> DataFrame:
+    """(doc, id, name, size) of a document's parts(doc, ord, kind, name, size): images of 2048 bytes and more, numbered from 0 in order."""
+    x = parts.where((F.col("kind") == "image") & (F.col("size") >= LEAST_IMAGE))
+    n = F.row_number().over(Window.partitionBy("doc").orderBy("ord")) - 1  # a document's images
+    return x.withColumn("n", n).select("doc", F.concat(F.lit("docx_img"), F.col("n")).alias("id"), "name", "size")
+
+
+@extractor("web")
+def web_pages(pages: DataFrame) -> DataFrame:
+    """(url, section_ord, title, depth, content, author) of pages(url, html): the text of each, parted at its headings; what has none is titled by the page's title, else by its address."""
+    from lexaloom.operators.chunking import markdown_sections
+
+    tag = lambda p: F.nullif(stripped(F.regexp_extract("html", p, 1)), F.lit(""))
+    title = F.coalesce(tag(r"(?is)<title[^>]*>(.*?)</title>"), F.regexp_replace("url", "^https?://|[?#].*$", ""))
+    author = F.coalesce(tag(r"""(?is)<meta\s[^>]*name=["']author["'][^>]*content=["']([^"']*)["']"""), F.lit(""))
+    key = pages.where("html is not null").select(F.struct("url", author.alias("author")).alias("k"), page_text(F.col("html")).alias("text"), title.alias("title")).where("text <> ''")
+    return markdown_sections(key, "k", "text", "title").select("k.url", "section_ord", "title", "depth", "content", "k.author")
+
+
+def kept_images(images: DataFrame) -> DataFrame:
+    """Of images(url, id, src, alt, size, content_type) those of an image's type and kind of file, from 5120 bytes to 10 MB."""
+    ext = F.lower(F.regexp_extract(F.regexp_replace("src", "[?#].*$", ""), r"\.([A-Za-z0-9]+)$", 1))
+    return images.where(F.contains("content_type", F.lit("image")) & F.col("size").between(5120, 10 * 1024 * 1024) & ext.isin("png", "jpg", "jpeg", "gif", "webp", "svg"))
+
+
+def crawled_sections(crawled: DataFrame, pages: DataFrame) -> DataFrame:
+    """(place, section_ord, url, title, depth, content): for every page of ``crawl`` an empty section of its title, then its own, one level down, two at most. pages: url, title, text; a page without a title is named by its address."""
+    from lexaloom.functions.text import slug_title, url_path
+    from lexaloom.operators.chunking import markdown_sections
+
+    x = crawled.select("url", "place").join(pages, "url")
+    x = x.withColumn("title", F.coalesce(F.nullif("title", F.lit("")), slug_title(url_path(F.col("url")))))
+    s = markdown_sections(x.select(F.struct("url", "place").alias("k"), "text", "title"), "k", "text", "title")
+    s = s.select("k.place", (F.col("section_ord") + 1).alias("section_ord"), "k.url", "title", F.least(F.col("depth") + 1, F.lit(2)).alias("depth"), "content")
+    return s.unionByName(x.select("place", F.lit(0).alias("section_ord"), "url", "title", F.lit(0).alias("depth"), F.lit("").alias("content")))
+
+
+@extractor("notion_api")
+def workspace_blocks(blocks: DataFrame) -> DataFrame:
+    """(page, content) of a workspace's blocks(page, ord, kind, text, checked, language, icon, url): their markdown in order, by blank lines; empty ones are left out."""
+    from lexaloom.functions.text import block_markdown
+
+    md = block_markdown(*[F.col(c) for c in ("kind", "text", "checked", "language", "icon", "url")])
+    x = blocks.select("page", F.struct("ord", md.alias("md")).alias("v")).where("v.md <> ''")
+    return x.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list("v"))["md"], "\n\n").alias("content"))
+
+
+@extractor("video")
+def playlist_sections(inputs: dict[str, DataFrame], most: int | None = None) -> DataFrame:
+    """(playlist, entry, section_ord, title, content) of entries(playlist, entry, video, url, title) and sections(video, section_ord, title, content).
+
+    Entries are numbered from 1; those after ``most`` are left out, as are those
+    without an address or without sections. A section's title begins with its
+    entry's number and title.
+    """
+    e = inputs["entries"].withColumn("n", F.row_number().over(Window.partitionBy("playlist").orderBy("entry")))  # a playlist's entries
+    if most is not None:
+        e = e.where(F.col("n") <= most)
+    e = e.where("url is not null or video is not null").withColumn("_t", F.coalesce(F.nullif("title", F.lit("")), F.concat(F.lit("Video "), F.col("n"))))
+    number = F.when(F.col("n") < 10, F.concat(F.lit("0"), F.col("n"))).otherwise(F.col("n").cast("string"))
+    prefix = F.concat(F.lit("Ep "), number, F.lit(" — "), F.col("_t"), F.lit(": "))
+    x = e.select("playlist", F.col("n").alias("entry"), "video", prefix.alias("_p")).join(inputs["sections"], "video")
+    return x.select("playlist", "entry", "section_ord", F.concat("_p", "title").alias("title"), "content")
+
+
+def image_work(images: DataFrame, files: DataFrame) -> DataFrame:
+    """(source, id, local_path, file_exists, mime_type, size_bytes, description, ocr_text, contains_text, contains_diagram, contains_code, educational_value): images to be looked at, with what is still to be filled in. files: local_path of what there is."""
+    have = files.select("local_path").distinct().withColumn("_have", F.lit(True))
+    empty, unknown = F.lit(""), F.lit(None).cast("boolean")
+    return images.join(have, "local_path", "left").select(
+        "source", "id", "local_path", F.coalesce("_have", F.lit(False)).alias("file_exists"), F.coalesce("mime_type", empty).alias("mime_type"), F.coalesce("size_bytes", F.lit(0).cast("long")).alias("size_bytes"),
+        empty.alias("description"), empty.alias("ocr_text"), unknown.alias("contains_text"), unknown.alias("contains_diagram"), unknown.alias("contains_code"), F.lit(None).cast("string").alias("educational_value"),
+    )
+
+
+def recognised_images(work: DataFrame, texts: DataFrame) -> DataFrame:
+    """``work`` with the text recognised(id, text) of images that have none yet: kept if it has over 10 characters, which also tells whether there is text; images not looked at stay as they are."""
+    x = work.join(texts.select("id", stripped(F.coalesce("text", F.lit(""))).alias("_r")), "id", "left")
+    todo = (F.coalesce("ocr_text", F.lit("")) == "") & F.col("_r").isNotNull() & F.col("file_exists")
+    good = F.length("_r") > 10
+    return x.withColumn("contains_text", F.when(todo, good).otherwise(F.col("contains_text"))).withColumn("ocr_text", F.when(todo & good, F.col("_r")).otherwise(F.col("ocr_text"))).drop("_r").select(*work.columns)
+
+
+def read_bundle(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """Tables of a curriculum's folder: manifest, structure, chunks, and exercises where there are any."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    there = lambda name: hadoop(f"{path}/{name}").getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop(f"{path}/{name}"))
+    out = {}
+    for name in ("manifest", "structure", "chunks", "exercises"):
+        if there(f"{name}.parquet"):
+            out[name] = spark.read.parquet(f"{path}/{name}.parquet")
+        elif there(f"{name}.json"):
+            out[name] = spark.read.option("multiLine", True).json(f"{path}/{name}.json")
+        elif name != "exercises":
+            raise FileNotFoundError(f"{path}/{name}")
+    return out
+
+
 class ExtractedSource(DataSource):
-    """Spark data source "extracted": sections of JSON documents, a task a file."""
+    """Spark data source "extracted": sections of JSON documents, a task a file.
+
+    Files are listed and read as local ones, so the folder must be mounted on every
+    worker; ``read_extracted`` reads any file system.
+    """
 
     @classmethod
     def name(cls) -> str:

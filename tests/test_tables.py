@@ -176,9 +176,14 @@ def test_extracted_source(spark, tmp_path):
     assert C.read_extracted(spark, str(tmp_path)).count() == 1
 
 
-def test_registry_knows_kinds(spark):
-    x = spark.createDataFrame([("/a.csv",), ("/d",)], "s string")
-    assert C.dispatch(x, "s")["tabular"].count() == 1
+def test_dispatch_runs_the_extractor_of_each_kind(spark):
+    x = spark.createDataFrame([("/a.csv",), ("/d",), (None,)], "s string")
+    rows = spark.createDataFrame([("a.csv", i, f"v{i}") for i in range(3)], "file_name string, row_ord long, c string")
+    files = spark.createDataFrame([("README.md", "hi", 10), ("a/x.py", "print()", 10), ("a/.hid", "no", 10), ("a/b.bin", "no", 10)], "path string, content string, size long")
+    got = C.dispatch(x, "s", {"tabular": rows, "code": files, "pdf": rows})
+    assert set(got) == {"tabular", "code"}
+    assert [r.title for r in got["tabular"].collect()] == ["Rows 1-3"]
+    assert [(r.title, r.content) for r in got["code"].orderBy("section_ord").collect()] == [("README", "hi"), ("File Structure", "```\nroot/\n├── a/\n└── README.md\n```".replace("├── a/\n", "├── a/\n│   └── x.py\n")), ("a", "### a/x.py\n\n```python\nprint()\n```")]
 
 
 def test_windows_edges(spark):
