@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexaloom.operators import nested
 from lexaloom.session import cut
@@ -24,17 +25,28 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_topics(spark: SparkSession, d: str) -> DataFrame:
     """All topics, flat."""
-    return nested.topics(_flat(spark, d))
+    x = nested.topics(_flat(spark, d))
+    return x.withColumn("position", F.col("position").cast("long")).withColumn("depth", F.col("depth").cast("long"))
 
 
 def p2_sections(spark: SparkSession, d: str) -> DataFrame:
     """All section references, flat."""
-    return nested.section_references(_flat(spark, d))
+    return nested.section_references(_flat(spark, d)).withColumn("position", F.col("position").cast("long"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p2_found, p2_topics, p2_sections)}
+def oracle_sql() -> dict[str, str]:
+    from lexaloom.plans.chunk_queries import TREE
 
+    head = f"WITH RECURSIVE {TREE}, c0 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY chunk_id ORDER BY chunked_at DESC NULLS LAST, curriculum_id DESC, topic_path DESC NULLS LAST) AS r FROM chunks WHERE chunk_id IS NOT NULL) WHERE r = 1)"
+    return {
+        "p2_topics": head + " SELECT structure_id, curriculum_id, path, parent_path, position, CAST(len(titles) - 1 AS BIGINT) AS depth, title FROM nodes",
+        "p2_sections": head + " SELECT structure_id, path, position, item AS section FROM items WHERE kind = 'section'",
+        "p2_found": head
+        + """ SELECT structure_id, 'child' AS link_kind, parent_path, path AS item FROM nodes WHERE parent_path IS NOT NULL
+        UNION ALL SELECT structure_id, 'section', path, CAST(position AS VARCHAR) FROM items WHERE kind = 'section'
+        UNION ALL SELECT n.structure_id, 'chunk', n.path, CAST(c.chunk_id AS VARCHAR) FROM nodes n JOIN c0 c ON c.curriculum_id = n.curriculum_id AND c.topic_path = n.titles WHERE len(list_filter(n.titles, lambda t: t IS NULL)) = 0""",
+    }
 
-def oracle_sql() -> dict[str, str]:
-    return {}
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {f.__name__: f for f in (p2_found, p2_topics, p2_sections)}

@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexaloom.operators import chunking, condense, lookup, trees
+from lexaloom.functions import text as T
+from lexaloom.operators import condense, lookup, trees
 from lexaloom.session import _shared_folder
 from lexaloom.sources import connectors as C
 from lexaloom.sources.tables import table
@@ -40,7 +41,24 @@ def web_links(spark, d):
     return C.links_in(p.select("url", "html"), prefixes=["/"])
 
 
-@query()
+_GONE = "(?is)<!--.*?-->|" + "|".join(f"<{t}\\b[^>]*>.*?</{t}\\s*>" for t in ("script", "style", "nav", "footer", "header", "aside"))
+
+
+def _page_text_sql(html: str) -> str:
+    t = f"regexp_replace({html}, '{_GONE}', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?i)<h([1-6])\\b[^>]*>', chr(10) || chr(10) || '# ', 'g')"
+    t = f"regexp_replace({t}, '(?i)</(p|div|h[1-6]|li|tr|section|article)\\s*>|<br\\s*/?>', chr(10) || chr(10), 'g')"
+    t = f"regexp_replace({t}, '<[^>]*>', ' ', 'g')"
+    for entity, ch in (("&nbsp;", "' '"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "'\"'"), ("&#39;", "chr(39)"), ("&copy;", "'©'"), ("&amp;", "'&'")):
+        t = f"replace({t}, '{entity}', {ch})"
+    t = f"regexp_replace(regexp_replace({t}, '[ \\t]+', ' ', 'g'), ' ?\\n[\\n ]*', chr(10) || chr(10), 'g')"
+    return f"regexp_replace(regexp_replace({t}, '^[\\s\\x{{0B}}\\x{{A0}}]+', ''), '[\\s\\x{{0B}}\\x{{A0}}]+$', '')"
+
+
+_HTML = """'<html><head><script>x = ''</p>''</script></head><nav>menu</nav><h1>Title</h1><p>' || replace(text, chr(10) || chr(10), '</p><p>') || '</p><img src="/a.png" alt="A">&copy;</html>'"""
+
+
+@query(f"SELECT 'https://site.example/' || doc_id AS url, md5({_page_text_sql(_HTML)}) AS text_md5, 'web_img0' AS id, 'https://site.example/a.png' AS src, 'A' AS alt FROM documents WHERE text IS NOT NULL")
 def web_text(spark, d):
     """Text and images of pages made from documents."""
     p = table(spark, d, "documents").where("text is not null").select(F.concat(F.lit("https://site.example/"), F.col("doc_id")).alias("url"), F.concat(F.lit("<html><head><script>x = '</p>'</script></head><nav>menu</nav><h1>Title</h1><p>"), F.replace("text", F.lit("\n\n"), F.lit("</p><p>")), F.lit('</p><img src="/a.png" alt="A">&copy;</html>')).alias("html"))
@@ -124,20 +142,28 @@ def image_registry(spark, d):
     return C.image_registry(x).select("doc", "id", "xref")
 
 
-@query()
+@query(
+    """WITH RECURSIVE p AS (SELECT doc, CAST(i AS BIGINT) AS i, t, len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '')) AS n FROM (SELECT curriculum_id AS doc, row_number() OVER (PARTITION BY curriculum_id ORDER BY file_ord, section_ord, section_id) - 1 AS i, coalesce(content, '') AS t FROM (SELECT DISTINCT curriculum_id, file_ord, section_ord, section_id, content FROM extracted))),
+    f AS (SELECT doc, i, 1 AS page, CASE WHEN n >= 500 THEN 0 ELSE n END AS run, n >= 500 AS closed FROM p WHERE i = 0
+      UNION ALL SELECT p.doc, p.i, CASE WHEN f.closed THEN f.page + 1 ELSE f.page END, CASE WHEN f.run + p.n >= 500 THEN 0 ELSE f.run + p.n END, f.run + p.n >= 500 FROM f JOIN p ON p.doc = f.doc AND p.i = f.i + 1)
+    SELECT doc, CAST(page AS BIGINT) AS page, md5(string_agg(t, chr(10) ORDER BY i)) AS text_md5 FROM f JOIN p USING (doc, i) GROUP BY 1, 2 HAVING regexp_replace(string_agg(t, chr(10) ORDER BY i), '[\\s\\x{0B}\\x{A0}]+', '', 'g') <> ''"""
+)
 def pseudo_pages(spark, d):
-    """Documents as pages of 500 words, cut at paragraphs."""
-    x = table(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), F.posexplode(F.split("text", "\n\n")).alias("ord", "text"))
-    return C.pseudo_pages(x, 120).select("doc", "page", F.md5("text").alias("text_md5"))
+    """Sections of a curriculum, each a paragraph, as pages of 500 words."""
+    x = table(spark, d, "extracted").select(F.col("curriculum_id").alias("doc"), F.struct("file_ord", "section_ord", "section_id").alias("ord"), F.col("content").alias("text")).distinct()
+    return C.pseudo_pages(x).select("doc", F.col("page").cast("long").alias("page"), F.md5("text").alias("text_md5"))
 
 
-@query("SELECT DISTINCT n_regionkey AS doc, n_nationkey AS slide, n_name AS title FROM nation")
+@query(
+    """WITH s AS (SELECT o_custkey AS doc, o_orderkey AS slide, l_partkey * 100 + l_linenumber AS ord, CASE l_linenumber % 4 WHEN 0 THEN 'title' WHEN 3 THEN 'notes' ELSE 'text' END AS kind, l_returnflag || l_linenumber AS text FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+    SELECT doc, slide, coalesce(min(text) FILTER (WHERE kind = 'title'), 'Slide ' || slide) AS title, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY ord, text) FILTER (WHERE kind = 'text'), '') AS content, coalesce(string_agg(text, chr(10) || chr(10) ORDER BY ord, text) FILTER (WHERE kind = 'notes'), '') AS notes FROM s GROUP BY 1, 2"""
+)
 def slide_sections(spark, d):
-    """Slides with their titles."""
-    n = table(spark, d, "nation")
-    shapes = n.select(F.col("n_regionkey").alias("doc"), F.col("n_nationkey").alias("slide"), F.lit(0).alias("ord"), F.lit("title").alias("kind"), F.col("n_name").alias("text"))
-    shapes = shapes.unionByName(n.select(F.col("n_regionkey").alias("doc"), F.col("n_nationkey").alias("slide"), F.lit(1).alias("ord"), F.lit("text").alias("kind"), F.col("n_name").alias("text")))
-    return C.slides(shapes).select("doc", "slide", "title")
+    """Slides with their titles, texts and notes."""
+    x = table(spark, d, "lineitem").join(table(spark, d, "orders").select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey"))
+    n = F.col("l_linenumber") % 4
+    kind = F.when(n == 0, "title").when(n == 3, "notes").otherwise("text")
+    return C.slides(x.select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("slide"), (F.col("l_partkey") * 100 + F.col("l_linenumber")).alias("ord"), kind.alias("kind"), F.concat("l_returnflag", "l_linenumber").alias("text")))
 
 
 @query("SELECT p_partkey, p_name, CAST(p_size AS VARCHAR) AS p_size, CAST(p_partkey AS VARCHAR) AS key_text FROM part")
@@ -167,14 +193,34 @@ def variant_files(spark, d):
     return spark.read.parquet(path).groupBy("tier").agg(F.count("*").alias("n"))
 
 
-@query()
+def _heads_sql() -> str:
+    strip = lambda c: f"regexp_replace(regexp_replace({c}, '^[\\s\\x{{A0}}]+', ''), '[\\s\\x{{A0}}]+$', '')"
+    chapter, numbered = "(?i)^(?:chapter|part)\\s+(\\d+|[ivxlc]+)[:.\\s]*(.*)", "^(\\d+(?:\\.\\d+)*)[:.]\\s+(.+)"
+    front = ", ".join("'" + x + "'" for x in T.FRONT_TITLES)
+    starts = " OR ".join(f"starts_with(lower(title), '{x}')" for x in T.FRONT_STARTS)
+    return f"""l AS (SELECT doc_id AS doc, i AS ord, {strip('line')} AS line FROM (SELECT doc_id, unnest(range(len(x))) AS i, unnest(x) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL))),
+    r AS (SELECT doc, ord, line, CASE WHEN regexp_matches(line, '{chapter}') THEN 1 WHEN regexp_matches(line, '{numbered}') THEN 2 WHEN upper(line) = line AND regexp_matches(line, '\\p{{Lu}}') AND len(list_filter(regexp_split_to_array(line, '\\s+'), lambda w: w <> '')) BETWEEN 2 AND 8 AND length(line) > 8 AND NOT regexp_matches(line, '^(HTTP|URL|API|SQL|HTML|\\[)') THEN 3 END AS rule,
+      regexp_extract(line, '{numbered}', 1) AS num, trim(regexp_extract(line, '{numbered}', 2)) AS name, {strip(f"regexp_extract(line, '{chapter}', 2)")} AS rest FROM l WHERE length(line) BETWEEN 3 AND 200 AND NOT regexp_matches(line, '^\\[.+\\]\\.?$')),
+    h AS (SELECT doc, ord, CASE WHEN rule = 2 THEN length(num) - length(replace(num, '.', '')) + 1 ELSE 1 END AS level, CASE rule WHEN 1 THEN CASE WHEN rest <> '' THEN rest ELSE line END WHEN 2 THEN num || ' ' || name ELSE line END AS title FROM r
+      WHERE rule IS NOT NULL AND (rule <> 2 OR (length(num) - length(replace(num, '.', '')) + 1 <= 3 AND NOT (length(name) > 80 OR regexp_matches(name, '^\\p{{Ll}}') OR regexp_matches(name, '[.,;]$'))))),
+    k AS (SELECT *, count(*) OVER (PARTITION BY doc) AS n FROM h), d AS (SELECT doc_id AS doc, 20 + doc_id % 3 AS total FROM documents WHERE text IS NOT NULL),
+    way AS (SELECT d.doc, d.total, CASE WHEN d.doc % 2 = 0 AND coalesce(m.n, 0) >= 3 THEN 'toc' WHEN d.total > 20 AND coalesce(m.n, 0) > 0 THEN 'found' ELSE 'one' END AS way FROM d LEFT JOIN (SELECT DISTINCT doc, n FROM k) m ON m.doc = d.doc),
+    t AS (SELECT k.doc, k.ord, k.level, k.ord + 1 AS page, k.title, w.total FROM k JOIN way w ON w.doc = k.doc AND w.way <> 'one' WHERE length(title) >= 3 AND NOT regexp_matches(title, '^\\[.+\\]\\.?$') AND NOT (lower(title) IN ({front}) OR {starts})),
+    g AS (SELECT doc, min(level) AS least FROM t GROUP BY 1)
+    SELECT t.doc, CAST(t.ord AS BIGINT) AS ord, lower(t.title) AS title, CAST(t.level - g.least AS BIGINT) AS depth, CAST(t.page AS BIGINT) AS page_start,
+      CAST(greatest(coalesce((SELECT arg_min(b.page, b.ord) FROM t b WHERE b.doc = t.doc AND b.ord > t.ord AND b.level <= t.level) - 1, t.total), t.page) AS BIGINT) AS page_end FROM t JOIN g USING (doc)
+    UNION ALL SELECT doc, 0, 'document ' || doc, 0, 1, total FROM way WHERE way = 'one'"""
+
+
+@query("WITH " + _heads_sql())
 def topic_trees(spark, d):
     """Trees of sections by what they offer: a table of contents, headings, or neither."""
     docs = table(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), F.concat(F.lit("Document "), F.col("doc_id")).alias("title"), (F.lit(20) + F.col("doc_id") % 3).cast("int").alias("total_pages"))
     found = trees.headings(table(spark, d, "documents").where("text is not null").select(F.col("doc_id").alias("doc"), "text"), ["doc"], "text")
     found = found.select("doc", F.col("line_ord").alias("ord"), "level", (F.col("line_ord") + 1).alias("page"), "title")
     toc = found.where("doc % 2 = 0")
-    return trees.topic_tree(toc, found, docs, "doc").select("doc", "ord", "title", "depth", "page_start", "page_end")
+    x = trees.topic_tree(toc, found, docs, "doc")
+    return x.select("doc", F.col("ord").cast("long").alias("ord"), F.lower("title").alias("title"), *[F.col(c).cast("long").alias(c) for c in ("depth", "page_start", "page_end")])
 
 
 @query(
@@ -207,13 +253,17 @@ def image_links(spark, d):
     return c.select("chunk_id", F.md5(lookup.with_image_links(F.col("content"), F.col("images"), "https://images.example")).alias("content_md5")).distinct()
 
 
-@query("SELECT DISTINCT chunk_id, i.id AS id, s AS section_id FROM (SELECT chunk_id, curriculum_id, unnest(images) AS i FROM chunks), (SELECT curriculum_id AS c, min(section_id) AS s FROM extracted WHERE contains(content, 'the') GROUP BY 1) WHERE c = curriculum_id AND i.id IS NOT NULL")
+@query(
+    """WITH m AS (SELECT DISTINCT curriculum_id, '[IMAGE: ' || i.id || ']' AS mark FROM (SELECT curriculum_id, unnest(images) AS i FROM extracted) WHERE i.id IS NOT NULL), s AS (SELECT curriculum_id, section_id, content || CASE WHEN len(images) > 0 THEN coalesce(array_to_string(list_transform(images, lambda i: ' [IMAGE: ' || i.id || ']'), ''), '') ELSE '' END AS c FROM extracted)
+    SELECT m.curriculum_id, m.mark, min(section_id) AS section_id FROM m JOIN s ON s.curriculum_id = m.curriculum_id AND contains(s.c, m.mark) GROUP BY 1, 2"""
+)
 def image_sections(spark, d):
     """The first section of a curriculum that holds an image's mark."""
-    marks = table(spark, d, "chunks").select("curriculum_id", "chunk_id", F.explode("images").alias("i")).select("curriculum_id", "chunk_id", F.col("i.id").alias("id")).where("id is not null").distinct()
-    s = table(spark, d, "extracted").select("curriculum_id", "section_id", "content")
-    first = lookup.first_containing(marks.select("curriculum_id").distinct().withColumn("mark", F.lit("the")), s, ["curriculum_id"], "mark", "content", "section_id")
-    return marks.join(first, "curriculum_id").select("chunk_id", "id", "section_id")
+    e = table(spark, d, "extracted")
+    mark = lambda i: F.concat(F.lit("[IMAGE: "), i["id"], F.lit("]"))
+    marks = e.select("curriculum_id", F.explode("images").alias("i")).where("i.id is not null").select("curriculum_id", mark(F.col("i")).alias("mark")).distinct()
+    s = e.select("curriculum_id", "section_id", F.concat("content", F.coalesce(F.array_join(F.transform("images", lambda i: F.concat(F.lit(" "), mark(i))), ""), F.lit(""))).alias("content"))
+    return lookup.first_containing(marks, s, ["curriculum_id"], "mark", "content", "section_id")
 
 
 @query(

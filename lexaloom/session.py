@@ -30,10 +30,12 @@ def session(app: str = "lexaloom", cores: str = "*", **conf: str) -> SparkSessio
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; one of our own only where none is named (tests, single machines)."""
+    """The folder all executors share; one of our own only where none is named and all run on this machine (tests). On a cluster without one nothing could be read back, so that is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if spark not in _OWN:
         _OWN[spark] = tempfile.mkdtemp(prefix="lexaloom-")
         atexit.register(shutil.rmtree, _OWN[spark], ignore_errors=True)
