@@ -2,9 +2,12 @@
 
 Words of texts that aren't scanned make a dictionary, counted over all rows.
 Lines of a scanned text are told apart (running headers, page numbers, text);
-what is left is one stream in which words cut by hyphens are joined and unknown
-stretches are decoded: a cheapest path over words, confusions, splits and
-merges. Paragraph boundaries are a cheapest path over the lines.
+what is left is one stream of characters without lines. Where words of the
+dictionary follow one another they stand; the stretches between are decoded
+jointly, by the cheapest path over words as they stand, as they were meant
+before confusions, across blanks that shouldn't be there and those that are
+missing, and over hyphens at line ends. Paragraph boundaries are a cheapest
+path over the lines.
 """
 
 from __future__ import annotations
@@ -14,11 +17,14 @@ import re
 import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexaloom.session import cut
+
 # What is read for what (left: seen on the page image, right: meant).
 CONFUSIONS = [
     ("1", "l"), ("|", "l"), ("0", "o"), ("5", "s"), ("c", "e"), ("j", "i"), ("f", "t"), ("b", "h"), ("q", "g"), ("rn", "m"), ("ri", "n"),
@@ -36,11 +42,15 @@ NUMBER = re.compile(r"(?P<lead>[^\w\s]{0,3})\s*(?P<word>page|seite|página|pagin
 NUMBERED = [re.compile(r"\s*(?P<t>\S.*?)(?P<gap>\s*[|·•/]\s*|\s{2,})(?P<n>[0-9lIO|o]{1,5}|[ivxlcdm]{1,10})\s*$"), re.compile(r"\s*(?P<n>[0-9lIO|o]{1,5}|[ivxlcdm]{1,10})(?P<gap>\s*[|·•/]\s*|\s{2,})(?P<t>\S.*?)\s*$")]
 ENDS = re.compile(r"[.!?…:;,]['\"”’»)\]]*(?:\[\d+\])*$|[\"”’»\]]$")
 RUN = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
-TOKEN = re.compile(r"\S+")
+AROUND = ".,;:!?\"()«»„“”–—[]*…¿¡'’`"
 FENCED = re.compile(r"\s*```|#{1,6} ")
 LETTERS = re.compile(r"[^\W\d_]")
-#: A word must make up this share of all words to enter the dictionary, which bounds it to five million.
-LEAST_SHARE = 2e-7
+#: A word must make up this share of all words to enter the dictionary, which bounds it to twenty million; in natural text far fewer do.
+LEAST_SHARE = 5e-8
+#: Costs of a path: a confusion, a blank too many or missing, a token no word explains, a hyphen kept between words.
+CONFUSED, BLANK, UNKNOWN, KEPT = 4.0, 8.0, 30.0, 40.0
+#: Tokens a path may take as one stretch of characters, and words it may find in it.
+STRETCH, WORDS_IN = 3, 4
 WIDEST = 90
 
 
@@ -73,6 +83,38 @@ def wrapped(lines: list[str]) -> bool:
     return len(full) >= 4 and max(full) <= WIDEST and sum(n > 0.6 * max(full) for n in full) >= 0.5 * len(full)
 
 
+@dataclass
+class Piece:
+    """A decoded piece of the stream: its words, the line it begins in, and kinds of lines it gives."""
+
+    words: list[str]
+    lines: list[int]
+    marks: list[tuple[int, str]]
+
+
+def _bases() -> dict[str, str]:
+    """What each letter is made of, so that texts which confusions turn into one another are made of the same: a key for all of them."""
+    base = {"n": "rl", "m": "rrl", "w": "vv", "u": "ll", "d": "el", "h": "ll", "b": "ll", "l": "l", "i": "l", "e": "e", "c": "e"}
+    while True:  # single letters follow what they are confused with
+        new = dict(base)
+        for seen, meant in CONFUSIONS:
+            if len(seen) == len(meant) == 1:
+                a, b = new.get(seen), new.get(meant)
+                if a is None or b is None:
+                    both = a or b or meant
+                    new[seen] = new[meant] = both
+        if new == base:
+            return base
+        base = new
+
+
+BASES = str.maketrans(_bases())
+
+
+def skeleton(word: str) -> str:
+    return word.translate(BASES)
+
+
 class Reader:
     """Tells lines apart and decodes words with a dictionary."""
 
@@ -86,7 +128,11 @@ class Reader:
         self.by_seen: dict[str, list[str]] = defaultdict(list)
         for seen, meant in CONFUSIONS:
             self.by_seen[seen].append(meant)
-        self.known: dict[str, tuple[str, float] | None] = {}
+        self.by_skeleton: dict[str, list[str]] = defaultdict(list)
+        for w in words:
+            self.by_skeleton[skeleton(w)].append(w)
+        self.known: dict[str, tuple[str, float, int] | None] = {}
+        self.tokens: dict[str, str | None] = {}
 
     def cost(self, word: str) -> float:
         n = self.words.get(word)
@@ -97,35 +143,57 @@ class Reader:
         t = f"^{word.lower()}$"
         return len(word) > 3 and all(self.trigrams.get(t[i : i + 3], 0) > 1 for i in range(len(t) - 2))
 
-    def meant(self, word: str) -> tuple[str, float] | None:
-        """The cheapest dictionary word, or else name, that can be read as ``word``, with up to three confusions."""
+    def _errors(self, seen: str, meant: str, most: int) -> int | None:
+        """The fewest confusions that turn ``meant`` into ``seen``; null beyond ``most``."""
+        reach = {(0, 0): 0}
+        best: int | None = None
+        order = [(0, 0)]
+        while order:
+            order.sort(reverse=True)
+            at = order.pop()
+            i, j = at
+            n = reach[at]
+            if i == len(seen) and j == len(meant):
+                best = n if best is None else min(best, n)
+                continue
+            steps = [(i + 1, j + 1, 0)] if i < len(seen) and j < len(meant) and seen[i] == meant[j] else []
+            if n < most:
+                for size in (1, 2):
+                    for m in self.by_seen.get(seen[i : i + size], ()) if i + size <= len(seen) else ():
+                        if meant.startswith(m, j):
+                            steps.append((i + size, j + len(m), 1))
+            for x, y, e in steps:
+                if n + e < reach.get((x, y), most + 1):
+                    if (x, y) not in reach:
+                        order.append((x, y))
+                    reach[x, y] = n + e
+        return best
+
+    def meant(self, word: str) -> tuple[str, float, int] | None:
+        """(word, cost, confusions): the dictionary word that was read as ``word`` with the fewest confusions, of those the cheapest: up to three, in short words two."""
         if word in self.known:
             return self.known[word]
-        best: tuple[str, float] | None = None
-        level, seen = {word}, {word}
-        for errors in range(1, 4 if len(word) > 6 else 3):
-            new = set()
-            for w in level:
-                for i in range(len(w)):
-                    for size in (1, 2):
-                        for m in self.by_seen.get(w[i : i + size], ()) if i + size <= len(w) else ():
-                            new.add(w[:i] + m + w[i + size :])
-            level = new - seen
-            seen |= level
-            for w in level:
-                c = self.cost(w) + 4.0 * errors
-                if c < math.inf and (best is None or (c, w) < (best[1], best[0])):
-                    best = (w, c)
-            if best or len(level) > 4000:
-                break
+        best: tuple[int, float, str] | None = None
+        for w in self.by_skeleton.get(skeleton(word), ()):
+            n = self._errors(word, w, 3 if len(word) > 6 else 2) if w != word else None
+            if n and (best is None or (n, self.cost(w), w) < best):
+                best = (n, self.cost(w), w)
         if len(self.known) > 200_000:
             self.known = {}
-        self.known[word] = best
-        return best
+        self.known[word] = got = (best[2], best[1] + CONFUSED * best[0], best[0]) if best else None
+        return got
 
     def misread(self, token: str) -> str | None:
-        """What was meant by a misread token of one word; null if it isn't misread."""
-        bare = token.strip(".,;:!?\"()«»„“”–—[]*…¿¡'’`")
+        """What was meant by a misread token of one word, by its letters alone; null if it isn't misread."""
+        if token in self.tokens:
+            return self.tokens[token]
+        if len(self.tokens) > 200_000:
+            self.tokens = {}
+        self.tokens[token] = got = self._misread(token)
+        return got
+
+    def _misread(self, token: str) -> str | None:
+        bare = token.strip(AROUND)
         bare = re.sub(r"\[\d*$|^\d*\]", "", bare)
         if len(bare) < 2 or not any(c.isalpha() or c == "|" for c in bare) or re.search(r"[./\\_@#=<>{}()\[\]:]", bare):
             return None
@@ -241,24 +309,9 @@ class Reader:
         for i in heads:
             kinds[i].add("header")
         body = [i for i in text if not kinds[i] and i not in numbers]
-        cut_next: set[int] = set()
-        for a, b in zip(body, body[1:], strict=False):
-            if not self._cut(lines, a):
-                continue
-            nxt = lines[b].lstrip()
-            if not nxt or not nxt[0].isalpha() or not (nxt[0].islower()):
-                continue
-            if self._is_cut(lines[a].rstrip(), nxt):
-                kinds[a].add("hyphen")
-                cut_next.add(b)
-        for i in body:
-            words = lines[i].split()
-            if "hyphen" in kinds[i]:
-                words = words[:-1]
-            if i in cut_next:
-                words = words[1:]
-            if any(self.misread(w) for w in words):
-                kinds[i].add("misread")
+        for piece in self.decode(lines, body):
+            for line, kind in piece.marks:
+                kinds[line].add(kind)
         return kinds
 
     @staticmethod
@@ -312,8 +365,8 @@ class Reader:
         x = lines[i].rstrip()
         return len(x) > 2 and x[-1] in HYPHENS and x[-2].isalpha()
 
-    def _is_cut(self, line: str, nxt: str) -> bool:
-        """True if the mark at the line's end isn't part of the word."""
+    def _joined(self, line: str, nxt: str) -> bool:
+        """True if the cheapest way over the hyphen at the line's end leaves it out."""
         if line[-1] in SURE_HYPHENS:
             return True
         head = re.search(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*$", line[:-1])
@@ -321,60 +374,172 @@ class Reader:
         if not head or not tail:
             return True
         a, b = head[0].lower(), tail[0].lower()
-        joined, kept = a + b, f"{a}-{b}"
-        if self.words.get(kept, 0) > self.words.get(joined, 0):
+        whole, kept = a + b, f"{a}-{b}"
+        join = self.cost(whole)
+        if join == math.inf:  # known by its last part, as it was meant, or not at all
+            join = UNKNOWN if self.words.get(re.split(r"['’\-]", whole)[-1]) else UNKNOWN + CONFUSED if self.meant(whole) else KEPT + BLANK
+        keep = self.cost(kept)
+        if keep == math.inf:
+            one, two = a.rsplit("-", 1)[-1].rsplit("'", 1)[-1], b.split("-", 1)[0]
+            keep = KEPT if one in self.words and two in self.words and len(one) > 3 and len(two) > 3 else KEPT + 2 * BLANK
+        return join <= keep
+
+    def _stand(self, token: str) -> float:
+        """What a token costs as it stands."""
+        bare = token.strip(AROUND)
+        if not bare.isalpha():
+            return 0.0  # numbers, names of things, marks: nothing to explain
+        c = self.cost(bare.lower())
+        return c if c < math.inf else UNKNOWN / 2 if not bare.islower() else UNKNOWN
+
+    def _words_in(self, text: str) -> tuple[float, list[str], int] | None:
+        """(cost, words, confusions) of the cheapest way to read a stretch of letters as words without blanks, one of them with confusions at most."""
+        low, n = text.lower(), len(text)
+        best: list[dict[tuple[int, int], tuple[float, int, tuple[int, int], str]]] = [{} for _ in range(n + 1)]
+        best[0][0, 0] = (0.0, 0, (0, 0), "")
+        for i in range(n):
+            for (k, bad), (c, _, _, _) in list(best[i].items()):
+                if k == WORDS_IN:
+                    continue
+                for j in range(i + 1, min(n, i + 30) + 1):
+                    w = low[i:j]
+                    options = [(self.cost(w), w, 0)] if w in self.words and (len(w) > 1 or w in "aioyàé") else []
+                    if not bad and j - i > 3 and (i == 0 or j == n) and not options:
+                        m = self.meant(w)
+                        options = [(m[1], m[0], 1)] if m else []
+                    for cost, word, e in options:
+                        key, total = (k + 1, bad or e), c + cost
+                        if key not in best[j] or total < best[j][key][0]:
+                            best[j][key] = (total, i, (k, bad), word)
+        if not best[n]:
+            return None
+        key = min(best[n], key=lambda x: (best[n][x][0] + BLANK * x[0], x))
+        cost, at, words, bad = best[n][key][0], n, [], key[1]
+        while at:
+            _, before, up, word = best[at][key]
+            words.append(word)
+            at, key = before, up
+        return cost, words[::-1], bad
+
+    def decode(self, lines: list[str], body: list[int]) -> list[Piece]:
+        """The text lines as one stream, decoded: pieces of it in order.
+
+        Tokens of the dictionary stand. A stretch round unknown ones is read by the
+        cheapest path; each step takes up to STRETCH tokens, as they stand, as one
+        token was meant, or as one run of letters in which blanks are set anew.
+        """
+        stream: list[tuple[str, int, bool]] = []  # token, line, whether it was cut
+        marks: dict[int, list[tuple[int, str]]] = {}
+        carry, kept = "", False
+        for a, i in enumerate(body):
+            words = lines[i].split()
+            cut = bool(carry)
+            if carry:
+                if kept and self._confused(words[0]):  # a compound's parts are whole words
+                    marks.setdefault(len(stream), []).append((i, "misread"))
+                words[0] = carry + words[0]
+                carry = ""
+            nxt = lines[body[a + 1]].lstrip() if a + 1 < len(body) else ""
+            if self._cut(lines, i) and nxt[:1].islower():
+                kept = not self._joined(lines[i].rstrip(), nxt)
+                carry = words.pop() if kept else words.pop().rstrip(HYPHENS)
+                if not kept:
+                    marks.setdefault(len(stream) + len(words), []).append((i, "hyphen"))
+                elif self._confused(carry):
+                    marks.setdefault(len(stream) + len(words), []).append((i, "misread"))
+            for k, w in enumerate(words):
+                stream.append((w, i, cut and k == 0))
+        if carry:
+            stream.append((carry, body[-1], True))
+        out: list[Piece] = []
+        n = len(stream)
+        odd = [self._odd(w) for w, _, _ in stream]
+        at = 0
+        while at < n:
+            if not any(odd[at : at + STRETCH]):
+                out.append(Piece([stream[at][0]], [stream[at][1]], marks.get(at, [])))
+                at += 1
+                continue
+            end = at
+            while end < n and any(odd[end : end + STRETCH]):
+                end += 1
+            end = min(n, end + STRETCH - 1)
+            out += self._path(stream[at:end], odd[at:end], at, marks)
+            at = end
+        return out
+
+    def _odd(self, token: str) -> bool:
+        """True for tokens that no word explains as they stand."""
+        if token.strip(AROUND).lower() in self.words:
             return False
-        if joined in self.words or self.words.get(re.split(r"['’\-]", joined)[-1]):
-            return True
-        one, two = a.rsplit("-", 1)[-1].rsplit("'", 1)[-1], b.split("-", 1)[0]
-        return not (one in self.words and two in self.words and len(one) > 3 and len(two) > 3 and self.meant(joined) is None)
+        return self._confused(token) or (token.isalpha() and token.islower() and len(token) > 1)
+
+    def _confused(self, token: str) -> bool:
+        return self.misread(token) is not None
+
+    def _path(self, part: list[tuple[str, int, bool]], odd: list[bool], offset: int, marks: dict) -> list[Piece]:
+        """The cheapest path over a stretch of tokens."""
+        n = len(part)
+        cost = [0.0] + [math.inf] * n
+        back: list[tuple[int, list[str], bool] | None] = [None] * (n + 1)
+
+        def step(i: int, j: int, c: float, words: list[str], confused: bool) -> None:
+            if cost[i] + c < cost[j] - 1e-9:
+                cost[j], back[j] = cost[i] + c, (i, words, confused)
+
+        for i in range(n):
+            if cost[i] == math.inf:
+                continue
+            token = part[i][0]
+            m = self.misread(token) if odd[i] else None
+            if m is None:
+                step(i, i + 1, self._stand(token), [token], False)
+            else:  # as it was meant; as it stands it would be unknown
+                step(i, i + 1, min(UNKNOWN - 1.0, self.meant(m.lower())[1] if self.meant(m.lower()) else UNKNOWN / 2), [token.replace(token.strip(AROUND), m, 1)], True)
+            for j in range(i + 1, min(n, i + STRETCH) + 1):
+                if not any(odd[i:j]):
+                    continue
+                tokens = [t for t, _, _ in part[i:j]]
+                first, last = tokens[0], tokens[-1]
+                lead, tail = first[: len(first) - len(first.lstrip(AROUND))], last[len(last.rstrip(AROUND)) :]
+                inner = "".join(tokens)[len(lead) : len("".join(tokens)) - len(tail) or None]
+                if not inner.isalpha() or len(inner) < 4 or max(inner) > "\u024f" or not (inner.islower() or inner[1:].islower()):
+                    continue
+                got = self._words_in(inner)
+                if got is None or (j == i + 1 and len(got[1]) == 1):
+                    continue
+                c, words, bad = got
+                # blanks that move: those between the tokens go, those between the words come
+                moved = abs(len(words) - (j - i)) if "".join(tokens) != "".join(words) or len(words) != j - i else 0
+                words = [self._cased(first[len(lead) :], words[0]), *words[1:]]
+                words[0], words[-1] = lead + words[0], words[-1] + tail
+                step(i, j, c + BLANK * max(1, moved), words, False)
+        out: list[Piece] = []
+        j = n
+        while j:
+            i, words, confused = back[j]
+            own = [x for k in range(i, j) for x in marks.get(offset + k, [])]
+            if confused and not part[i][2]:
+                own.append((part[i][1], "misread"))
+            out.append(Piece(words, [part[i][1]], own))
+            j = i
+        return out[::-1]
 
     def repair(self, lines: list[str], kinds: list[set[str]]) -> str:
-        """Continuous paragraphs: headers and page numbers out, cut words joined, misread words as they were meant."""
+        """Continuous paragraphs: headers and page numbers out, cut words joined, words and blanks as they were meant."""
         body = [i for i, x in enumerate(lines) if x.strip() and not kinds[i] & {"header", "page_number"}]
         if not body:
             return ""
-        width = max(len(lines[i].rstrip()) for i in body)
-        starts = self._paragraphs(lines, body, width)
+        starts = self._paragraphs(lines, body, max(len(lines[i].rstrip()) for i in body))
         out: list[list[str]] = []
-        carry = ""
-        for i in body:
-            words = lines[i].split()
-            if i in starts or not out:
+        begun = -1
+        for piece in self.decode(lines, body):
+            begins = [i for i in starts if begun < i <= piece.lines[0]]
+            if begins or not out:
                 out.append([])
-            if carry:
-                words[0] = carry + words[0]
-                carry = ""
-            if "hyphen" in kinds[i]:
-                carry = words.pop().rstrip(HYPHENS)
-            elif words and words[-1][-1] == "-" and self._cut(lines, i):
-                carry = words.pop()
-            out[-1] += words
-        if carry:
-            out[-1].append(carry)
-        return "\n\n".join(" ".join(self._decode(p)) for p in out)
-
-    def _decode(self, words: list[str]) -> list[str]:
-        """Cheapest reading of a stream of tokens: as it stands, as meant, as two words, or two tokens as one."""
-        out: list[str] = []
-        i = 0
-        while i < len(words):
-            w = words[i]
-            m = self.misread(w)
-            if m is not None:
-                bare = w.strip(".,;:!?\"()«»„“”–—[]*…¿¡'’`")
-                out.append(w.replace(bare, m, 1))
-            elif w.isalpha() and w.lower() not in self.words and len(w) > 5 and w.islower():
-                if i + 1 < len(words) and (w + words[i + 1]).lower() in self.words:
-                    out.append(w + words[i + 1])
-                    i += 1
-                else:
-                    split = min(((self.cost(w[:k]) + self.cost(w[k:]), k) for k in range(2, len(w) - 1)), default=(math.inf, 0))
-                    out.append(f"{w[: split[1]]} {w[split[1] :]}" if split[0] < 22 else w)
-            else:
-                out.append(w)
-            i += 1
-        return out
+                begun = max(begins, default=begun)
+            out[-1] += piece.words
+        return "\n\n".join(" ".join(p) for p in out if p)
 
     def _paragraphs(self, lines: list[str], body: list[int], width: int) -> set[int]:
         """Lines that begin a paragraph: the cheapest sequence of break and no break."""
@@ -412,30 +577,30 @@ def paper(kind: Column) -> Column:
 
 
 def dictionary(sections: DataFrame) -> DataFrame:
-    """(kind, word, n): words ('w') of the sections that don't come from paper, and three letters in a row ('t') of their names, by distinct names of a batch."""
+    """(kind, word, n): words ('w') of the sections that don't come from paper, and three letters in a row ('t') of their names, by how many names have them.
+
+    Words are counted as they are written first; a name is a word that is always
+    written with a capital. Nothing depends on how rows are batched.
+    """
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             n: Counter = Counter()
             for t in pdf["content"]:
                 n.update(RUN.findall(t))
-            low: Counter = Counter()
-            for w, k in n.items():
-                low[w.lower()] += k
-                if "-" in w:
-                    for p in w.split("-"):
-                        low[p.lower()] += k
-            three: Counter = Counter()
-            for w in n:
-                if w[0].isupper() and len(w) > 3 and w[1:].islower() and low[w.lower()] == n[w]:
-                    t = f"^{w.lower()}$"
-                    three.update(t[i : i + 3] for i in range(len(t) - 2))
-            yield pd.DataFrame({"kind": ["w"] * len(low) + ["t"] * len(three), "word": [*low, *three], "n": [*low.values(), *three.values()]})
+            yield pd.DataFrame({"form": list(n), "n": list(n.values())})
 
     clean = sections.where(~paper(F.col("source_type")) & F.col("content").isNotNull()).select("content")
-    n = clean.mapInPandas(part, "kind string, word string, n long").groupBy("kind", "word").agg(F.sum("n").alias("n"))
-    total = n.groupBy("kind").agg(F.sum("n").alias("total"))
-    return n.join(F.broadcast(total), "kind").where((F.col("n") >= 2) & (F.col("n") >= F.col("total") * LEAST_SHARE)).select("kind", "word", "n")
+    forms = cut(clean.mapInPandas(part, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).withColumn("low", F.lower("form")))
+    parts = F.when(F.contains("low", F.lit("-")), F.concat(F.array("low"), F.split("low", "-"))).otherwise(F.array("low"))
+    words = forms.select(F.explode(parts).alias("word"), "n", "low").groupBy("word").agg(F.sum("n").alias("n"))
+    total = words.agg(F.sum("n").alias("total"))
+    kept = words.join(F.broadcast(total)).where((F.col("n") >= 2) & (F.col("n") >= F.col("total") * LEAST_SHARE)).select(F.lit("w").alias("kind"), "word", "n")  # one row
+    capital = F.col("form").rlike(r"^\p{Lu}\p{Ll}{3,}$")
+    names = forms.join(words, F.col("low") == F.col("word")).where(capital & (forms["n"] == words["n"])).select("low").distinct()
+    padded = F.concat(F.lit("^"), F.col("low"), F.lit("$"))
+    three = names.select(F.explode(F.transform(F.sequence(F.lit(1), F.length(padded) - 2), lambda i: F.substring(padded, i, F.lit(3)))).alias("word"))
+    return kept.unionByName(three.groupBy("word").agg(F.count("*").alias("n")).where("n >= 2").select(F.lit("t").alias("kind"), "word", "n"))
 
 
 def _reader_state(sections: DataFrame):
