@@ -44,6 +44,7 @@ ENDS = re.compile(r"[.!?…:;,]['\"”’»)\]]*(?:\[\d+\])*$|[\"”’»\]]$")
 RUN = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 AROUND = ".,;:!?\"()«»„“”–—[]*…¿¡'’`"
 FENCED = re.compile(r"\s*```|#{1,6} ")
+TABLE = re.compile(r"\s*\|(?:[^|]*\|){2,}\s*")
 LETTERS = re.compile(r"[^\W\d_]")
 #: A word must make up this share of all words to enter the dictionary, which bounds it to twenty million; in natural text far fewer do.
 LEAST_SHARE = 5e-8
@@ -252,7 +253,7 @@ class Reader:
 
     def kinds(self, lines: list[str], title: str | None, marked: bool) -> list[set[str]] | None:
         """Kinds of each line; null if the text isn't scanned."""
-        if not marked and (not wrapped(lines) or any(FENCED.match(x) for x in lines) or 3 * len([x for x in lines if x.strip()]) > sum(len(x.split()) for x in lines)):
+        if not marked and (not wrapped(lines) or any(FENCED.match(x) or TABLE.fullmatch(x) for x in lines) or 3 * len([x for x in lines if x.strip()]) > sum(len(x.split()) for x in lines)):
             return None
         width = max(len(x.rstrip()) for x in lines) if lines else 0
         kinds: list[set[str]] = [set() for _ in lines]
@@ -263,6 +264,8 @@ class Reader:
         text = [i for i, x in enumerate(lines) if x.strip()]
         for i in text:
             x = lines[i].strip()
+            if TABLE.fullmatch(x):
+                continue
             m = NUMBER.fullmatch(x)
             if m and (v := value(m["n"])) is not None and (m["n"].isdigit() or ROMAN.fullmatch(m["n"]) or re.search(r"\d", x)):
                 plain = not (m["word"] or m["of"] or m["lead"] or m["tail"]) and any(c.isdigit() for c in m["n"])
@@ -295,9 +298,9 @@ class Reader:
             kinds[i].add("page_number")
         repeated = Counter(fold(self._head_text(lines[i])) for i in heads)
         for n, i in enumerate(text):
-            if i in numbers or i in heads:
-                continue
             x = lines[i].strip()
+            if i in numbers or i in heads or TABLE.fullmatch(x):
+                continue
             top = n == 0 or text[n - 1] in accepted or "\f" in "".join(lines[text[n - 1] : i + 1])
             short = len(x) < (0.8 if top else 0.6) * width and len(x) < 60
             first = next((c for c in x if c.isalnum()), "")
@@ -393,7 +396,7 @@ class Reader:
         return c if c < math.inf else UNKNOWN / 2 if not bare.islower() else UNKNOWN
 
     def _words_in(self, text: str) -> tuple[float, list[str], int] | None:
-        """(cost, words, confusions) of the cheapest way to read a stretch of letters as words without blanks, one of them with confusions at most."""
+        """(cost, words, misread ones) of the cheapest way to read a stretch of letters as words without blanks; the first and the last may be misread."""
         low, n = text.lower(), len(text)
         best: list[dict[tuple[int, int], tuple[float, int, tuple[int, int], str]]] = [{} for _ in range(n + 1)]
         best[0][0, 0] = (0.0, 0, (0, 0), "")
@@ -404,11 +407,11 @@ class Reader:
                 for j in range(i + 1, min(n, i + 30) + 1):
                     w = low[i:j]
                     options = [(self.cost(w), w, 0)] if w in self.words and (len(w) > 1 or w in "aioyàé") else []
-                    if not bad and j - i > 3 and (i == 0 or j == n) and not options:
+                    if bad < 2 and j - i > 3 and (i == 0 or j == n) and not options:
                         m = self.meant(w)
                         options = [(m[1], m[0], 1)] if m else []
                     for cost, word, e in options:
-                        key, total = (k + 1, bad or e), c + cost
+                        key, total = (k + 1, bad + e), c + cost
                         if key not in best[j] or total < best[j][key][0]:
                             best[j][key] = (total, i, (k, bad), word)
         if not best[n]:

@@ -53,3 +53,39 @@ def test_two_errors_in_a_word_like_a_name():
     like = "^rcmotc$"
     r = scans.Reader({"remote": 9}, {like[i : i + 3]: 2 for i in range(len(like) - 2)})
     assert r.misread("Rcmotc") == "Remote"
+
+
+def test_rows_of_tables_are_no_headers(spark):
+    rows = "\n".join(["| key | note | value |", "| --- | --- | --- |", *[f"| Nam{chr(97 + i % 26)}r | 编译器用自己的方法分配知识点 | {i} |" for i in range(30)]])
+    x = table(spark, (7, "pdf", "t", rows, None), (8, "pdf", "t", rows, {"ocr": "true"}))
+    assert {r.section_id for r in scans.line_kinds(x).collect()} == {2}
+
+
+def test_joint_decoding():
+    """Blanks that are missing, too many or misplaced, beside confusions and hyphens."""
+    words = {w: 20 for w in "the information cat sat of on mat computer module reader formation in remote buffer".split()}
+    r = scans.Reader(words | {"the": 500, "of": 300, "on": 200, "in": 200}, {})
+    read = lambda *lines: r.repair(list(lines), [set() for _ in lines])
+    assert read("the infor mation of the cat") == "the information of the cat"
+    assert read("ofthe cat") == "of the cat"
+    assert read("th ecat sat on the rnat") == "the cat sat on the mat"
+    assert read("the cornputerrnodule sat") == "the computer module sat"
+    assert read("the rernote buf-", "fer sat on") == "the remote buffer sat on"
+
+
+def test_dictionary_does_not_depend_on_batches(spark):
+    rng = __import__("random").Random(1)
+    name = lambda: rng.choice("KLMN") + "".join(rng.choice("abcdefghij") for _ in range(6))
+    x = spark.createDataFrame([(i, "url", None, " ".join(["a word and", name(), name(), "more words here"]), None) for i in range(300)], COLS)
+    out = []
+    for size in ("10", "10000"):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        out.append({tuple(r) for r in scans.dictionary(x).collect()})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert out[0] == out[1] and any(k == "t" for k, _, _ in out[0])
+
+
+def test_readings_without_limit():
+    """A long token with very many readings is still read."""
+    r = scans.Reader({"internationalisierungsmoeglichkeiten": 5}, {})
+    assert r.misread("lnternationa1isierungsrnoeglichkeiten") == "internationalisierungsmoeglichkeiten"
