@@ -24,7 +24,8 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p1_shared(spark: SparkSession, d: str) -> DataFrame:
     """How much of each record is shared elsewhere."""
-    return spans.shared_share(_records(spark, d))
+    x = spans.shared_share(_records(spark, d))
+    return x.select("tbl", "id", F.col("n_chars").cast("long").alias("n_chars"), F.col("shared_chars").cast("long").alias("shared_chars"))
 
 
 def p1_classes(spark: SparkSession, d: str) -> DataFrame:
@@ -147,7 +148,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (p1_found, p1_shared, p1_classes, p3_found, p3_text, p4_found, p4_budget, p5_found, p5_classes, p5_titles, p6_found, p6_pieces, p7_found, p7_near, p8_mix, p8_shares, p8_even, p8_even_shares, p9_found)
 }
 
+#: All windows of 240 characters of both tables, and those that two records of one table have.
+WINDOWS = """r AS (SELECT DISTINCT 'extracted' AS tbl, section_id AS id, content FROM extracted WHERE length(content) >= 240 AND section_id IS NOT NULL UNION ALL SELECT DISTINCT 'chunks', chunk_id, content FROM chunks WHERE length(content) >= 240 AND chunk_id IS NOT NULL),
+        w AS (SELECT DISTINCT tbl, id, i, md5_number(substr(content, i, 240)) AS h FROM (SELECT tbl, id, content, unnest(range(1, length(content) - 238)) AS i FROM r)),
+        s AS (SELECT tbl, h FROM w GROUP BY 1, 2 HAVING min(id) <> max(id))"""
+
 SQL = {
+    "p1_found": f"""
+        WITH {WINDOWS}, m AS (SELECT DISTINCT tbl, h, id FROM w JOIN s USING (tbl, h)), c AS (SELECT tbl, min(h) AS h FROM (SELECT tbl, h, list(id ORDER BY id) AS ids FROM m GROUP BY 1, 2) GROUP BY tbl, ids), k AS (SELECT m.* FROM m JOIN c USING (tbl, h))
+        SELECT DISTINCT a.tbl, a.id AS id_a, b.id AS id_b FROM k a JOIN k b ON a.tbl = b.tbl AND a.h = b.h AND a.id < b.id""",
+    "p1_shared": f"""
+        WITH {WINDOWS}, x AS (SELECT tbl, id, i, lead(i) OVER (PARTITION BY tbl, id ORDER BY i) AS nxt FROM (SELECT DISTINCT tbl, id, i FROM w JOIN s USING (tbl, h))),
+        g AS (SELECT tbl, id, sum(least(240, coalesce(nxt - i, 240))) AS n FROM x GROUP BY 1, 2),
+        z AS (SELECT 'extracted' AS tbl, section_id AS id, max(length(content)) AS n_chars FROM extracted WHERE content IS NOT NULL AND section_id IS NOT NULL GROUP BY 2 UNION ALL SELECT 'chunks', chunk_id, max(length(content)) FROM chunks WHERE content IS NOT NULL AND chunk_id IS NOT NULL GROUP BY 2)
+        SELECT tbl, id, n_chars, CAST(coalesce(n, 0) AS BIGINT) AS shared_chars FROM z LEFT JOIN g USING (tbl, id)""",
     "p6_found": """
         SELECT DISTINCT 'extracted' AS tbl, section_id AS record_id FROM extracted, split_limits
         WHERE item_table = 'extracted' AND length(content) > max_chars

@@ -498,7 +498,8 @@ class Reader:
             if m is None:
                 step(i, i + 1, self._stand(token), [token], False)
             else:  # as it was meant; as it stands it would be unknown
-                step(i, i + 1, min(UNKNOWN - 1.0, self.meant(m.lower())[1] if self.meant(m.lower()) else UNKNOWN / 2), [token.replace(token.strip(AROUND), m, 1)], True)
+                got = self.meant(token.strip(AROUND).lower())
+                step(i, i + 1, min(UNKNOWN - 1.0, got[1] if got else UNKNOWN / 2), [token.replace(token.strip(AROUND), m, 1)], True)
             for j in range(i + 1, min(n, i + STRETCH) + 1):
                 if not any(odd[i:j]):
                     continue
@@ -509,8 +510,8 @@ class Reader:
                 if not inner.isalpha() or len(inner) < 4 or max(inner) > "\u024f" or not (inner.islower() or inner[1:].islower()):
                     continue
                 got = self._words_in(inner)
-                if got is None or (j == i + 1 and len(got[1]) == 1):
-                    continue
+                if got is None or (len(got[1]) == j - i and all(not o or self._confused(t) for o, t in zip(odd[i:j], tokens, strict=True))):
+                    continue  # no blank moves
                 c, words, bad = got
                 # blanks that move: those between the tokens go, those between the words come
                 moved = abs(len(words) - (j - i)) if "".join(tokens) != "".join(words) or len(words) != j - i else 0
@@ -597,8 +598,8 @@ def dictionary(sections: DataFrame) -> DataFrame:
     forms = cut(clean.mapInPandas(part, "form string, n long").groupBy("form").agg(F.sum("n").alias("n")).withColumn("low", F.lower("form")))
     parts = F.when(F.contains("low", F.lit("-")), F.concat(F.array("low"), F.split("low", "-"))).otherwise(F.array("low"))
     words = forms.select(F.explode(parts).alias("word"), "n", "low").groupBy("word").agg(F.sum("n").alias("n"))
-    total = words.agg(F.sum("n").alias("total"))
-    kept = words.join(F.broadcast(total)).where((F.col("n") >= 2) & (F.col("n") >= F.col("total") * LEAST_SHARE)).select(F.lit("w").alias("kind"), "word", "n")  # one row
+    total = words.agg(F.sum("n").alias("n")).first().n or 0  # one number
+    kept = words.where((F.col("n") >= 2) & (F.col("n") >= total * LEAST_SHARE)).select(F.lit("w").alias("kind"), "word", "n")
     capital = F.col("form").rlike(r"^\p{Lu}\p{Ll}{3,}$")
     names = forms.join(words, F.col("low") == F.col("word")).where(capital & (forms["n"] == words["n"])).select("low").distinct()
     padded = F.concat(F.lit("^"), F.col("low"), F.lit("$"))
