@@ -40,8 +40,8 @@ def with_levels(topics: DataFrame, wanted: DataFrame, levels: DataFrame, scope:
 def title_ids(topics: DataFrame, scope: str, title: str, id_: str, order: str) -> tuple[DataFrame, DataFrame]:
     """Ids by title and by title in lower case, of equal ones the last in ``order``."""
     x = topics.where(F.col(title).isNotNull())
-    exact = x.groupBy(scope, F.col(title).alias("_t")).agg(F.max(F.struct(order, id_)).alias("v")).select(scope, "_t", F.col(f"v.{id_}").alias("_a"))
-    folded = x.groupBy(scope, F.lower(title).alias("_l")).agg(F.max(F.struct(order, id_)).alias("v")).select(scope, "_l", F.col(f"v.{id_}").alias("_b"))
+    exact = x.groupBy(scope, F.col(title).alias("_t")).agg(F.max(F.struct(order, id_)).alias("_v")).select(scope, "_t", F.col(f"_v.{id_}").alias("_a"))
+    folded = x.groupBy(scope, F.lower(title).alias("_l")).agg(F.max(F.struct(order, id_)).alias("_v")).select(scope, "_l", F.col(f"_v.{id_}").alias("_b"))
     return exact, folded
 
 

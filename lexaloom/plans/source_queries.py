@@ -272,10 +272,20 @@ def image_sections(spark, d):
 def stream_windows(spark, d):
     """Windows of a stream of events, run to its end; the batch result is the measure."""
     e = streams.stream_table(spark, f"{d}/events.parquet*", table(spark, d, "events"))
-    name = f"w{uuid.uuid4().hex}"
-    q = streams.window_counts(e, late="3650 days").writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{_shared_folder(spark)}/lexaloom-{name}").trigger(availableNow=True).start()
+    target = f"{_shared_folder(spark)}/lexaloom-{uuid.uuid4().hex}"
+    streams.latest_batches(streams.window_counts(e, late="1 day"), target, f"{target}-at").awaitTermination()
+    x = streams.settled(spark, target, ["start", "event_type"])
+    return x.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round(F.col("total") * 100).cast("long").alias("cents"))
+
+
+@query("SELECT DISTINCT event_id, user_id, event_type FROM events")
+def first_deliveries(spark, d):
+    """Events of a stream once each, however often they were delivered."""
+    e = streams.stream_table(spark, f"{d}/events.parquet*", table(spark, d, "events"))
+    target = f"{_shared_folder(spark)}/lexaloom-{uuid.uuid4().hex}"
+    q = streams.first_deliveries(e, "event_id", "ts").writeStream.outputMode("append").format("parquet").option("path", target).option("checkpointLocation", f"{target}-at").trigger(availableNow=True).start()
     q.awaitTermination()
-    return spark.table(name).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round(F.col("total") * 100).cast("long").alias("cents"))
+    return spark.read.parquet(target).select("event_id", "user_id", "event_type")
 
 
 @query("SELECT user_id, count(*) AS sessions, CAST(sum(n) AS BIGINT) AS events FROM (SELECT user_id, s, count(*) AS n FROM (SELECT user_id, sum(b) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS s FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS b FROM events)) GROUP BY 1, 2) GROUP BY 1")
@@ -293,7 +303,7 @@ def stream_upsert(spark, d):
         e = streams.stream_table(spark, f"{d}/events.parquet*", like).select("event_id", "user_id")
         out = streams.upsert_batches(e, ["event_id"], target, f"{target}-at-{i}")
         out.awaitTermination()
-    return spark.read.parquet(target)
+    return spark.read.parquet(target).drop("part")
 
 
 def queries():

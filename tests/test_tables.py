@@ -192,3 +192,70 @@ def test_windows_edges(spark):
     assert [(r.title, r.text) for r in windows.chapters(s, m, "video").orderBy("chap_ord").collect()] == [("one", "a b"), ("two", "c")]
     assert windows.time_windows(s.limit(0), "video").count() == 0
     assert windows.keep_one(s.select("video", "seg_ord"), ["video"], ["seg_ord"], last=True).first().seg_ord == 2
+
+
+def test_streams_run_again_leave_nothing_twice(spark, tmp_path):
+    from lexaloom.streaming import streams
+
+    like = spark.createDataFrame([(1, "a")], "k int, v string")
+    src, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for n in range(3):
+        spark.createDataFrame([(n, "x"), (n + 1, "y")], "k int, v string").coalesce(1).write.mode("append").parquet(src)
+        streams.upsert_batches(streams.stream_table(spark, src, like), ["k"], target, str(tmp_path / "at")).awaitTermination()
+    streams.upsert_batches(streams.stream_table(spark, src, like), ["k"], target, str(tmp_path / "at2")).awaitTermination()
+    assert sorted(r.k for r in spark.read.parquet(target).collect()) == [0, 1, 2, 3]
+    q = streams.latest_batches(streams.stream_table(spark, src, like).groupBy("v").count(), str(tmp_path / "agg"), str(tmp_path / "at3"))
+    q.awaitTermination()
+    assert {(r.v, r["count"]) for r in streams.settled(spark, str(tmp_path / "agg"), ["v"]).collect()} == {("x", 3), ("y", 3)}
+
+
+def test_prerequisites_with_a_cycle_are_left_out(spark):
+    from lexaloom.operators import upload
+
+    topics = spark.createDataFrame([(g, t, f"{g}{t}", i) for g in (1, 2) for i, t in enumerate("ABC")] + [(2, "A", "2late", 9)], "g int, title string, id string, o int")
+    wanted = [(1, "A", "B", None), (1, "B", "C", "required"), (1, "C", "a", None), (2, "a", "B", None), (2, "A", "B", "required"), (2, "A", "A", None), (2, "A", "none", None), (2, None, "A", None)]
+    got = upload.prerequisite_rows(spark.createDataFrame(wanted, "g int, title string, prerequisite string, strength string"), topics, "g", "o").collect()
+    assert [(r.g, r.topic_id, r.prerequisite_topic_id, r.strength) for r in got] == [(2, "2late", "2B", "required")]
+
+
+def test_enrichment_is_cleared_and_made_anew(spark):
+    from lexaloom.operators import upload
+
+    t = spark.createDataFrame([("a", 1), ("b", 2)], "topic_id string, n int")
+    c = spark.createDataFrame([("a", 1), ("a", 1000), ("b", 1001), ("a", None)], "topic_id string, chunk_index int")
+    a, b, d = upload.cleared(t, t, c, spark.createDataFrame([("a",)], "id string"))
+    assert [r.topic_id for r in a.collect()] == ["b"] == [r.topic_id for r in b.collect()]
+    assert sorted((r.topic_id, r.chunk_index or 0) for r in d.collect()) == [("a", 0), ("a", 1), ("b", 1001)]
+
+
+def test_condensing_pieces(spark):
+    o = "array<struct<text:string,bloom_level:string>>"
+    x = spark.createDataFrame([("f", "Chapter 2: Go"), ("f", "Cover"), ("g", "Go"), ("g", None)], "file string, title string")
+    remap = spark.createDataFrame([("g", "Go", "Went"), (None, "Go", "Gone")], "file string, old string, new string")
+    assert sorted((r.file, r.new_title, r.action) for r in condense.normalized_sections(x, remap, "file", "title").collect()) == [("f", "Cover", "dropped"), ("f", "Go", "renamed"), ("g", "", "kept"), ("g", "Went", "renamed")]
+    leaves = spark.createDataFrame([("classic", 0, -1, ["A"], None), ("detailed", 0, -1, ["A", "B"], None), ("core", 0, -1, ["A"], ["own"]), ("other", 0, -1, ["Z"], None), ("other", 1, -1, ["Z"], ["own"])], "tier string, topic_ord int, child_ord int, keys array<string>, own array<string>")
+    ex = spark.createDataFrame([("A", 1, ["a1", "a2"]), ("B", 0, ["b1", "b2"])], "title string, ord int, exercises array<string>")
+    got = {(r.tier, r.topic_ord): r.exercises for r in condense.gathered_exercises(leaves, ex).collect()}
+    assert got == {("classic", 0): ["a1"], ("detailed", 0): ["a1", "a2", "b1"], ("other", 1): ["own"]}
+    m = spark.createDataFrame([("My Domain", "", None)], "domain string, domain_family string, variant string")
+    assert condense.filled_manifest(m).first()[1:] == ("my-domain", "extensive")
+
+
+def test_documents_of_pages(spark):
+    toc = spark.createDataFrame([("a", 0, 1, "One"), ("a", 1, 2, "Lost"), ("a", 2, 1, None)], "doc string, ord int, level int, title string")
+    pages = spark.createDataFrame([("a", 1, "One here"), ("a", 2, " "), ("a", 3, "and One there"), ("b", 1, "x"), ("c", 1, None)], "doc string, page int, text string")
+    docs = spark.createDataFrame([("a", "A"), ("b", "B"), ("c", "C")], "doc string, title string")
+    got = [(r.doc, r.title, r.content) for r in C.titled_sections({"toc": toc, "pages": pages, "docs": docs}).orderBy("doc", "ord").collect()]
+    assert got == [("a", "One", "One here\n\nand One there"), ("a", "Lost", ""), ("b", "B", "x")]
+    seen = spark.createDataFrame([("b", 1, "much longer text"), ("c", 2, "new"), ("a", 1, "O")], "doc string, page int, text string")
+    assert {(r.doc, r.page): r.text for r in C.repaired_pages(pages, seen).collect()} == {("a", 1): "One here", ("a", 3): "and One there", ("b", 1): "much longer text", ("c", 2): "new"}
+
+
+def test_workspace_crawl(spark):
+    pages = spark.createDataFrame([("r", False), ("d", True), ("x", False), ("y", False), ("z", None)], "id string, is_database boolean")
+    kids = spark.createDataFrame([("r", 0, "d"), ("r", 1, "x"), ("d", 0, "y"), ("x", 0, "r"), ("y", 0, "z"), ("x", 1, "gone")], "id string, ord int, child string")
+    start = spark.createDataFrame([("r",)], "id string")
+    assert [(r.id, r.depth) for r in trees.workspace_crawl(pages, kids, start).orderBy("place").collect()] == [("r", 0), ("x", 1), ("y", 2), ("z", 3)]
+    assert trees.workspace_crawl(pages, kids, start, most_pages=2).count() == 2
+    assert trees.workspace_crawl(pages, kids, start, most_depth=2).count() == 3
+    assert trees.workspace_crawl(pages, kids, start.limit(0)).count() == 0
