@@ -5,6 +5,8 @@ Nulls give null unless a docstring says otherwise.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,6 +81,17 @@ LEVEL_VERBS = {
 }
 
 
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of ``value``, which is computed once: a lambda's variable isn't put in place of every use, as an expression would be."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def title_case(c: Column) -> Column:
+    """Every letter after another in lower case, all others in upper case."""
+    one = lambda s: F.transform(s, lambda ch, i: F.when((i > 0) & F.coalesce(F.get(s, i - 1).rlike(r"^\p{L}$"), F.lit(False)), F.lower(ch)).otherwise(F.upper(ch)))
+    return F.array_join(let(F.split(c, ""), one), "")
+
+
 def stripped(c: Column) -> Column:
     """Without blanks, line ends and no-break blanks at both ends."""
     return F.btrim(c, F.lit(" \t\n\x0b\f\r\u00a0"))
@@ -221,7 +234,7 @@ def slug(c: Column) -> Column:
 
 def slug_title(path: Column) -> Column:
     """Last part of a path as a title."""
-    return F.initcap(F.replace(F.replace(F.regexp_extract(path, r"([^/]*)$", 1), F.lit("-"), F.lit(" ")), F.lit(".html"), F.lit("")))
+    return title_case(F.replace(F.replace(F.regexp_extract(path, r"([^/]*)$", 1), F.lit("-"), F.lit(" ")), F.lit(".html"), F.lit("")))
 
 
 def path_prefix(path: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexaloom.functions.text import is_code, is_heading, stripped, word_count
+from lexaloom.functions.text import is_code, is_heading, let, stripped, word_count
 
 # Blanks a line may hold and still count as empty.
 _BLANKS = r"[ \t\x0B\f\r\xA0]*"
@@ -15,11 +15,6 @@ _BLANKS = r"[ \t\x0B\f\r\xA0]*"
 _GAP = r"\n[ \t\x0B\f\r\xA0]*\n[ \t\x0B\f\r\xA0\n]*"
 
 
-def let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of ``value``, which is computed once: a lambda's variable isn't put in place of every use, as an expression would be."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
 def paragraphs(text: Column) -> Column:
     """Paragraphs of a text: parted by blank lines, a fenced block whole and apart from what stands before it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexaloom.functions.text import is_citation, is_front_matter, stripped
+from lexaloom.functions.text import is_citation, is_front_matter, stripped, title_case
 from lexaloom.session import cut
 
 
@@ -76,7 +76,7 @@ def headings(pages: DataFrame, key: list[str], text: str) -> DataFrame:
     capitals = (F.upper(line) == line) & line.rlike(r"\p{Lu}") & words.between(2, 8) & (F.length(line) > 8) & ~line.rlike(r"^(HTTP|URL|API|SQL|HTML|\[)")
     rule = F.when(line.rlike(chapter), 1).when(line.rlike(numbered), 2).when(capitals, 3)
     level = F.when(rule == 2, depth).otherwise(1)
-    title = F.when(rule == 1, F.when(rest != "", rest).otherwise(line)).when(rule == 2, F.concat_ws(" ", number, name)).otherwise(F.initcap(line))
+    title = F.when(rule == 1, F.when(rest != "", rest).otherwise(line)).when(rule == 2, F.concat_ws(" ", number, name)).otherwise(title_case(line))
     kept = rule.isNotNull() & ((rule != 2) | ((depth <= 3) & ~note))
     return x.where(kept).select(*key, "line_ord", level.cast("int").alias("level"), title.alias("title"))
 
@@ -162,10 +162,22 @@ def cyclic_nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
 
 
 def redundant_edges(edges: DataFrame, source: str, target: str) -> DataFrame:
-    """Edges a -> c for which there are a -> b and b -> c."""
-    e = edges.select(F.col(source).alias("a"), F.col(target).alias("c")).where("a <> c").distinct()
-    two = e.select("a", F.col("c").alias("b")).join(e.select(F.col("a").alias("b"), "c"), "b").where("a <> c and b <> c").select("a", "c").distinct()
-    return e.join(two, ["a", "c"], "left_semi")
+    """(a, c): edges whose end is also reached another way, by two others or more. Equal edges count once, loops not at all.
+
+    What each node reaches is found by ways that double in length, so the work
+    grows with the pairs of nodes that reach one another.
+    """
+    e = cut(edges.select(F.col(source).alias("a"), F.col(target).alias("c")).where("a <> c").distinct())
+    reach, n = e, e.count()
+    while True:
+        two = reach.select("a", F.col("c").alias("b")).join(reach.select(F.col("a").alias("b"), "c"), "b").where("a <> c").select("a", "c")
+        reach = cut(reach.unionByName(two).distinct())
+        m = reach.count()
+        if m == n:
+            break
+        n = m
+    other = e.select("a", F.col("c").alias("b")).join(reach.select(F.col("a").alias("b"), "c"), "b").where("b <> c and a <> c").select("a", "c").distinct()
+    return e.join(other, ["a", "c"], "left_semi")
 
 
 def enriched_topics(topics: DataFrame, wanted: DataFrame, scope: str, title: str) -> DataFrame:

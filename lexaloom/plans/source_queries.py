@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lexaloom.functions import text as T
 from lexaloom.operators import condense, lookup, trees
 from lexaloom.session import _shared_folder
+from lexaloom.plans.text_queries import STRIP, _parts_sql
 from lexaloom.sources import connectors as C
 from lexaloom.sources.tables import table
 from lexaloom.streaming import streams
@@ -65,6 +66,47 @@ def web_text(spark, d):
     return p.select("url", F.md5(C.page_text(F.col("html"))).alias("text_md5")).join(C.images_in(p), "url")
 
 
+@query(
+    f"""WITH {_parts_sql(6)}, rows_ AS (SELECT doc_id, i, coalesce(title, 'Introduction') AS title, depth, content FROM headed UNION ALL SELECT doc_id, 0, 'Content', 0, {STRIP('text')} FROM m WHERE len(h) = 0),
+    n AS (SELECT *, count(*) OVER (PARTITION BY doc_id) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS r FROM rows_)
+    SELECT doc_id, CAST(CASE WHEN n = 1 THEN 0 ELSE r END AS BIGINT) AS section_ord, CASE WHEN n = 1 THEN 'Page ' || doc_id ELSE title END AS title, CAST(CASE WHEN n = 1 THEN doc_id % 3 ELSE depth + doc_id % 3 END AS BIGINT) AS depth, md5(content) AS content_md5 FROM n
+    UNION ALL SELECT DISTINCT doc_id, 0, 'Page ' || doc_id, doc_id % 3, md5('') FROM n WHERE n > 1"""
+)
+def export_documents(spark, d):
+    """Pages of a workspace's export as documents: a page with several sections has one of its own title before them."""
+    x = table(spark, d, "documents").where("text is not null")
+    pages = x.select(F.lit("a.zip").alias("path"), F.col("doc_id").cast("string").alias("page"), F.concat(F.lit("Page "), "doc_id").alias("title"), (F.col("doc_id") % 3).cast("int").alias("depth"), "text")
+    return C.export_documents(pages).select(F.col("page").cast("long").alias("doc_id"), F.col("section_ord").cast("long").alias("section_ord"), "title", F.col("depth").cast("long").alias("depth"), F.md5("content").alias("content_md5"))
+
+
+@query(
+    f"""WITH {_parts_sql(3)}, p AS (SELECT doc_id, text, list_filter(list_transform(string_split(text, chr(10) || chr(10)), lambda x: {STRIP('x')}), lambda x: x <> '') AS p FROM m WHERE len(h) = 0),
+    named AS (SELECT doc_id, 'Docs Page ' || doc_id AS name FROM documents), rows_ AS (SELECT doc_id, i, title, depth, content FROM headed
+      UNION ALL SELECT doc_id, 0, NULL, 0, {STRIP('text')} FROM p WHERE len(p) <= 3
+      UNION ALL SELECT doc_id, i, left(split_part(f[1], chr(10), 1), 80), 0, array_to_string(f, chr(10) || chr(10)) FROM (SELECT doc_id, i, p[i * 5 + 1 : i * 5 + 5] AS f FROM (SELECT doc_id, p, unnest(range(CAST((len(p) + 4) // 5 AS BIGINT))) AS i FROM p WHERE len(p) > 3)))
+    SELECT r.doc_id, CAST(row_number() OVER (PARTITION BY r.doc_id ORDER BY i) AS BIGINT) AS section_ord, coalesce(title, name) AS title, CAST(least(depth + 1, 2) AS BIGINT) AS depth, md5(content) AS content_md5 FROM rows_ r JOIN named n ON n.doc_id = r.doc_id
+    UNION ALL SELECT doc_id, 0, name, 0, md5('') FROM named WHERE doc_id IN (SELECT doc_id FROM m)"""
+)
+def crawled_sections(spark, d):
+    """Pages of a crawl, each with its title before its sections, which stand a level lower."""
+    x = table(spark, d, "documents").where("text is not null")
+    url = F.concat(F.lit("https://site.example/x/docs-page-"), "doc_id", F.lit(".html"))
+    pages = x.select(url.alias("url"), F.lit(None).cast("string").alias("title"), "text")
+    out = C.crawled_sections(x.select(url.alias("url"), F.col("doc_id").alias("place")), pages)
+    return out.select(F.col("place").alias("doc_id"), F.col("section_ord").cast("long").alias("section_ord"), "title", F.col("depth").cast("long").alias("depth"), F.md5("content").alias("content_md5"))
+
+
+@query(
+    """SELECT structure_id AS doc, CAST(i AS BIGINT) AS ord, CAST(CASE i % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 END AS BIGINT) AS level, trim(o.text) AS title
+    FROM (SELECT structure_id, unnest(range(len(learning_objectives))) AS i, unnest(learning_objectives) AS o FROM (SELECT DISTINCT structure_id, learning_objectives FROM structure)) WHERE i % 3 < 2 AND trim(coalesce(o.text, '')) <> ''"""
+)
+def heading_entries(spark, d):
+    """Headings of documents by the style of their paragraphs."""
+    s = table(spark, d, "structure").select("structure_id", "learning_objectives").distinct().select(F.col("structure_id").alias("doc"), F.posexplode("learning_objectives").alias("ord", "o"))
+    style = F.when(F.col("ord") % 3 == 0, "Heading 2").when(F.col("ord") % 3 == 1, "Heading X").otherwise("Normal")
+    return C.heading_entries(s.select("doc", "ord", style.alias("style"), F.col("o.text").alias("text"))).select("doc", F.col("ord").cast("long").alias("ord"), F.col("level").cast("long").alias("level"), "title")
+
+
 # A file for every part, of every known kind and some others, in folders to skip and to take, with readmes.
 _ENDS = [*C.LANGUAGE, "lua", "TXT", "bin", "png", "conf", ""]
 _FOLDERS = ["", "src/", "src/core/", "src/core/deep/down/", ".hidden/", "node_modules/x/", "docs/"]

@@ -318,6 +318,58 @@ def workspace_ids(spark, d):
     return x.select("section_id", T.workspace_id(F.col("u")).alias("id"))
 
 
+_TITLED = "array_to_string(list_transform(range(1, length({0}) + 1), lambda i: CASE WHEN i > 1 AND regexp_matches(substr({0}, i - 1, 1), '^\\p{{L}}$') THEN lower(substr({0}, i, 1)) ELSE upper(substr({0}, i, 1)) END), '')"
+
+
+@query(
+    f"""WITH x AS (SELECT DISTINCT source_path, regexp_extract(source_path, '^https?://[^/?#]*([^?#]*)', 1) AS p, title FROM extracted WHERE source_path IS NOT NULL AND title IS NOT NULL), y AS (SELECT *, replace(replace(regexp_extract(p, '([^/]*)$', 1), '-', ' '), '.html', '') AS s FROM x)
+    SELECT source_path, title, {_TITLED.format('s')} AS slug_title, {_TITLED.format('title')} AS title_case, replace(lower(title), ' ', '-') AS slug FROM y"""
+)
+def slugs(spark, d):
+    """Titles from addresses, titles with capitals, and slugs."""
+    x = table(spark, d, "extracted").where("source_path is not null and title is not null").select("source_path", "title").distinct()
+    return x.select("source_path", "title", T.slug_title(T.url_path(F.col("source_path"))).alias("slug_title"), T.title_case(F.col("title")).alias("title_case"), T.slug(F.col("title")).alias("slug"))
+
+
+@query(
+    """WITH i AS (SELECT DISTINCT i.local_path AS path FROM (SELECT unnest(images) AS i FROM extracted) WHERE i.local_path IS NOT NULL), e AS (SELECT path, lower(regexp_extract(path, '(\\.[^./]+)$', 1)) AS ext FROM i)
+    SELECT path, 'image/' || CASE regexp_replace(ext, '^\\.', '') WHEN 'jpg' THEN 'jpeg' ELSE regexp_replace(ext, '^\\.', '') END AS mime FROM e"""
+)
+def mime_types(spark, d):
+    """Types of images by their paths."""
+    x = table(spark, d, "extracted").select(F.explode("images").alias("i")).select(F.col("i.local_path").alias("path")).where("path is not null").distinct()
+    return x.select("path", T.mime_type(F.regexp_extract("path", r"(\.[^./]+)$", 1)).alias("mime"))
+
+
+_KINDS = ["paragraph", "quote", "callout", "heading_1", "heading_2", "heading_3", "bulleted_list_item", "numbered_list_item", "to_do", "code", "divider", "toggle", "table_row", "image", "unknown"]
+
+
+@query(
+    f"""WITH b AS (SELECT DISTINCT section_id, title AS t, {_KINDS}[CAST(section_id % {len(_KINDS)} AS INT) + 1] AS kind FROM extracted WHERE title IS NOT NULL)
+    SELECT section_id, CASE kind WHEN 'paragraph' THEN t WHEN 'quote' THEN '> ' || replace(t, chr(10), chr(10) || '> ') WHEN 'callout' THEN '> ! ' || t WHEN 'heading_1' THEN '# ' || t WHEN 'heading_2' THEN '## ' || t WHEN 'heading_3' THEN '### ' || t WHEN 'bulleted_list_item' THEN '- ' || t WHEN 'numbered_list_item' THEN '1. ' || t
+      WHEN 'to_do' THEN '- [' || CASE WHEN section_id % 2 = 0 THEN 'x' ELSE ' ' END || '] ' || t WHEN 'code' THEN '```py' || chr(10) || t || chr(10) || '```' WHEN 'divider' THEN '---' WHEN 'toggle' THEN '<details><summary>' || t || '</summary></details>' WHEN 'table_row' THEN '| ' || t || ' |' WHEN 'image' THEN '![' || t || '](u.png)' ELSE '' END AS md FROM b"""
+)
+def block_markdown(spark, d):
+    """Blocks of all kinds in markdown."""
+    x = table(spark, d, "extracted").where("title is not null").select("section_id", "title").distinct()
+    kind = F.get(F.array(*[F.lit(k) for k in _KINDS]), (F.col("section_id") % len(_KINDS)).cast("int"))
+    return x.select("section_id", T.block_markdown(kind, F.col("title"), F.col("section_id") % 2 == 0, F.lit("py"), F.lit("!"), F.lit("u.png")).alias("md"))
+
+
+@query(
+    """WITH x AS (SELECT DISTINCT section_id, title AS t FROM extracted WHERE title IS NOT NULL AND NOT regexp_matches(title, '[\\[\\]()]'))
+    SELECT section_id, 'a [IMAGE: in folder] ' || t || ' [IMAGE: by path] [IMAGE: by name] ![' || t || '](no.png) end' AS text FROM x"""
+)
+def image_placeholders(spark, d):
+    """Markdown images as marks, found below the page's folder, by path and by name; unknown ones stay."""
+    from lexaloom.sources.connectors import image_placeholders as placed
+
+    x = table(spark, d, "extracted").where("title is not null and not title rlike '[\\\\[\\\\]()]'").select("section_id", "title").distinct()
+    ids = F.create_map(*[F.lit(v) for v in ("docs/a.png", "in folder", "p/b.png", "by path", "c.png", "by name")])
+    text = F.concat(F.lit("a ![x](a.png) "), "title", F.lit(" ![y](p/b.png) ![z](other/c.png) !["), "title", F.lit("](no.png) end"))
+    return x.select("section_id", placed(text, ids, F.lit("docs")).alias("text"))
+
+
 def queries():
     return Q
 

@@ -287,6 +287,14 @@ def pseudo_pages(paragraphs: DataFrame, words: int = 500) -> DataFrame:
     return text.where(stripped(F.col("text")) != "")
 
 
+def heading_entries(paragraphs: DataFrame) -> DataFrame:
+    """(doc, ord, level, page, title) of a word-processor document's headings: paragraphs(doc, ord, style, text) with a style 'Heading n'; a style without a number counts as 1; blank ones are none. All stand on page 1, as such documents have no pages."""
+    style = F.lower(F.coalesce("style", F.lit("")))
+    n = F.regexp_extract(style, r"^heading\s+(\d+)$", 1)
+    x = paragraphs.where(style.startswith("heading") & (stripped(F.coalesce("text", F.lit(""))) != ""))
+    return x.select("doc", "ord", F.when(n != "", n.cast("int")).otherwise(1).alias("level"), F.lit(1).alias("page"), stripped(F.col("text")).alias("title"))
+
+
 def slides(shapes: DataFrame) -> DataFrame:
     """(doc, slide, title, content, notes) of shapes(doc, slide, ord, kind, text): kinds 'title', 'text' and 'notes'; a slide without a title is named by its number."""
     own = lambda k: F.array_join(F.array_sort(F.collect_list(F.when((F.col("kind") == k) & (stripped(F.col("text")) != ""), F.struct("ord", stripped(F.col("text")).alias("t")))))["t"], "\n\n")

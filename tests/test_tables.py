@@ -259,3 +259,9 @@ def test_workspace_crawl(spark):
     assert trees.workspace_crawl(pages, kids, start, most_pages=2).count() == 2
     assert trees.workspace_crawl(pages, kids, start, most_depth=2).count() == 3
     assert trees.workspace_crawl(pages, kids, start.limit(0)).count() == 0
+
+
+def test_edges_made_needless_by_longer_ways(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("a", "d"), ("a", "c"), ("x", "y"), ("y", "x"), ("d", "d")], "s string, t string")
+    assert {tuple(r) for r in trees.redundant_edges(e, "s", "t").collect()} == {("a", "d"), ("a", "c")}
+    assert trees.redundant_edges(e.limit(0), "s", "t").count() == 0
