@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,10 +79,11 @@ def words(text: str) -> list[str]:
         return WORD.findall(text)
     out = WORD.findall(text)
     if MARK.search(text):  # marks don't part words
-        out = "".join(c if c.isalnum() or unicodedata.category(c)[0] == "M" else " " for c in text).split()
+        out = MARKED.findall(text)
     return out
 
 
+MARKED = regex.compile(r"[\p{L}\p{M}\p{N}]+")
 MARK = re.compile("[̀-ͯ҃-֑҇-ׇؐ-ًؚ-ٰٟۖ-ۜ۟-ۤऀ-ःऺ-ॏॕ-ॗॢॣังัิ-ฺ็-๎゙゚]")
 
 
@@ -490,7 +492,7 @@ def _leaks(docs: DataFrame, it: Items, rank: int, cosine: float, rounds: int) ->
         whole_enough = np.array([len(seq) >= k.run for _, k, seq in it.passages])  # the rest of an item is no passage to reword
         of_kind = {k.name: np.array([i for i, p in enumerate(it.passages) if p[1] is k], dtype=np.int64) for k in it.kinds}
         runs = {k.name: _Runs(k, [it.passages[i][2] for i in of_kind[k.name]]) for k in it.kinds}
-        answers = {k.name: _Answers([it.passages[i][2] for i in of_kind[k.name]], unit_weight[it.unit_base(k) : it.unit_base(k) + len(it.vocabulary[k.name]) + 1]) for k in it.kinds}
+        answers = {} if not near else {k.name: _Answers([it.passages[i][2] for i in of_kind[k.name]], unit_weight[it.unit_base(k) : it.unit_base(k) + len(it.vocabulary[k.name]) + 1]) for k in it.kinds}
         for pdf in batches:
             rows = []
             for name, group in pdf.groupby("kind"):
