@@ -120,7 +120,7 @@ def preorder(nodes: DataFrame, node: str, parent: str, order: str, label: str) -
 
 def _followed(step: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pointers (b, p), one a node, followed to their ends: those that end, and (b) of those that go round. Reach doubles with every round."""
-    step, reach, size = cut(step), 1, None
+    reach, size = 1, None
     while True:
         heads = step.select(F.col("b").alias("_b"), F.col("p").alias("_p"))
         open_ = step.join(heads.select("_b"), F.col("p") == F.col("_b"), "left_semi").select("b")
@@ -144,14 +144,17 @@ def cyclic_nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
     n = e.count()
     while n:
         into = e.groupBy("b").agg(F.count("*").alias("n"), F.min("a").alias("p"))
-        ended, endless = _followed(into.where("n = 1 and b <> p").select("b", "p"))
-        ended, endless = cut(ended.select(F.col("b").alias("_b"), F.col("p").alias("_p"))), cut(endless.select(F.col("b").alias("_b")))
-        lost = lost.unionByName(fate.join(endless, F.col("as") == F.col("_b"), "left_semi").select("node"))
-        fate = fate.join(endless, F.col("as") == F.col("_b"), "left_anti").join(ended, F.col("as") == F.col("_b"), "left").select("node", F.coalesce("_p", "as").alias("as"))
-        fate = cut(fate)
-        rest = e.join(ended.select("_b").union(endless), F.col("b") == F.col("_b"), "left_anti")
-        rest = rest.join(ended, F.col("a") == F.col("_b"), "left").select(F.coalesce("_p", "a").alias("a"), "b")
-        rest = rest.join(endless.withColumn("_bad", F.lit(True)), F.col("a") == F.col("_b"), "left").select(F.when(F.col("_bad"), F.col("b")).otherwise(F.col("a")).alias("a"), "b").distinct()
+        step = cut(into.where("n = 1 and b <> p").select("b", "p"))
+        rest = e
+        if not step.isEmpty():
+            ended, endless = _followed(step)
+            ended, endless = cut(ended.select(F.col("b").alias("_b"), F.col("p").alias("_p"))), cut(endless.select(F.col("b").alias("_b")))
+            lost = lost.unionByName(fate.join(endless, F.col("as") == F.col("_b"), "left_semi").select("node"))
+            fate = fate.join(endless, F.col("as") == F.col("_b"), "left_anti").join(ended, F.col("as") == F.col("_b"), "left").select("node", F.coalesce("_p", "as").alias("as"))
+            fate = cut(fate)
+            rest = e.join(ended.select("_b").union(endless), F.col("b") == F.col("_b"), "left_anti")
+            rest = rest.join(ended, F.col("a") == F.col("_b"), "left").select(F.coalesce("_p", "a").alias("a"), "b")
+            rest = rest.join(endless.withColumn("_bad", F.lit(True)), F.col("a") == F.col("_b"), "left").select(F.when(F.col("_bad"), F.col("b")).otherwise(F.col("a")).alias("a"), "b").distinct()
         e = cut(rest.join(rest.select(F.col("b").alias("_b")).distinct(), F.col("a") == F.col("_b"), "left_semi"))
         left = e.count()
         if left == n:
