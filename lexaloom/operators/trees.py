@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from lexaloom.functions.text import is_citation, is_front_matter, stripped, title_case
-from lexaloom.session import cut
+from lexaloom.session import cut, dropped
 
 
 def toc_tree(toc: DataFrame, doc: str, total_pages: str) -> DataFrame:
@@ -118,50 +124,108 @@ def preorder(nodes: DataFrame, node: str, parent: str, order: str, label: str) -
     return done.join(inner, "n", "left").select(F.col("n").alias(node), "path", "place", (F.size("path") - 1).alias("depth"), F.col("_inner").isNull().alias("leaf"))
 
 
-def _followed(step: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pointers (b, p), one a node, followed to their ends: those that end, and (b) of those that go round. Reach doubles with every round."""
-    reach, size = 1, None
-    while True:
-        heads = step.select(F.col("b").alias("_b"), F.col("p").alias("_p"))
-        open_ = step.join(heads.select("_b"), F.col("p") == F.col("_b"), "left_semi").select("b")
-        size = step.count() if size is None else size
-        if reach > size or open_.isEmpty():
-            return step.join(open_, "b", "left_anti"), open_
-        step = cut(step.join(heads, F.col("p") == F.col("_b"), "left").select("b", F.coalesce("_p", "p").alias("p")))
-        reach *= 2
+def _coded(tables: list[pa.RecordBatch], schema: pa.Schema) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The nodes of edges (a, b), and the edges' ends as places among them."""
+    t = pa.Table.from_batches(tables, schema)
+    nodes = pa.concat_arrays([*t.column("b").chunks, *t.column("a").chunks]).dictionary_encode()
+    codes = nodes.indices.to_numpy()
+    return nodes.dictionary, codes[t.num_rows :], codes[: t.num_rows]
 
 
-def cyclic_nodes(edges: DataFrame, source: str, target: str) -> DataFrame:
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Edges (a, b, one) as (kind, a, b), all edges into a node being in one part: chains within a part drawn together.
+
+    one: a is all that points at b. Kind 0: an edge that stays; 1: b shares the
+    fate of a, whose edge stays; 2: b, with no a, is on a cycle or behind one.
+    """
+    single, schema = [], None
+
+    def out(kind: int, a: pa.Array, b: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(b), kind, "int32")), a, b], ["kind", "a", "b"])
+
+    for batch in batches:
+        one, schema = batch.column("one"), batch.schema
+        single.append(batch.filter(one))
+        rest = batch.filter(pc.invert(one))
+        yield out(0, rest.column("a"), rest.column("b"))
+    if not sum(x.num_rows for x in single):
+        return
+    nodes, a, b = _coded(single, schema)
+    up, own = np.arange(len(nodes)), np.zeros(len(nodes), bool)
+    up[b], own[b] = a, True
+    top = own & ~own[up]
+    end = np.where(own & own[up], up, np.arange(len(nodes)))
+    for _ in range(len(nodes).bit_length()):
+        end = end[end]
+    ends = own & top[end]
+    for kind, which, of in ((0, top, up), (1, ends & ~top, end)):
+        at = np.flatnonzero(which)
+        yield out(kind, nodes.take(pa.array(of[at])), nodes.take(pa.array(at)))
+    at = nodes.take(pa.array(np.flatnonzero(own & ~ends)))
+    yield out(2, pa.nulls(len(at), at.type), at)
+
+
+def _peeled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node) of the nodes left of edges (a, b), all in one part, when those nothing points at are taken away again and again."""
+    edges = list(batches)
+    if not edges:
+        return
+    nodes, a, b = _coded(edges, edges[0].schema)
+    first = np.searchsorted(np.sort(a), np.arange(len(nodes) + 1)).tolist()
+    into, n = b[np.argsort(a, kind="stable")].tolist(), np.bincount(b, minlength=len(nodes)).tolist()
+    free = [i for i, x in enumerate(n) if not x]
+    while free:
+        i = free.pop()
+        for j in into[first[i] : first[i + 1]]:
+            n[j] -= 1
+            if not n[j]:
+                free.append(j)
+    yield pa.RecordBatch.from_arrays([nodes.take(pa.array(np.flatnonzero(n)))], ["node"])
+
+
+def cyclic_nodes(edges: DataFrame, source: str, target: str, most: int = 1_000_000) -> DataFrame:
     """(node) of the nodes on a cycle or behind one. Empty means acyclic; equal edges count once, loops are cycles; edges with a null end are left out.
 
-    Nodes nothing points at are taken away again and again. A node that only one
-    other points at shares that one's fate, so such nodes are drawn together
-    first, by pointers that double in reach: a chain of n nodes takes log n rounds.
+    Nodes nothing points at are taken away again and again, in one task as soon
+    as there are at most ``most`` edges. Before that, nodes that only one other
+    points at share that one's fate and are drawn into it: chains within a range
+    of nodes at once, and where ranges hold few of them, those of a fourth of the
+    nodes, picked by hash anew in every round. So the edges shrink from round to
+    round, and each round's pointers are kept once, to be followed back at the end.
     """
-    e = cut(edges.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(F.col(source).alias("a"), F.col(target).alias("b")).distinct())
-    fate = e.select(F.col("a").alias("node")).union(e.select("b")).distinct().select("node", F.col("node").alias("as"))
-    lost = fate.limit(0).select("node")
-    n = e.count()
-    while n:
-        into = e.groupBy("b").agg(F.count("*").alias("n"), F.min("a").alias("p"))
-        step = cut(into.where("n = 1 and b <> p").select("b", "p"))
-        rest = e
-        if not step.isEmpty():
-            ended, endless = _followed(step)
-            ended, endless = cut(ended.select(F.col("b").alias("_b"), F.col("p").alias("_p"))), cut(endless.select(F.col("b").alias("_b")))
-            lost = lost.unionByName(fate.join(endless, F.col("as") == F.col("_b"), "left_semi").select("node"))
-            fate = fate.join(endless, F.col("as") == F.col("_b"), "left_anti").join(ended, F.col("as") == F.col("_b"), "left").select("node", F.coalesce("_p", "as").alias("as"))
-            fate = cut(fate)
-            rest = e.join(ended.select("_b").union(endless), F.col("b") == F.col("_b"), "left_anti")
-            rest = rest.join(ended, F.col("a") == F.col("_b"), "left").select(F.coalesce("_p", "a").alias("a"), "b")
-            rest = rest.join(endless.withColumn("_bad", F.lit(True)), F.col("a") == F.col("_b"), "left").select(F.when(F.col("_bad"), F.col("b")).otherwise(F.col("a")).alias("a"), "b").distinct()
-        e = cut(rest.join(rest.select(F.col("b").alias("_b")).distinct(), F.col("a") == F.col("_b"), "left_semi"))
+    kind = edges.select(source).union(edges.select(target)).schema[0].dataType
+    e = cut(edges.where(F.col(source).isNotNull() & F.col(target).isNotNull()).select(F.col(source).cast(kind).alias("a"), F.col(target).cast(kind).alias("b")))
+    n, by_hash, rounds, merge = e.count(), False, [], lambda x: x.hint("merge")  # tables that compress well look small enough to be broadcast
+    shape = StructType([StructField("kind", IntegerType()), e.schema["a"], e.schema["b"]])
+    while n > most:
+        parts = -(-n // max(1, most // 2))
+        w = Window.partitionBy("b")
+        x = e.repartitionByRange(parts, "b").select("a", "b", ((F.min("a").over(w) == F.max("a").over(w)) & (F.col("a") != F.col("b"))).alias("one"))
+        if by_hash:
+            coin = lambda c: F.xxhash64(F.lit(len(rounds)), c) % 2 == 0  # noqa: B023, E731
+            got = cut(x.select(F.when(F.col("one") & coin("b") & ~coin("a"), 1).otherwise(0).alias("kind"), "a", "b"))
+        else:
+            got = cut(x.mapInArrow(_shortened, shape))
+        moved = got.where("kind > 0").select(F.col("b").alias("_b"), F.col("a").alias("_a"), (F.col("kind") == 2).alias("_bad"))
+        rest = merge(got.where("kind = 0").select("a", "b")).join(merge(moved), F.col("a") == F.col("_b"), "left")
+        rest = cut(rest.select(F.when(F.col("_bad"), F.col("b")).otherwise(F.coalesce("_a", "a")).alias("a"), "b").distinct())
+        dropped(e)
+        e = cut(merge(rest).join(merge(rest.select(F.col("b").alias("_b")).distinct()), F.col("a") == F.col("_b"), "left_semi"))
+        rounds.append(got)
+        dropped(rest)
         left = e.count()
         if left == n:
             break
-        n = left
-    core = e.select(F.col("a").alias("as")).union(e.select("b")).distinct()
-    return lost.unionByName(fate.join(core, "as", "left_semi").select("node")).distinct()
+        by_hash, n = by_hash or left > 0.75 * n, left
+    if n > most:
+        core = e.select(F.col("a").alias("node")).union(e.select("b")).distinct()
+    else:
+        core = e.coalesce(1).mapInArrow(_peeled, StructType([StructField("node", kind)]))
+    for got in reversed(rounds):
+        core = cut(core.union(got.where("kind = 2").select("b")).distinct())
+        if not core.isEmpty():
+            core = core.union(merge(got.where("kind = 1")).join(merge(core), F.col("a") == F.col("node"), "left_semi").select("b"))
+    return core.distinct()
 
 
 def redundant_edges(edges: DataFrame, source: str, target: str) -> DataFrame:

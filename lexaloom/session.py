@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +57,17 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{_shared_folder(spark).rstrip('/')}/lexaloom-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _PATHS[out] = path
+    return out
+
+
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def dropped(df: DataFrame) -> None:
+    """Removes the table of a ``cut`` that nothing reads any more."""
+    _remove(df.sparkSession, _PATHS.pop(df))
 
 
 def _remove(spark: SparkSession, path: str) -> None:

@@ -35,6 +35,42 @@ def test_long_chains(spark):
     assert got == {i: (i, f"n{i}") for i in range(70)}
 
 
+def test_cycles_of_graphs_larger_than_a_task(spark):
+    def left(edges):
+        e = set(edges)
+        while (m := {(a, b) for a, b in e if any(d == a for _, d in e)}) != e:
+            e = m
+        return {x for y in e for x in y}
+
+    rnd = random.Random(7)
+    chain = rnd.sample(range(1000), 60)
+    cases = [
+        list(zip(chain, chain[1:])), [*zip(chain, chain[1:]), (chain[-1], chain[30])], [(i, i + 1) for i in range(60)] * 2, [*((i, i + 1) for i in range(60)), (20, 20)], [(i, (i + 1) % 40) for i in range(40)] + [(7, 50), (50, 51)],
+        *([(rnd.randrange(m), rnd.randrange(m)) for _ in range(60)] for m in (40, 90)),
+    ]
+    edges = [(a + 1000 * k, b + 1000 * k) for k, case in enumerate(cases) for a, b in case]
+    for kind, as_, most in (("int", int, 150), ("string", str, 250)):
+        x = spark.createDataFrame([(as_(a), as_(b)) for a, b in edges] + [(None, as_(1))], f"s {kind}, t {kind}").coalesce(1)
+        assert sorted(r.node for r in trees.cyclic_nodes(x, "s", "t", most=most).collect()) == sorted(as_(i) for i in left(edges))
+
+
+def test_chain_takes_few_tables(spark, monkeypatch):
+    written, cut = [], trees.cut
+    monkeypatch.setattr(trees, "cut", lambda df: written.append(cut(df)) or written[-1])
+    chain = spark.range(3000).select(F.col("id").alias("s"), (F.col("id") + 1).alias("t")).coalesce(1)
+    assert trees.cyclic_nodes(chain, "s", "t").count() == 0
+    assert len(written) <= 3  # a table a round of doubling were 12 and more
+
+
+def test_chain_through_all_orders(spark, tmp_path):
+    from lexaloom.plans import pipeline_queries as P
+
+    keys = sorted(random.Random(3).sample(range(30_000), 500))
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").repartition(3).write.parquet(f"{tmp_path}/orders.parquet")
+    got = sorted((r.i, r.id, r.before, r.up) for r in P._chain(spark, str(tmp_path)).collect())
+    assert got == [(i, k, keys[i - 1] if i else None, keys[i - 1] if i % 100 else None) for i, k in enumerate(keys)]
+
+
 def test_distribution_gives_every_item_once(spark):
     x = spark.createDataFrame([(i, 5, 2) for i in range(5)], "p int, n int, s int")
     assert [r.section for r in windows.distribute(x, [], "p", "n", "s").orderBy("p").collect()] == [0, 0, 1, 1, 1]
