@@ -52,6 +52,24 @@ def leaf_chunks(leaves: DataFrame, chunks: DataFrame) -> DataFrame:
     return own.unionByName(kept).unionByName(merged)
 
 
+def leaf_sizes(leaves: DataFrame, chunks: DataFrame) -> DataFrame:
+    """(tier, token_count, n): how many of the chunks of ``leaf_chunks`` a tier has of each size, without making them.
+
+    chunks: title, token_count, words (of the content). Chunks are counted by
+    title and size and a tier's leaves by title before the two meet, so a title
+    that many leaves and chunks share costs no row for each pair.
+    """
+    k = ["tier", "topic_ord", "child_ord"]
+    own = leaves.where(F.coalesce("content", F.lit("")) != "").select("tier", word_count(F.col("content")).alias("token_count"), F.lit(1).cast("long").alias("n"))
+    rest = leaves.where(F.coalesce("content", F.lit("")) == "").select(*k, "strategy", F.explode("keys").alias("title"))
+    alike = chunks.groupBy("title", F.col("token_count").cast("long").alias("token_count")).agg(F.count("*").alias("_n"))
+    kept = rest.where("strategy = 'keep'").groupBy("tier", "title").agg(F.count("*").alias("_m")).join(alike, "title").select("tier", "token_count", (F.col("_n") * F.col("_m")).alias("n"))
+    merging = rest.where("strategy in ('merge', 'synthesize')")
+    words = chunks.join(merging.select("title").distinct(), "title", "left_semi").groupBy("title").agg(F.sum(F.coalesce("words", F.lit(0)).cast("long")).alias("_w"))
+    merged = merging.join(words, "title").groupBy(*k).agg(F.sum("_w").alias("token_count")).select("tier", "token_count", F.lit(1).cast("long").alias("n"))
+    return own.unionByName(kept).unionByName(merged).groupBy("tier", "token_count").agg(F.sum("n").alias("n"))
+
+
 def kept_exercises(exercises: Column, tier: Column) -> Column:
     """The first exercises a tier keeps."""
     n = F.lit(3)
@@ -152,10 +170,16 @@ def filled_manifest(manifests: DataFrame) -> DataFrame:
     return manifests.withColumn("domain_family", F.coalesce(blank("domain_family"), slug(F.col("domain")))).withColumn("variant", F.coalesce(blank("variant"), F.lit("extensive")))
 
 
+def _alike(chunks: DataFrame) -> Column:
+    """How many chunks a row of ``leaf_chunks`` or of ``leaf_sizes`` stands for."""
+    return F.col("n") if "n" in chunks.columns else F.lit(1).cast("long")
+
+
 def tier_summary(structure: DataFrame, chunks: DataFrame, original: DataFrame) -> DataFrame:
-    """(tier, topics, chunks, tokens, ratio): a row a tier; original: tokens, one row. The ratio is of the original's tokens to the tier's, at least 1, in tenths."""
+    """(tier, topics, chunks, tokens, ratio): a row a tier; original: tokens, one row; chunks: of ``leaf_chunks``, or ``leaf_sizes``. The ratio is of the original's tokens to the tier's, at least 1, in tenths."""
+    n = _alike(chunks)
     t = structure.groupBy("tier").agg(F.count("*").alias("topics"))
-    c = chunks.groupBy("tier").agg(F.count("*").alias("chunks"), F.sum("token_count").alias("tokens"))
+    c = chunks.groupBy("tier").agg(F.sum(n).alias("chunks"), F.sum(F.col("token_count") * n).alias("tokens"))
     x = t.join(c, "tier", "left").fillna(0, ["chunks", "tokens"]).join(F.broadcast(original.agg(F.sum("tokens").alias("_all"))))  # one row
     return x.select("tier", "topics", "chunks", "tokens", compression(F.col("_all"), F.col("tokens")).alias("ratio"))
 
@@ -167,7 +191,7 @@ TIER_SHARES = {"detailed": 0.1, "classic": 0.01, "core": 0.001}
 def tier_checks(summary: DataFrame, chunks: DataFrame, original: DataFrame) -> DataFrame:
     """(tier, share, aim, within, odd_chunks): the share of the tokens that is left, whether it is at most twice the aim, and chunks under 200 or over 2000 tokens."""
     aim = F.coalesce(*[F.when(F.col("tier") == t, v) for t, v in TIER_SHARES.items()], F.lit(1.0))
-    odd = chunks.groupBy("tier").agg(F.count_if(~F.col("token_count").between(200, 2000)).alias("odd_chunks"))
+    odd = chunks.groupBy("tier").agg(F.sum(F.when(~F.col("token_count").between(200, 2000), _alike(chunks)).otherwise(0)).alias("odd_chunks"))
     x = summary.join(odd, "tier", "left").fillna(0, ["odd_chunks"]).join(F.broadcast(original.agg(F.sum("tokens").alias("_all"))))  # one row
     share = F.col("tokens") / F.greatest(F.col("_all"), F.lit(1))
     return x.select("tier", share.alias("share"), aim.alias("aim"), (share <= aim * 2).alias("within"), "odd_chunks")

@@ -107,6 +107,41 @@ def test_condense_strategies(spark):
     assert got == [(0, 0, "a one", False), (0, 1, "a two", True), (1, 0, "a one\n\na two\n\nb", True), (3, 0, "own words", False)]
 
 
+def test_leaf_sizes_are_those_of_leaf_chunks(spark):
+    rnd = random.Random(5)
+    some = lambda: rnd.choice([None, [], ["A"], ["B", "A", "A"], ["C", "none"]])
+    plan = spark.createDataFrame(
+        [(f"t{i % 3}", i, rnd.choice("ABC"), rnd.choice(["keep", "merge", "synthesize", "odd"]), some(), rnd.choice([None, None, "", "own few words"]), [("A", "keep", some(), None), ("B", "merge", some(), None)] if i % 2 else None) for i in range(40)],
+        "tier string, topic_ord int, title string, condensation_strategy string, source_topics array<string>, content string, children array<struct<title:string, condensation_strategy:string, source_children:array<string>, content:string>>",
+    )
+    chunks = spark.createDataFrame([(rnd.choice("ABD"), i, rnd.choice([None, " ", "a  b\nc", "one"]), rnd.choice([None, 100, 200, 2001]), None) for i in range(60)], "title string, chunk_ord int, content string, token_count int, has_code boolean")
+    leaves = condense.plan_leaves(plan)
+    made = condense.leaf_chunks(leaves, chunks)
+    sizes = condense.leaf_sizes(leaves, chunks.withColumn("words", F.size(F.filter(F.split("content", r"\s+"), lambda w: w != ""))))
+    assert sorted(map(repr, sizes.collect())) == sorted(map(repr, made.groupBy("tier", "token_count").agg(F.count("*").alias("n")).collect()))
+    one = spark.createDataFrame([(10,)], "tokens long")
+    for step in (condense.tier_summary, lambda *x: condense.tier_checks(condense.tier_summary(*x), x[1], x[2])):
+        assert sorted(map(repr, step(plan, made, one).collect())) == sorted(map(repr, step(plan, sizes, one).collect()))
+
+
+def test_title_of_many_leaves_and_chunks(spark):
+    k = spark.range(200_000)
+    leaves = k.select(F.lit("t").alias("tier"), F.col("id").alias("topic_ord"), F.lit(-1).alias("child_ord"), F.lit("keep").alias("strategy"), F.lit("").alias("content"), F.array(F.lit("A")).alias("keys"))
+    chunks = k.select(F.lit("A").alias("title"), (F.col("id") % 2 * 300).alias("token_count"), F.lit(1).alias("words"))
+    assert sorted((r.token_count, r.n) for r in condense.leaf_sizes(leaves, chunks).collect()) == [(0, 20_000_000_000), (300, 20_000_000_000)]
+
+
+def test_sizes_of_last_deliveries(spark):
+    from lexaloom.plans import pipeline_queries as P
+
+    rnd = random.Random(9)
+    rows = [(rnd.choice([None, *range(25)]), rnd.choice([None, 1, 2]), 1, rnd.choice([None, [], ["A"], ["A", "B"]]), 0, rnd.choice([None, "", "a b", "c"]), rnd.choice([None, 0, 5, 6])) for _ in range(150)]
+    for some in (rows, list({r[0]: r for r in rows}.values()) * 2):
+        x = spark.createDataFrame(some, "chunk_id int, chunked_at int, curriculum_id int, topic_path array<string>, chunk_index int, content string, token_count int")
+        c = latest(x, "chunk_id", "chunked_at", ["curriculum_id", "topic_path", "chunk_index", "content", "token_count"]).where("size(topic_path) > 0 and content is not null").collect()
+        assert sorted((r.title, r.token_count, r.words) for r in P._sizes(x).collect()) == sorted((r.topic_path[-1], r.token_count or 0, len(r.content.split())) for r in c)
+
+
 def random_tree(rng, depth):
     node = {}
     if rng.random() < 0.9:
