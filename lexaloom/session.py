@@ -50,8 +50,8 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written once as a compressed table in the shared checkpoint folder and read from there.
 
     This cuts its lineage: a later stage that loses an executor reads the table
-    again instead of computing it anew. Tables stay as long as the application
-    runs and are removed when it ends.
+    again instead of computing it anew. Tables stay until they are ``dropped`` or
+    the application ends.
     """
     spark = df.sparkSession
     path = f"{_shared_folder(spark).rstrip('/')}/lexaloom-{uuid.uuid4().hex}"

@@ -142,6 +142,17 @@ def test_sizes_of_last_deliveries(spark):
         assert sorted((r.title, r.token_count, r.words) for r in P._sizes(x).collect()) == sorted((r.topic_path[-1], r.token_count or 0, len(r.content.split())) for r in c)
 
 
+def test_tier_summary_of_one_title(spark, tmp_path):
+    from lexaloom.plans import pipeline_queries as P
+
+    k = spark.range(6000)  # made one by one, the contents of 24 million chunks would be moved
+    none = lambda kind: F.lit(None).cast(kind)
+    k.select(F.col("id").alias("structure_id"), F.lit(1).alias("saved_at"), F.lit(1).alias("curriculum_id"), F.lit("A").alias("title"), F.lit(1).alias("suggested_level"), none("array<struct<topic:string,strength:string>>").alias("prerequisites"), none("array<struct<text:string,bloom_level:string>>").alias("learning_objectives")).write.parquet(f"{tmp_path}/structure.parquet")
+    k.where("id < 3000").select(F.col("id").alias("chunk_id"), F.lit(1).alias("chunked_at"), F.lit(1).alias("curriculum_id"), F.array(F.lit("A")).alias("topic_path"), F.lit(0).alias("chunk_index"), F.repeat(F.lit("word "), 400).alias("content"), F.lit(400).alias("token_count"), F.lit(False).alias("has_code")).write.parquet(f"{tmp_path}/chunks.parquet")
+    got = {r.tier: tuple(r)[1:] for r in P.tier_summary(spark, str(tmp_path)).collect()}
+    assert got == {t: (2500, 2000 * 3000, 2000 * 3000 * 400, 0) for t in ("detailed", "classic", "core", "other")}
+
+
 def random_tree(rng, depth):
     node = {}
     if rng.random() < 0.9:
